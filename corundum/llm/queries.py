@@ -15,5 +15,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.toxicity import fit, held_out
+
+    docs = table(spark, sf_dir, "documents")
+    classifier = fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", "lang", held_out(F.col("doc_id")).alias("held_out"), classifier.score("text").alias("score"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), classifier.flag("score", "lang").alias("flagged"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {}
