@@ -24,5 +24,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), classifier.flag("score", "lang").alias("flagged"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op10_minhash_near_dedup)}
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.decontaminate import decontaminate
+
+    found = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {}
