@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corundum.llm import mixing
 from corundum.llm._spark import table
 
 
@@ -38,5 +39,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents")).withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op6_sharding, op9_mixing, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
