@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.llm import mixing
+from corundum.llm import mixing, quality
 from corundum.llm._spark import table
 
 
@@ -39,6 +39,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.sharding import shard
 
@@ -49,5 +53,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op6_sharding, op9_mixing, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_quality_rules, op6_sharding, op9_mixing, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
