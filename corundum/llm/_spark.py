@@ -5,33 +5,48 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Id lists up to this many rows (8 bytes each, 16 MB) may be broadcast; longer ones are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Rows a task of small intermediate tables takes.
+ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the cluster's checkpoint folder and go on from there.
-
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests on one machine) is one made."""
-    sc = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; only where that is unset (tests on one machine) is a folder made."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Write the rows to the cluster's checkpoint folder and go on from there; rows: about how many there are at most."""
+    return counted(df, rows)[0]
+
+
+def counted(df: DataFrame, rows: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
+    """cut(), with the number of rows and an order-free digest of them, both taken while they are written."""
+    _folder(df.sparkSession)
+    seen = Observation()
+    out = fewer(df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")), rows).checkpoint(eager=True)
+    return out, (seen.get["n"], seen.get["x"])
+
+
+def fewer(df: DataFrame, rows: int | None) -> DataFrame:
+    """No more partitions than about `rows` rows need."""
+    return df if rows is None else df.coalesce(max(6, -(-rows // ROWS)))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that driver and executors all reach: the one Spark checkpoints to."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
-    return sc.getCheckpointDir() + "/" + os.urandom(8).hex()
+    """A new folder that driver and executors all reach, where Spark checkpoints."""
+    return _folder(spark) + "/" + os.urandom(8).hex()
 
 
 def by_ids(df: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> DataFrame:
@@ -42,26 +57,21 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> DataF
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of an undirected edge list (a, b); root is the smallest node that is reachable.
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, root) for every node of an undirected edge list (a, b) of about `rows` rows; root is the smallest reachable node.
 
     Alternating large-star and small-star contraction: each step needs only joins and minima by key,
     chains shrink geometrically and no component is ever held in one place."""
-    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = _mark(e)
+    few = lambda d: fewer(d, rows)
+    e, mark = counted(few(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct(), rows)
     while mark[0]:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = few(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        e = cut(small.where("a <> b").distinct())
-        before, mark = mark, _mark(e)
+        before = mark
+        e, mark = counted(few(small.where("a <> b")).distinct(), rows)
         if mark == before:
             break
-    roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.union(e.select("b", "b").distinct())
-
-
-def _mark(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+    return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select("b", "b").distinct())

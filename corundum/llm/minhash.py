@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import by_ids, components, cut
+from corundum.llm._spark import by_ids, components, counted, cut, fewer
 from corundum.llm._words import hashed_rows, shingles
 
 BANDS, ROWS = 48, 6
@@ -94,42 +94,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     """One row per input row: the id, n_shingles and component_id, the smallest id reachable over links.
 
     Texts of equal word sequences are linked by their digest and go on as one representative. In every
-    bucket of a band the members are compared with a few centres, the links found are contracted, and
-    buckets that still hold more than one component go another round with other centres, so every pair
-    that shares a bucket is either in one component or was compared: no bucket is capped and the rows
-    of a bucket are never paired among themselves at once."""
+    bucket of a band, pivots (first the member that meets most others) are compared with the members of other components;
+    the links found are contracted, and buckets that still hold more than one component go another round with
+    other pivots. So every pair that shares a bucket is in one component, was compared, or cannot be linked: one minus the similarity is
+    a metric, and distances to a pivot that differ by more than 1 - percent/100 rule a pair out. No bucket is capped."""
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sketch = cut(docs.select("id", sketcher(width, bands, rows)("text").alias("s")).select("id", "s.digest", "s.n_shingles", "s.bands"))
     classes = sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     reps = sketch.select("id", "digest", "n_shingles", "bands").join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"]).dropDuplicates(["id", "digest"])
-    rows_ = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = rows_.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket")
-    active = cut(rows_.join(shared, "bucket"))
-    # Rows that repeat an id with other words are other texts; the smallest digest would be as good, all are compared.
-    texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")))
-    roots, links, turn = None, None, 0
-    compare = overlap(width)
-    while not active.isEmpty():
-        spread = 1 if turn < 2 else 4 ** (turn - 1)
-        share = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(spread))
-        centres = active.groupBy("bucket", share.alias("share")).agg(F.min(F.struct("id", "n", *(["root"] if roots is not None else []))).alias("c")).select("bucket", "c")
-        pairs = active.join(centres, "bucket").where("id <> c.id and 100 * least(n, c.n) >= %d * greatest(n, c.n)" % percent)
-        if roots is not None:
-            pairs = pairs.where("root <> c.root")
-        pairs = pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-        found = both.select("a", "b", compare("left", "right").alias("o")).where("100 * o.same >= %d * o.either" % percent).select("a", "b")
-        found = cut(found)
-        if roots is not None:
-            found = found.union(links)
-        links = components(found).select(F.col("node").alias("a"), F.col("root").alias("b")) if not found.isEmpty() else found
-        roots = cut(links.select(F.col("a").alias("id"), F.col("b").alias("root")))
-        links = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
-        rest = active.drop("root").join(centres.select("bucket", F.col("c.id").alias("id")), ["bucket", "id"], "left_anti")
-        rest = rest.join(roots, "id", "left").select("bucket", "id", "n", F.coalesce("root", "id").alias("root"))
+    buckets = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("met")).where("lo < hi").select("bucket", "met")
+    active, (n, _) = counted(buckets.join(shared, "bucket"))
+    active = fewer(active, n)
+    texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")), n // 4)
+    known = active.groupBy("id").agg(F.sum("met").alias("met"))
+    active = active.drop("met").join(known, "id").select("bucket", "id", "n", "met", F.col("id").alias("root"), F.array().cast("array<double>").alias("far"))
+    links, turn, compare = None, 0, overlap(width)
+    apart = F.lit(1 - percent / 100 + 1e-9)
+    while n:
+        few = lambda d, n=n: fewer(d, n)
+        alone = turn < 3
+        share = F.lit(0) if alone else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(4 ** (turn - 2)))
+        pivots = active.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("met", "id", "n", "root", "far")).alias("p")).select("bucket", "p")
+        fits = (F.col("root") != F.col("p.root")) & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")) & ~F.coalesce(F.exists(F.zip_with("far", "p.far", lambda x, y: F.abs(x - y) > apart), lambda x: x), F.lit(False))
+        pairs = few(active.join(pivots, "bucket").where(fits).select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"))).distinct()
+        both = few(few(pairs).join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")).join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+        seen = cut(both.select("a", "b", compare("left", "right").alias("o")).select("a", "b", (100 * F.col("o.same") >= percent * F.col("o.either")).alias("linked"), (1 - F.col("o.same") / F.col("o.either")).alias("d")), n)
+        found, (fresh, _) = counted(seen.where("linked").select("a", "b"), n)
+        if fresh:
+            links = components(found if links is None else found.union(links.select(F.col("node").alias("a"), F.col("root").alias("b"))), n)
+            links = cut(links, n)
+        rest = active.join(pivots.select("bucket", F.col("p.id").alias("pivot")), "bucket", "left") if alone else active.join(pivots.select("bucket", F.col("p.id").alias("id")), ["bucket", "id"], "left_anti")
+        if alone:
+            rest = few(rest.where("id <> pivot").withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")})).join(seen.select("a", "b", "d"), ["a", "b"], "left").withColumn("far", F.concat("far", F.array("d")))
+        if fresh:
+            rest = few(rest.drop("root")).join(links.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rest = few(rest.select("bucket", "id", "n", "met", "root", "far"))
         open_ = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-        active = cut(rest.join(open_, "bucket"))
+        active, (n, _) = counted(rest.join(open_, "bucket"), n)
         turn += 1
-    if roots is not None:
-        classes = classes.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("rep"))
+    if links is not None:
+        classes = classes.join(links.select(F.col("node").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("rep"))
     return sketch.join(classes, "digest", "left").select(F.col("id").alias(key), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("id")).alias("component_id"))

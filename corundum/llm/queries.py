@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corundum.llm import mixing, quality
-from corundum.llm._spark import table
+from corundum.llm._spark import shared_folder, table
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,15 +43,30 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.warc import read_chunks, record_index, write_archives
+
+    folder = shared_folder(spark)
+    manifest = write_archives(table(spark, sf_dir, "pages"), folder)
+    return record_index(read_chunks(manifest, folder, with_data=False))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.sharding import shard
 
     return shard(table(spark, sf_dir, "documents")).withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.html_text import extract
+
+    found = table(spark, sf_dir, "pages").select("page_id", "url", extract("html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_quality_rules, op6_sharding, op9_mixing, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op8_html_text, op9_mixing, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
