@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.llm import mixing, quality
+from corundum.llm import licenses, mixing, quality
 from corundum.llm._spark import shared_folder, table
 
 
@@ -25,6 +25,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), classifier.flag("score", "lang").alias("flagged"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.decontaminate import decontaminate
 
@@ -57,6 +61,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents")).withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.html_text import extract
 
@@ -68,5 +78,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op8_html_text, op9_mixing, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op7_substring_dedup, op8_html_text, op9_mixing, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op2_license_scan": licenses.ORACLE, "op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
