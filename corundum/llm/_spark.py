@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Id lists up to this many rows (8 bytes each, 16 MB) may be broadcast; longer ones are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Rows a task of small intermediate tables takes.
+#: Rows of a written intermediate table that one task takes at least.
 ROWS = 50_000
 
 
@@ -26,22 +26,18 @@ def _folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Write the rows to the cluster's checkpoint folder and go on from there; rows: about how many there are at most."""
-    return counted(df, rows)[0]
+def cut(df: DataFrame) -> DataFrame:
+    """Write the rows to the cluster's checkpoint folder and go on from there, in no more partitions than they need."""
+    return counted(df)[0]
 
 
-def counted(df: DataFrame, rows: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
+def counted(df: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     """cut(), with the number of rows and an order-free digest of them, both taken while they are written."""
     _folder(df.sparkSession)
     seen = Observation()
-    out = fewer(df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")), rows).checkpoint(eager=True)
-    return out, (seen.get["n"], seen.get["x"])
-
-
-def fewer(df: DataFrame, rows: int | None) -> DataFrame:
-    """No more partitions than about `rows` rows need."""
-    return df if rows is None else df.coalesce(max(6, -(-rows // ROWS)))
+    out = df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).checkpoint(eager=True)
+    n, x = seen.get["n"], seen.get["x"]
+    return out.coalesce(max(6, -(-n // ROWS))), (n, x)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -57,21 +53,20 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> DataF
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
 
 
-def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
-    """(node, root) for every node of an undirected edge list (a, b) of about `rows` rows; root is the smallest reachable node.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of an undirected edge list (a, b); root is the smallest node that is reachable.
 
     Alternating large-star and small-star contraction: each step needs only joins and minima by key,
     chains shrink geometrically and no component is ever held in one place."""
-    few = lambda d: fewer(d, rows)
-    e, mark = counted(few(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct(), rows)
+    e, mark = counted(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while mark[0]:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = few(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         before = mark
-        e, mark = counted(few(small.where("a <> b")).distinct(), rows)
+        e, mark = counted(small.where("a <> b").distinct())
         if mark == before:
             break
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select("b", "b").distinct())

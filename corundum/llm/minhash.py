@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import by_ids, components, counted, cut, fewer
+from corundum.llm._spark import by_ids, components, counted, cut
 from corundum.llm._words import hashed_rows, shingles
 
 BANDS, ROWS = 72, 8
@@ -105,33 +105,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     buckets = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("met")).where("lo < hi").select("bucket", "met")
     active, (n, _) = counted(buckets.join(shared, "bucket"))
-    active = fewer(active, n)
-    texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")), n // 4)
+    texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")))
     known = active.groupBy("id").agg(F.sum("met").alias("met"))
     active = active.drop("met").join(known, "id").select("bucket", "id", "n", "met", F.col("id").alias("root"), F.array().cast("array<double>").alias("far"))
     links, turn, compare = None, 0, overlap(width)
     apart = F.lit(1 - percent / 100 + 1e-9)
     while n:
-        few = lambda d, n=n: fewer(d, n)
         alone = turn < 2
         share = F.lit(0) if alone else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(8 ** (turn - 1)))
         pivots = active.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("met", "id", "n", "root", "far")).alias("p")).select("bucket", "p")
         fits = (F.col("root") != F.col("p.root")) & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")) & ~F.coalesce(F.exists(F.zip_with("far", "p.far", lambda x, y: F.abs(x - y) > apart), lambda x: x), F.lit(False))
-        pairs = few(active.join(pivots, "bucket").where(fits).select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"))).distinct()
-        both = few(few(pairs).join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")).join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-        seen = cut(both.select("a", "b", compare("left", "right").alias("o")).select("a", "b", (100 * F.col("o.same") >= percent * F.col("o.either")).alias("linked"), (1 - F.col("o.same") / F.col("o.either")).alias("d")), n)
-        found, (fresh, _) = counted(seen.where("linked").select("a", "b"), n)
+        pairs = active.join(pivots, "bucket").where(fits).select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+        seen = cut(both.select("a", "b", compare("left", "right").alias("o")).select("a", "b", (100 * F.col("o.same") >= percent * F.col("o.either")).alias("linked"), (1 - F.col("o.same") / F.col("o.either")).alias("d")))
+        found, (fresh, _) = counted(seen.where("linked").select("a", "b"))
         if fresh:
-            links = components(found if links is None else found.union(links.select(F.col("node").alias("a"), F.col("root").alias("b"))), n)
-            links = cut(links, n)
+            links = cut(components(found if links is None else found.union(links.select(F.col("node").alias("a"), F.col("root").alias("b")))))
         rest = active.join(pivots.select("bucket", F.col("p.id").alias("pivot")), "bucket", "left") if alone else active.join(pivots.select("bucket", F.col("p.id").alias("id")), ["bucket", "id"], "left_anti")
         if alone:
-            rest = few(rest.where("id <> pivot").withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")})).join(seen.select("a", "b", "d"), ["a", "b"], "left").withColumn("far", F.concat("far", F.array("d")))
+            rest = rest.where("id <> pivot").withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")}).join(seen.select("a", "b", "d"), ["a", "b"], "left").withColumn("far", F.concat("far", F.array("d")))
         if fresh:
-            rest = few(rest.drop("root")).join(links.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        rest = few(rest.select("bucket", "id", "n", "met", "root", "far"))
+            rest = rest.drop("root").join(links.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rest = rest.select("bucket", "id", "n", "met", "root", "far")
         open_ = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-        active, (n, _) = counted(rest.join(open_, "bucket"), n)
+        active, (n, _) = counted(rest.join(open_, "bucket"))
         turn += 1
     if links is not None:
         classes = classes.join(links.select(F.col("node").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("rep"))
