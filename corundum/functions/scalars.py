@@ -10,6 +10,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def barrier(df):
+    """The same rows behind a generator, past which the optimizer doesn't inline the columns' expressions."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def rounded(c: str | Column, digits: int = 0) -> Column:
     """Half-even rounding of the scaled double."""
     scale = float(10**digits)
