@@ -10,7 +10,8 @@ The patterns are shipped in blocks of at most PATTERN_BYTES of item text, whatev
 benchmark; with several blocks each document is searched for one after the other and the word marks are merged.
 
 Null, empty and wordless texts have no words and no hits; wordless or null items have no windows; repeated item_ids
-count once; item ids that are null are searched but not listed; documents may repeat or carry extra columns, which are kept.
+count once; item ids that are null are searched but not listed; documents may repeat; extra columns are kept, those
+named like a result are replaced; empty tables give empty results and no hits.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ class Patterns:
             ends = _candidates(text, block, m, bits, shift)
             if not len(ends):
                 continue
-            keys = _view(text, block)[ends]
+            keys = _Blocks(text, block)[ends]
             lo, hi = np.searchsorted(suffix, keys, "left"), np.searchsorted(suffix, keys, "right")
             for p, a, z in zip((ends + block - m)[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
                 for i in ids[a:z].tolist():
@@ -107,12 +108,9 @@ class Patterns:
         return np.array(at, np.int64), np.array(which, np.int64)
 
 
-def _view(text: np.ndarray, block: int) -> np.ndarray:
-    """The block that starts at each byte as a number."""
-    return np.ndarray((max(0, len(text) - block + 1),), f"<u{block}", np.ascontiguousarray(text), strides=(1,)).astype(np.uint64, copy=False) if block == 8 else _Blocks(text, block)
-
-
 class _Blocks:
+    """The block that starts at each byte, as a number."""
+
     def __init__(self, text: np.ndarray, block: int):
         self.view = np.ndarray((max(0, len(text) - block + 1),), f"<u{block}", np.ascontiguousarray(text), strides=(1,))
 
@@ -136,7 +134,7 @@ def _candidates(text: np.ndarray, block: int, m: int, bits: int, shift: np.ndarr
     stretch = max(4 * m, -(-(last + 1) // CURSORS))
     pos = np.arange(m - block, last + 1, stretch)
     end = np.minimum(pos + stretch, last + 1)
-    view, hits = _view(text, block), []
+    view, hits = _Blocks(text, block), []
     while len(pos):
         step = shift[_slot(view[pos], bits)]
         if not step.all():
@@ -235,7 +233,8 @@ def item_blocks(benchmark: DataFrame, most: int = PATTERN_BYTES) -> Iterator[lis
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", most: int = PATTERN_BYTES) -> DataFrame:
     """The documents with n_words, hits (disjoint ranges of words inside occurrences), n_hit and items (ids, sorted)."""
-    out = None
+    out, added = None, ("n_words", "hits", "n_hit", "items")
+    docs = docs.select(*[c for c in docs.columns if c not in (*added, "_found", "_more")])
     for items in item_blocks(benchmark, most):
         found = searcher(Patterns(items, window))(F.col(text))
         if out is None:
