@@ -110,7 +110,9 @@ def build_models(equations: DataFrame) -> DataFrame:
     e = e.withColumn("kind", kind).where("kind is not null")
     chosen = F.when(F.col("kind") == "terms", F.col("_t")).when(F.col("kind") == "subscripts", F.col("_s")).when(F.col("kind") == "coefficients", F.col("_c"))
     e = e.withColumn("terms", chosen)
-    sound = (F.col("kind") == "expression") | ~F.exists("terms", lambda t: t["coef"].isNull() | F.map_contains_key(t["powers"], "?") | F.exists(F.map_values(t["powers"]), lambda p: p.isNull() | (p < 0)))
+    bad = F.exists("terms", lambda t: t["coef"].isNull() | F.map_contains_key(t["powers"], "?") | F.exists(F.map_values(t["powers"]), lambda p: p.isNull() | (p < 0)))
+    nameless = (F.col("kind") == "coefficients") & F.col("_v").isNull()
+    sound = (F.col("kind") == "expression") | ~(bad | nameless)
     e = e.where(sound)
     seen = F.array_sort(F.array_distinct(F.flatten(F.transform("terms", lambda t: F.map_keys(t["powers"])))))
     e = e.withColumn("names", F.when(F.col("kind") == "expression", F.array_distinct("_u")).when(F.col("kind") == "coefficients", F.array(F.col("_v"))).otherwise(seen))
