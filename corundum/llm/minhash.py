@@ -90,6 +90,22 @@ def overlap(width: int):
     return compare
 
 
+def shingle_rows(width: int):
+    @F.arrow_udf("array<bigint>")
+    def split(text: pa.Array) -> pa.Array:
+        sets = [shingles(h, width).view(np.int64) for h in hashed_rows(text)]
+        ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
+
+    return split
+
+
+def still_open(active: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component."""
+    shared = active.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    return active.join(shared, "bucket")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: the id, n_shingles and component_id, the smallest id reachable over links.
 
@@ -97,7 +113,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     bucket of a band, pivots (first the member that meets most others) are compared with the members of other components;
     the links found are contracted, and buckets that still hold more than one component go another round with
     other pivots. So every pair that shares a bucket is in one component, was compared, or cannot be linked: one minus the similarity is
-    a metric, and distances to a pivot that differ by more than 1 - percent/100 rule a pair out. No bucket is capped."""
+    a metric, and distances to a pivot that differ by more than 1 - percent/100 rule a pair out; so does the number of shingles that
+    no other text of the open buckets has, as the intersection can't hold them. No bucket is capped."""
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sketch = cut(docs.select("id", sketcher(width, bands, rows)("text").alias("s")).select("id", "s.digest", "s.n_shingles", "s.bands"))
     classes = sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("rep"))
@@ -107,14 +124,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     active, (n, _) = counted(buckets.join(shared, "bucket"))
     texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")))
     known = active.groupBy("id").agg(F.sum("met").alias("met"))
-    active = active.drop("met").join(known, "id").select("bucket", "id", "n", "met", F.col("id").alias("root"), F.array().cast("array<double>").alias("far"))
+    active = active.drop("met").join(known, "id").select("bucket", "id", "n", "met", F.col("id").alias("root"), F.array().cast("array<double>").alias("far"), F.lit(0).cast("bigint").alias("own"))
     links, turn, compare = None, 0, overlap(width)
     apart = F.lit(1 - percent / 100 + 1e-9)
     while n:
-        alone = turn < 2
-        share = F.lit(0) if alone else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(8 ** (turn - 1)))
-        pivots = active.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("met", "id", "n", "root", "far")).alias("p")).select("bucket", "p")
+        alone = not turn
+        share = F.lit(0) if alone else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(64**turn))
+        pivots = active.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("met", "id", "n", "root", "far", "own")).alias("p")).select("bucket", "p")
         fits = (F.col("root") != F.col("p.root")) & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")) & ~F.coalesce(F.exists(F.zip_with("far", "p.far", lambda x, y: F.abs(x - y) > apart), lambda x: x), F.lit(False))
+        most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"))
+        fits = fits & (100 * most >= percent * (F.col("n") + F.col("p.n") - most))
         pairs = active.join(pivots, "bucket").where(fits).select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
         both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
         seen = cut(both.select("a", "b", compare("left", "right").alias("o")).select("a", "b", (100 * F.col("o.same") >= percent * F.col("o.either")).alias("linked"), (1 - F.col("o.same") / F.col("o.either")).alias("d")))
@@ -126,9 +145,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             rest = rest.where("id <> pivot").withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")}).join(seen.select("a", "b", "d"), ["a", "b"], "left").withColumn("far", F.concat("far", F.array("d")))
         if fresh:
             rest = rest.drop("root").join(links.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        rest = rest.select("bucket", "id", "n", "met", "root", "far")
-        open_ = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-        active, (n, _) = counted(rest.join(open_, "bucket"))
+        active, (n, _) = counted(still_open(rest.select("bucket", "id", "n", "met", "root", "far", "own")))
+        if n and not turn:
+            # Shingles of one text alone: all texts it may still meet are in the open buckets.
+            ids = cut(active.select("id").distinct())
+            alone_ = texts.join(ids, "id", "left_semi").select("id", F.explode(shingle_rows(width)("text")).alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
+            active = active.join(alone_, "id", "left").withColumn("own", F.coalesce("alone", "own")).drop("alone").where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
+            # The best a text can reach in its bucket: all its shared shingles in a text of the bucket's smallest size.
+            g = F.col("n") - F.col("own")
+            active = active.join(active.groupBy("bucket").agg(F.min("n").alias("small")), "bucket").where(100 * g >= percent * (F.col("n") + F.greatest("small", g) - g)).drop("small")
+            active, (n, _) = counted(still_open(active))
         turn += 1
     if links is not None:
         classes = classes.join(links.select(F.col("node").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("rep"))
