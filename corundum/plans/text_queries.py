@@ -187,6 +187,10 @@ SELECT table_id, coalesce(string_agg(text, '|' ORDER BY r, q) FILTER (lead), '')
     "build_requests": f"""WITH {TX}, {WINDOWS} SELECT left(replace(raw, '/', '_'), 54) || '_' || left(sha256(raw), 9) AS custom_id, paper_uid, 'text' AS kind, window_no::INT AS unit_no, 'large' AS model,
   CASE WHEN window_no = 0 THEN coalesce('Title: ' || s_name || chr(10) || 'Materials: apple' || chr(10) || 'Frequencies: ' || CASE WHEN s_suppkey % 2 = 1 THEN '27.12, 915.0' ELSE '' END, '') ELSE 'Part ' || (window_no + 1) END || chr(10) || chr(10) || text AS prompt
 FROM (SELECT *, paper_uid || '/text/' || window_no AS raw FROM w) LEFT JOIN supplier ON paper_uid = 'p' || s_suppkey""",
+    "parse_responses": "SELECT 'c' || conv_id || '_' || (turn - 1) AS custom_id, CASE conv_id % 5 WHEN 1 THEN 1 WHEN 4 THEN 0 ELSE 2 END::BIGINT AS n, conv_id % 5 < 2 AS response_complete FROM conversations WHERE role = 'assistant'",
+    "records_from_responses": f"""WITH {ctes('requests')} SELECT 'm' || conv_id AS material_name, NULL::DOUBLE AS temperature_c, 3.5::DOUBLE AS dielectric_constant, NULL::DOUBLE AS loss_factor, NULL::DOUBLE AS moisture_content_pct, 'a ] }} b' AS salt_content, NULL::DOUBLE AS electrical_conductivity_s_m,
+  NULL AS measurement_method, NULL AS source_location, 27::DOUBLE AS frequency_mhz, NULL::DOUBLE AS loss_tangent, 'wet' AS moisture_basis, '' AS source_table, paper_uid, '10.5000/' || paper_uid AS doi, 'table' AS extraction_source, 'large' AS extraction_model, 'measured_table' AS data_provenance
+FROM (SELECT *, unnest(range(0, CASE conv_id % 5 WHEN 1 THEN 1 WHEN 4 THEN 0 ELSE 2 END)) AS k FROM conversations WHERE role = 'assistant') c JOIN requests q ON q.custom_id = 'c' || conv_id || '_' || (turn - 1)""",
     "parse_coefficients": "SELECT p_partkey, round(CASE p_partkey % 7 WHEN 0 THEN -(p_size + 0.25) WHEN 1 THEN p_size * 1e-3 WHEN 2 THEN -p_size * 1e-2 WHEN 3 THEN p_size + 0.5 WHEN 4 THEN p_size WHEN 5 THEN NULL ELSE ('1' || p_size)::DOUBLE END::DOUBLE, 6) AS value FROM part",
     "build_models": f"""WITH {EQ} SELECT p_partkey AS eq_no, p_size + 0.5::DOUBLE AS coef, 0 AS t, 0 AS m FROM k WHERE n = 0 UNION ALL SELECT p_partkey, -1.2::DOUBLE * pow(10::DOUBLE, -1::DOUBLE), 1, 0 FROM k WHERE n = 0
 UNION ALL SELECT p_partkey, c, t, m FROM k, (VALUES (0, 0, 0), (1, 0, 1), (2, 1, 1)) v(i, t, m), LATERAL (SELECT CASE i WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN 0.2::DOUBLE ELSE 3e-3 END AS c) WHERE n = 1 AND p_partkey % 13 <> 12
