@@ -177,13 +177,33 @@ def main_text(page: str | None) -> str:
             best = up
             break
         up = t.parent[up]
-    threshold = min(path)
+    whole = best and t.tag[best] in ("article", "main")
+    threshold = min(path if whole or up == best else [*path, density[up]])
+    kept = [False] * n  # what is taken, with all below it
+    kept[best] = True
+    if not whole:
+        # Other parts of the article: of every node at or above the threshold, and below none that is under it, the subtree of the largest sum.
+        peak = [-1] * n
+        for k in reversed(range(n)):
+            if not t.gone[k]:
+                if chars[k] and (t.tag[k] in CONTAINER or not k) and (peak[k] < 0 or total[k] > total[peak[k]]):
+                    peak[k] = k
+                if k and peak[k] >= 0 and (peak[t.parent[k]] < 0 or total[peak[k]] > total[peak[t.parent[k]]]):
+                    peak[t.parent[k]] = peak[k]
+        reached = [True] * n
+        for k in range(1, n):
+            frame = t.tag[k] in ("html", "body")
+            reached[k] = reached[t.parent[k]] and not t.gone[k] and (frame or chars[k] > 0 and density[k] >= threshold)
+            if reached[k] and not frame:
+                kept[k if peak[k] < 0 else peak[k]] = True
+    for k in range(1, n):
+        kept[k] = kept[k] or kept[t.parent[k]]
     left = [False] * n  # out of the text: link lists whose density is below the threshold
-    for k in range(best + 1, t.end[best]):
-        left[k] = left[t.parent[k]] or t.tag[k] in ("ul", "ol", "div", "section", "table") and links[k] >= 3 and link_chars[k] > 0.66 * chars[k] and density[k] < threshold
+    for k in range(1, n):
+        left[k] = kept[t.parent[k]] and left[t.parent[k]] or kept[t.parent[k]] and t.tag[k] in ("ul", "ol", "div", "section", "table") and links[k] >= 3 and link_chars[k] > 0.66 * chars[k] and density[k] < threshold
     blocks, now = [], []
     for k, s in t.pieces:
-        if s is not None and (not best <= k < t.end[best] or t.gone[k] or left[k]):
+        if s is not None and (not kept[k] or t.gone[k] or left[k]):
             continue
         if s is None:
             blocks.append(" ".join("".join(now).split()))

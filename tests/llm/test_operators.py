@@ -332,6 +332,19 @@ def test_pages_of_the_driver(spark):
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+def test_main_text_of_several_containers():
+    paras = [f"{k} " + "words of the article that go on and on, " * 8 for k in range(12)]
+    p = lambda lo, hi: "".join(f"<p>{x}</p>" for x in paras[lo:hi])
+    links = "<div>" + "".join(f"<a href=x{k}>Link {k}</a> " for k in range(12)) + "</div>"
+    want = "\n\n".join(x.strip() for x in paras)
+    for page in (
+        f"<body>{links}<div><div>{p(0, 6)}</div><div>{p(6, 12)}</div></div>{links}</body>",
+        f"<html><body>{links}<section>{p(0, 2)}</section><section>{p(2, 9)}</section>{links}<section>{p(9, 12)}</section></body></html>",
+        f"<body>{links}{p(0, 3)}<div>{p(3, 12)}</div>{links}</body>",
+    ):
+        assert html_text.main_text(page) == want
+
+
 def test_repeated_passages(spark):
     rng = np.random.default_rng(8)
     fresh = lambda n: " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n))
