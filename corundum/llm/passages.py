@@ -1,76 +1,74 @@
-"""Passages that repeat across documents, by MinHash banding of paragraphs.
+"""Passages that repeat across documents, by MinHash banding of paragraphs and by anchors of the word sequence.
 
 Paragraphs are lines of LEAST words or more. Their signatures are banded (16 bands of 4 rows: a pair of similarity 0.8
 collides with probability 0.9998), colliding ones are compared by exact Jaccard similarity of five-word shingles, and
-links form components of which all but the first paragraph are removed. A passage that was pasted into the middle
-of a line belongs to no repeated paragraph; for it sentences of SHORT words or more are matched by their word sequence across documents, and runs
-of repeated sentences that together have RUN words or more are passages too.
+links form components of which all but the first paragraph are removed. A passage that lies within a line or over several
+lines belongs to no repeated paragraph; for it the whole word sequence of a document, whatever its lines and marks, is winnowed: of every SPREAD
+successive shingles of WIDE words the one of least hash is an anchor. So any WIDE + SPREAD - 1 = 16 words in a row that two documents
+share have an anchor in common. Anchors that occur in two documents are widened word by word as far as the other document
+goes along, and runs of them, with at most GAP words between two, that together have RUN words or more are passages too. An exact copy of more than 50 words
+reaches RUN even where nothing is widened; a copy with edits of at least 0.8 similarity has a piece between its edits that does, or two beside each other.
 
 Null, empty and short texts have no paragraphs; repeated rows of one doc_id are one document for passages across documents,
-their equal paragraphs are one paragraph; ties keep the smaller id; very long texts are read in blocks of 1 MB, where a sentence may be cut in two;
-extra columns are ignored; an empty table gives an empty result."""
+their equal paragraphs are one paragraph; ties keep the smaller id; extra columns are ignored; an empty table gives an empty result."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corundum.llm._spark import cut
-from corundum.llm._words import BLOCK, SPACE, mix, pieces, runs, text_bytes, word_hashes
+from corundum.llm._words import hashed_rows, mix
 from corundum.llm.minhash import near_duplicates
 
-LEAST, SHORT, RUN, GAP = 40, 5, 30, 8
+LEAST, RUN, GAP = 40, 30, 8
+WIDE, SPREAD = 8, 9
+#: Words beside an anchor that are kept, a byte each; more than SPREAD - 1 are never needed.
+BESIDE = 8
 BANDS, ROWS = 16, 4
 #: A paragraph's id is the document's id times this plus its number.
 LINES = 1 << 24
 
 
-def sentences(part: np.ndarray, starts: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first word, words and key of each sentence; one ends with a word in . ! or ? and with a line."""
-    h, s, e = word_hashes(part, starts)
-    if not len(h):
-        z = np.zeros(0, np.int64)
-        return z, z, z, z
-    cuts = np.searchsorted(s, starts)
-    line = np.cumsum(part == 0x0A)[s]
-    fresh = np.empty(len(h), bool)
-    fresh[0] = True
-    fresh[1:] = np.isin(part[e[:-1] - 1], (0x2E, 0x21, 0x3F)) | (line[1:] != line[:-1])
-    fresh[cuts[cuts < len(h)]] = True
-    at = np.flatnonzero(fresh)
-    n = np.diff(np.append(at, len(h)))
-    inside = (np.arange(len(h)) - np.repeat(at, n) + 1).astype(np.uint64)
-    key = mix(np.add.reduceat(mix(h ^ (inside * np.uint64(0x9E3779B97F4A7C15))), at))
-    text = np.searchsorted(cuts, at, side="right") - 1
-    return text, at - cuts[text] + first, n, key.view(np.int64)
-
-
-def _sentence_udf(short: int):
-    @F.arrow_udf("array<struct<first:int,n:int,key:bigint>>")
+def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word, key and the words before and after (nearest in the lowest byte, 0 where the text ends) of each anchor of a text's word hashes."""
+    n = len(h) - WIDE + 1
+    key = np.zeros(n, np.uint64)
+    for k in range(WIDE):
+        key = mix(key ^ h[k : k + n]) + np.uint64(k)
+    least = np.lib.stride_tricks.sliding_window_view(key, SPREAD).argmin(1)
+    first = np.unique(np.arange(len(least)) + least)
+    sign = np.zeros(len(h) + 2 * BESIDE, np.uint64)
+    sign[BESIDE:-BESIDE] = np.maximum(mix(h) >> np.uint64(56), np.uint64(1))
+    before, after = np.zeros(len(first), np.uint64), np.zeros(len(first), np.uint64)
+    for k in range(BESIDE):
+        before |= sign[first + BESIDE - 1 - k] << np.uint64(8 * k)
+        after |= sign[first + BESIDE + WIDE + k] << np.uint64(8 * k)
+    return first, key[first].view(np.int64), before.view(np.int64), after.view(np.int64)
+
+
+def _anchor_udf(run: int):
+    @F.arrow_udf("array<struct<first:int,key:bigint,before:bigint,after:bigint>>")
     def split(column: pa.Array) -> pa.Array:
-        b, at = text_bytes(column)
-        parts = []
-        for lo, hi in runs(at):
-            part, starts = b[at[lo] : at[hi]], at[lo:hi] - at[lo]
-            if len(part) <= 2 * BLOCK:
-                got = [sentences(part, starts)]
-            else:
-                got, seen = [], 0
-                for x, y in pieces(part, ~SPACE):
-                    got.append(sentences(part[x:y], np.zeros(1, np.int64), seen))
-                    seen = int(got[-1][1][-1] + got[-1][2][-1]) if len(got[-1][1]) else seen
-            parts += [(t + lo, f, n, k) for t, f, n, k in got]
-        text, first, n, key = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4))
-        keep = n >= short
-        ends = np.searchsorted(text[keep], np.arange(len(column) + 1)).astype(np.int32)
-        rows = pa.StructArray.from_arrays([pa.array(first[keep], pa.int32()), pa.array(n[keep], pa.int32()), pa.array(key[keep], pa.int64())], ["first", "n", "key"])
+        none = (np.zeros(0, np.int64),) * 4
+        found = [anchors(h) if len(h) >= max(run, WIDE + SPREAD - 1) else none for h in hashed_rows(column)]
+        ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32)
+        first, *rest = (np.concatenate([x[i] for x in found]) if found else none[0] for i in range(4))
+        rows = pa.StructArray.from_arrays([pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)], ["first", "key", "before", "after"])
         return pa.ListArray.from_arrays(pa.array(ends), rows)
 
     return split
 
 
+def _along(a: str, b: str) -> Column:
+    """How many words beside an anchor are the same in both, from the nearest on."""
+    signed = lambda x: F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
+    apart = F.col(a).bitwiseXOR(F.col(b))
+    return sum(((apart.bitwiseAND(signed((1 << 8 * k + 8) - 1)) == 0) & (F.col(a).bitwiseAND(signed(0xFF << 8 * k)) != 0)).cast("int") for k in range(BESIDE))
+
+
 def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, position (line number), n_words, component_id (document of the kept paragraph), removed."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "para")).withColumn("n", F.size(F.filter(F.split("para", r"[\x20\x09-\x0D]+"), lambda w: w != ""))).where(F.col("n") >= least)
@@ -82,14 +80,24 @@ def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return every.select(F.expr(f"pid div {LINES}").alias("doc_id"), F.expr(f"pid % {LINES}").alias("position"), (F.col("n") + 4).alias("n_words"), F.expr(f"component_id div {LINES}").alias("component_id"), "removed")
 
 
-def repeated_runs(docs: DataFrame, short: int = SHORT, run: int = RUN, gap: int = GAP) -> DataFrame:
-    """doc_id, position (first word), n_words, component_id (first document that has it), removed."""
-    s = cut(docs.select("doc_id", _sentence_udf(short)("text").alias("s"))).select("doc_id", F.explode("s").alias("s")).select("doc_id", "s.first", "s.n", "s.key")
-    twice = s.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key", "lo")
-    hit = s.join(twice, "key").select("doc_id", "first", "n", "lo").distinct()
-    w = Window.partitionBy("doc_id").orderBy("first", "n")
-    hit = hit.withColumn("new", (F.col("first") - F.lag(F.col("first") + F.col("n")).over(w) > gap).cast("int")).withColumn("nth", F.sum(F.coalesce("new", F.lit(1))).over(w))
-    spans = hit.groupBy("doc_id", "nth").agg(F.min("first").alias("position"), F.max(F.col("first") + F.col("n")).alias("end"), F.min("lo").alias("component_id"))
+def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
+    """doc_id, position (first word), n_words, component_id (first document that has most of it), removed."""
+    s = cut(docs.select("doc_id", _anchor_udf(run)("text").alias("s"))).select("doc_id", F.explode("s").alias("s")).select("doc_id", "s.first", "s.key", "s.before", "s.after")
+    twice = s.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    hit = cut(s.join(twice, "key").distinct())
+    # The words beside an anchor in its first and last document; a document is compared with those of the two that it is not.
+    ends = hit.where("doc_id = lo or doc_id = hi").groupBy("key").agg(*[F.min(F.when(F.col("doc_id") == F.col(d), F.struct("before", "after"))).alias(f"at_{d}") for d in ("lo", "hi")])
+    hit = hit.join(ends, "key")
+    for side in ("before", "after"):
+        most = [F.when(F.col("doc_id") != F.col(d), _along(side, f"at_{d}.{side}")).otherwise(0) for d in ("lo", "hi")]
+        hit = hit.withColumn(f"more_{side}", F.greatest(*most))
+    hit = hit.select("doc_id", "lo", (F.col("first") - F.col("more_before")).alias("start"), (F.col("first") + WIDE + F.col("more_after")).alias("end"))
+    w = Window.partitionBy("doc_id").orderBy("start", "end", "lo")
+    seen = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    hit = hit.withColumn("new", F.coalesce((F.col("start") - seen > gap).cast("int"), F.lit(1))).withColumn("nth", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = hit.groupBy("doc_id", "nth", "lo").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
+    spans = parts.groupBy("doc_id", "nth").agg(F.min("start").alias("position"), F.max("end").alias("end"), F.max(F.struct("n", (-F.col("lo")).alias("lo"))).alias("most"))
+    spans = spans.withColumn("component_id", -F.col("most.lo"))
     return spans.where(F.col("end") - F.col("position") >= run).select("doc_id", F.col("position").cast("long").alias("position"), (F.col("end") - F.col("position")).cast("long").alias("n_words"), "component_id", (F.col("component_id") < F.col("doc_id")).alias("removed"))
 
 

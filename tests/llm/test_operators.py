@@ -356,3 +356,21 @@ def test_repeated_passages(spark):
     runs = {r.doc_id: r for r in got if r.kind == "run"}
     assert {i for i, r in runs.items() if r.removed} >= {5} and runs[4].n_words >= 50 and not runs[4].removed
     assert not {6, 7, 8, 9} & {r.doc_id for r in got} and passages.repeated_passages(empty(spark)).count() == 0
+
+
+def test_repeated_passages_whatever_lines_and_marks(spark):
+    rng = np.random.default_rng(11)
+    fresh = lambda n: " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n))
+    lines = lambda t, n: re.sub(rf"((?:\S+ ){{{n - 1}}}\S+) ", r"\1\n", t)
+    inner, marked, short, edited, long = fresh(55), " ".join(w + "!!" for w in fresh(60).split()), fresh(60), fresh(51).split(), fresh(200_000)
+    other = " ".join(edited[:25] + ["other"] + edited[26:])
+    rows = [
+        (1, fresh(70) + " " + inner + " " + fresh(33)), (2, fresh(41) + " " + inner + " " + fresh(90)),  # in the middle of a line
+        (3, lines(marked, 7)), (4, lines(marked, 7)), (5, fresh(9) + "\n" + lines(short, 5) + "\n" + fresh(8)), (6, lines(fresh(17) + " " + short, 11)),  # short lines
+        (7, fresh(60) + " " + " ".join(edited) + " " + fresh(60)), (8, fresh(45) + " " + other + " " + fresh(70)), (9, fresh(400)), (10, fresh(29)), (11, fresh(29)),
+        (12, long + " " + inner), (13, lines(long, 6)),  # longer than a block
+    ]
+    got = {(r.doc_id, r.position): r for r in passages.repeated_runs(edge(spark, rows)).collect()}
+    want = {(1, 70): (55, 1), (2, 41): (55, 1), (3, 0): (60, 3), (4, 0): (60, 3), (5, 9): (60, 5), (6, 17): (60, 5), (7, 60): (51, 7), (8, 45): (51, 7), (12, 0): (200_055, 12), (13, 0): (200_000, 12)}
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+    assert all(abs(r.n_words - want[i][0]) <= 1 and r.removed == (r.component_id < r.doc_id) for i, r in got.items())
