@@ -56,4 +56,4 @@ def shard(docs: DataFrame, shards: int = 8, atoms: int = ATOMS, blocks: int = BL
     # At most shards x blocks rows, whatever the input.
     rows = rows.join(F.broadcast(starts), ["shard", "block"])
     nth = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size"))
-    return rows.select("doc_id", "size", "text_crc32", "shard", (F.col("start") + nth - 1).cast("int").alias("slot"))
+    return rows.select("doc_id", "size", "text_crc32", "shard", (F.col("start") + nth - 1).cast("long").alias("slot"))

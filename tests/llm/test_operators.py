@@ -374,3 +374,7 @@ def test_repeated_passages_whatever_lines_and_marks(spark):
     want = {(1, 70): (55, 1), (2, 41): (55, 1), (3, 0): (60, 3), (4, 0): (60, 3), (5, 9): (60, 5), (6, 17): (60, 5), (7, 60): (51, 7), (8, 45): (51, 7), (12, 0): (200_055, 12), (13, 0): (200_000, 12)}
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
     assert all(abs(r.n_words - want[i][0]) <= 1 and r.removed == (r.component_id < r.doc_id) for i, r in got.items())
+
+
+def test_slots_are_long(spark):
+    assert dict(sharding.shard(edge(spark)).dtypes)["slot"] == "bigint"
