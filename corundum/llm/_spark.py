@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Id lists up to this many rows (8 bytes each, 16 MB) may be broadcast; longer ones are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Rows of a written intermediate table that one task takes at least.
-ROWS = 50_000
+#: Bytes of a written intermediate table that one task takes at least.
+TASK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,15 +20,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; only where that is unset (tests on one machine) is a folder made."""
+    """The session's spark.checkpoint.dir; only where that is unset and everything runs in one process is a folder made."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind), F.lit(0).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _bytes(x, kind.elementType)) if isinstance(kind.elementType, (T.StringType, T.BinaryType)) else F.size(value) * F.lit(8 * len(getattr(kind.elementType, "fields", "1"))), F.lit(0)).cast("long")
+    return F.lit(8).cast("long")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the cluster's checkpoint folder and go on from there, in no more partitions than they need."""
+    """Write the rows to the cluster's checkpoint folder and go on from there, in no more partitions than their bytes need."""
     return counted(df)[0]
 
 
@@ -35,9 +50,11 @@ def counted(df: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     """cut(), with the number of rows and an order-free digest of them, both taken while they are written."""
     _folder(df.sparkSession)
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).checkpoint(eager=True)
-    n, x = seen.get["n"], seen.get["x"]
-    return out.coalesce(max(6, -(-n // ROWS))), (n, x)
+    size = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0).cast("long"))
+    digest = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    out = df.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("x"), F.sum(size).alias("bytes")).checkpoint(eager=True)
+    n, x, total = (seen.get[k] for k in ("n", "x", "bytes"))
+    return out.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // TASK_BYTES))), (n, x)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,8 +66,12 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> DataF
     """Semi or anti join of wide rows with a list of ids that is already materialised.
 
     The list is counted; a short one is broadcast, so the wide rows need no shuffle, a long one is joined by shuffle."""
-    ids = ids.select(on).distinct()
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
+    return df.join(small(ids.select(on).distinct()), on, how)
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A narrow table with the hint to broadcast it, if its counted rows are no more than BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -64,9 +85,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        star = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         before = mark
-        e, mark = counted(small.where("a <> b").distinct())
+        e, mark = counted(star.where("a <> b").distinct())
         if mark == before:
             break
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select("b", "b").distinct())

@@ -8,7 +8,9 @@ With ROWS = 8 and BANDS = 72 a pair of similarity 0.8 shares a band with probabi
 1 - (1 - 0.8**8)**72 = 0.999998, one of similarity 0.4 with 0.05.
 
 Edge cases: null, empty and blank texts have no shingles, link with nothing and are
-their own component; rows that repeat a doc_id get one answer each, the same; texts
+their own component; every row is a document of its own, so rows that repeat a doc_id with
+different texts may be in different components, those with equal texts are in the same; a null id is
+never the smallest, and is a component's id only where all its ids are null; texts
 shorter than a shingle are one shingle; extra columns, also of clashing names, are ignored
 by ``near_duplicates`` (only the named id and text columns are read); an empty table
 gives an empty result.
@@ -21,10 +23,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import by_ids, components, counted, cut
+from corundum.llm._spark import components, counted, cut, small
 from corundum.llm._words import hashed_rows, shingles
 
 BANDS, ROWS = 72, 8
@@ -76,20 +78,6 @@ def sketcher(width: int, bands: int, rows: int):
     return sketch
 
 
-def overlap(width: int):
-    @F.arrow_udf("struct<same:bigint,either:bigint>")
-    def compare(left: pa.Array, right: pa.Array) -> pa.Array:
-        same, either = [], []
-        for x, y in zip(hashed_rows(left), hashed_rows(right), strict=True):
-            x, y = shingles(x, width), shingles(y, width)
-            n = len(np.intersect1d(x, y, assume_unique=True))
-            same.append(n)
-            either.append(len(x) + len(y) - n)
-        return pa.StructArray.from_arrays([pa.array(same, pa.int64()), pa.array(either, pa.int64())], ["same", "either"])
-
-    return compare
-
-
 def shingle_rows(width: int):
     @F.arrow_udf("array<bigint>")
     def split(text: pa.Array) -> pa.Array:
@@ -100,62 +88,126 @@ def shingle_rows(width: int):
     return split
 
 
-def still_open(active: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component."""
-    shared = active.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    return active.join(shared, "bucket")
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have the asked similarity."""
+    left, right = (sets.select(F.col("node").alias(k), F.col("sh").alias(f"sh_{k}")) for k in "ab")
+    same = F.size(F.array_intersect("sh_a", "sh_b"))
+    return pairs.join(left, "a").join(right, "b").where(100 * same >= percent * (F.size("sh_a") + F.size("sh_b") - same)).select("a", "b")
+
+
+def contracted(found: DataFrame, links: DataFrame | None) -> DataFrame | None:
+    """(node, root) after the links found, on top of the earlier ones."""
+    found, (n, _) = counted(found)
+    if not n:
+        return links
+    return cut(components(found if links is None else found.union(links.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+
+
+def rooted(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The rows with the root of their node, itself where it has no links."""
+    rows = rows.drop("root")
+    if links is None:
+        return rows.withColumn("root", F.col("node"))
+    return rows.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def still_open(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of the groups that hold more than one component."""
+    shared = rows.groupBy(group).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(group)
+    return rows.join(shared, group, "left_semi")
+
+
+def least_overlap(n: Column | str, m: Column | str, percent: int) -> Column:
+    """The smallest intersection with which sets of n and m shingles are similar enough."""
+    return F.ceil(percent * (F.col(n) if isinstance(n, str) else n).cast("long") / F.lit(100 + percent) + percent * (F.col(m) if isinstance(m, str) else m) / F.lit(100 + percent) - 1e-9)
+
+
+def pivot_pairs(rows: DataFrame, group: str, fits: Column) -> DataFrame:
+    """Each group's pivot, the node that meets most others, with the members of other components that fit it."""
+    p = rows.groupBy(group).agg(F.max(F.struct("met", "node", "n", "root", "at")).alias("p"))
+    pairs = rows.join(p, group).where((F.col("root") != F.col("p.root")) & fits)
+    return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+
+
+def prefixes(sets: DataFrame, open_nodes: DataFrame, percent: int) -> DataFrame:
+    """(h, at, node, n, met, root): the rarest shingles of each open node, as far as a link needs.
+
+    Shingles stand in the order of their frequency among the open nodes. Two sets with the asked similarity have a
+    shingle in common at a place `at` of either that leaves enough shingles behind it for their intersection, so nodes that
+    share none of these are no link."""
+    tokens = sets.join(open_nodes, "node").select("node", "n", "met", "root", F.explode("sh").alias("h"))
+    often = tokens.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
+    ranked = tokens.join(often, "h").groupBy("node", "n", "met", "root").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("t"))
+    own = F.col("n") - F.size("t")  # shingles that no other open node has stand first
+    need = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    first = F.when(own < need, F.slice("t", F.lit(1), (need - own).cast("int"))).otherwise(F.array().cast("array<struct<f:bigint,h:bigint>>"))
+    return ranked.select("node", "n", "met", "root", own.alias("own"), F.posexplode(first).alias("k", "x")).select("x.h", (F.col("own") + F.col("k")).cast("long").alias("at"), "node", "n", "met", "root")
+
+
+def pruned(entries: DataFrame, percent: int) -> DataFrame:
+    """Without entries that stand too far back for a link with even the smallest set of another component they meet."""
+    groups = entries.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("small")).where("lo < hi").select("h", "small")
+    partner = F.greatest(F.col("small"), F.ceil(percent * F.col("n") / 100))
+    return entries.join(groups, "h").where(F.col("at") <= F.col("n") - least_overlap("n", partner, percent)).drop("small")
+
+
+def linked(nodes: DataFrame, sets_of, percent: int) -> DataFrame | None:
+    """(node, root) of all nodes that have links, from nodes (node, n, bands); None if there are none.
+
+    sets_of gets a table with the nodes that share a bucket and returns (node, sh), their distinct shingles. In every bucket
+    the node that meets most others is compared with all members of a like size, and the links found are contracted. Nodes
+    of buckets that still hold several components are then joined by their rarest shingles (prefix filter), again first
+    with one pivot for each shingle and then, if several components are left, with each other. So every
+    pair that shares a bucket is in one component, was compared, or cannot reach the similarity. Nothing is capped."""
+    buckets = nodes.select("node", F.col("n").cast("long").alias("n"), F.explode("bands").alias("bucket"))
+    met = buckets.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
+    active, (n, _) = counted(buckets.join(met, "bucket"))
+    if not n:
+        return None
+    who = cut(active.groupBy("node", "n").agg(F.sum("met").alias("met")))
+    sets = cut(sets_of(who))
+    active = active.drop("met").join(who.select("node", "met"), "node").withColumns({"root": F.col("node"), "at": F.lit(0).cast("long")})
+    alike = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
+    active = cut(active)
+    links = contracted(compared(pivot_pairs(active, "bucket", alike), sets, percent), None)
+    open_nodes, (n, _) = counted(still_open(rooted(active, links), "bucket").select("node", "n", "met", "root").distinct())
+    if not n:
+        return links
+    entries, (n, _) = counted(pruned(pruned(prefixes(sets, open_nodes, percent), percent), percent))
+    close = alike & (F.col("at") <= F.col("n") - least_overlap("n", "p.n", percent)) & (F.col("p.at") <= F.col("p.n") - least_overlap("n", "p.n", percent))
+    for _ in range(2):
+        if not n:
+            return links
+        links = contracted(compared(pivot_pairs(entries, "h", close), sets, percent), links)
+        entries, (n, _) = counted(pruned(rooted(entries, links), percent))
+    if not n:
+        return links
+    other = entries.select("h", F.struct("node", "n", "root", "at").alias("p"))
+    rest = entries.join(other, "h").where((F.col("node") < F.col("p.node")) & (F.col("root") != F.col("p.root")) & close)
+    return contracted(compared(rest.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct(), sets, percent), links)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: the id, n_shingles and component_id, the smallest id reachable over links.
-
-    Texts of equal word sequences are linked by their digest and go on as one representative. In every
-    bucket of a band, pivots (first the member that meets most others) are compared with the members of other components;
-    the links found are contracted, and buckets that still hold more than one component go another round with
-    other pivots. So every pair that shares a bucket is in one component, was compared, or cannot be linked: one minus the similarity is
-    a metric, and distances to a pivot that differ by more than 1 - percent/100 rule a pair out; so does the number of shingles that
-    no other text of the open buckets has, as the intersection can't hold them. No bucket is capped."""
+    """One row per input row: the id, raw (md5 of the text), n_shingles and component_id, the smallest id reachable over links.
+
+    Texts of equal word sequences are one class, known by its digest, and go on as one node; the classes that share a bucket are
+    linked by ``linked``. A component's id is the smallest id of all rows of its classes."""
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sketch = cut(docs.select("id", sketcher(width, bands, rows)("text").alias("s")).select("id", "s.digest", "s.n_shingles", "s.bands"))
-    classes = sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("rep"))
-    reps = sketch.select("id", "digest", "n_shingles", "bands").join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"]).dropDuplicates(["id", "digest"])
-    buckets = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("met")).where("lo < hi").select("bucket", "met")
-    active, (n, _) = counted(buckets.join(shared, "bucket"))
-    texts = cut(by_ids(docs.withColumnRenamed("id", "doc_id"), active.select(F.col("id").alias("doc_id")), "left_semi").select(F.col("doc_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text")))
-    known = active.groupBy("id").agg(F.sum("met").alias("met"))
-    active = active.drop("met").join(known, "id").select("bucket", "id", "n", "met", F.col("id").alias("root"), F.array().cast("array<double>").alias("far"), F.lit(0).cast("bigint").alias("own"))
-    links, turn, compare = None, 0, overlap(width)
-    apart = F.lit(1 - percent / 100 + 1e-9)
-    while n:
-        alone = not turn
-        share = F.lit(0) if alone else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(64**turn))
-        pivots = active.groupBy("bucket", share.alias("share")).agg(F.max(F.struct("met", "id", "n", "root", "far", "own")).alias("p")).select("bucket", "p")
-        fits = (F.col("root") != F.col("p.root")) & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")) & ~F.coalesce(F.exists(F.zip_with("far", "p.far", lambda x, y: F.abs(x - y) > apart), lambda x: x), F.lit(False))
-        most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"))
-        fits = fits & (100 * most >= percent * (F.col("n") + F.col("p.n") - most))
-        pairs = active.join(pivots, "bucket").where(fits).select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-        seen = cut(both.select("a", "b", compare("left", "right").alias("o")).select("a", "b", (100 * F.col("o.same") >= percent * F.col("o.either")).alias("linked"), (1 - F.col("o.same") / F.col("o.either")).alias("d")))
-        found, (fresh, _) = counted(seen.where("linked").select("a", "b"))
-        if fresh:
-            links = cut(components(found if links is None else found.union(links.select(F.col("node").alias("a"), F.col("root").alias("b")))))
-        rest = active.join(pivots.select("bucket", F.col("p.id").alias("pivot")), "bucket", "left") if alone else active.join(pivots.select("bucket", F.col("p.id").alias("id")), ["bucket", "id"], "left_anti")
-        if alone:
-            rest = rest.where("id <> pivot").withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")}).join(seen.select("a", "b", "d"), ["a", "b"], "left").withColumn("far", F.concat("far", F.array("d")))
-        if fresh:
-            rest = rest.drop("root").join(links.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        active, (n, _) = counted(still_open(rest.select("bucket", "id", "n", "met", "root", "far", "own")))
-        if n and not turn:
-            # Shingles of one text alone: all texts it may still meet are in the open buckets.
-            ids = cut(active.select("id").distinct())
-            alone_ = texts.join(ids, "id", "left_semi").select("id", F.explode(shingle_rows(width)("text")).alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
-            active = active.join(alone_, "id", "left").withColumn("own", F.coalesce("alone", "own")).drop("alone").where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
-            # The best a text can reach in its bucket: all its shared shingles in a text of the bucket's smallest size.
-            g = F.col("n") - F.col("own")
-            active = active.join(active.groupBy("bucket").agg(F.min("n").alias("small")), "bucket").where(100 * g >= percent * (F.col("n") + F.greatest("small", g) - g)).drop("small")
-            active, (n, _) = counted(still_open(active))
-        turn += 1
+    raw = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    sketch = cut(docs.select("id", raw.alias("raw"), sketcher(width, bands, rows)("text").alias("s")).select("id", "raw", "s.digest", "s.n_shingles", "s.bands"))
+    some = sketch.where("n_shingles > 0")
+    nodes = some.groupBy("digest").agg(F.max("n_shingles").alias("n"), F.first("bands").alias("bands")).withColumnRenamed("digest", "node")
+    ids = some.groupBy("digest").agg(F.min("id").alias("rep"), F.min(F.struct("id", "raw")).alias("row"))
+
+    def sets_of(who: DataFrame) -> DataFrame:
+        wanted = cut(ids.join(who.select(F.col("node").alias("digest")), "digest").select(F.col("digest").alias("node"), F.col("row.id").alias("_id"), F.col("row.raw").alias("_raw")))
+        found = docs.withColumn("raw", raw).join(small(wanted), (F.col("raw") == F.col("_raw")) & F.col("id").eqNullSafe(F.col("_id")))
+        return found.groupBy("node").agg(F.first("text").alias("text")).select("node", shingle_rows(width)("text").alias("sh"))
+
+    links = linked(nodes, sets_of, percent)
+    classes = ids.select("digest", "rep")
     if links is not None:
-        classes = classes.join(links.select(F.col("node").alias("rep"), "root"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("rep"))
-    return sketch.join(classes, "digest", "left").select(F.col("id").alias(key), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("id")).alias("component_id"))
+        grouped = cut(classes.join(links.withColumnRenamed("node", "digest"), "digest").select("digest", "root", "rep"))
+        least = grouped.groupBy("root").agg(F.min("rep").alias("least"))
+        classes = classes.join(grouped.join(least, "root").select("digest", "least"), "digest", "left").select("digest", F.coalesce("least", "rep").alias("rep"))
+    return sketch.join(classes, "digest", "left").select(F.col("id").alias(key), "raw", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("id")).alias("component_id"))
