@@ -6,27 +6,30 @@ blocks of bytes says how far a position can be skipped, a block with shift 0 sel
 strings by the hash of their suffix block, and the bytes themselves confirm an occurrence. Many cursors
 walk over one block of texts at once, so every step is one numpy operation.
 
-The patterns are shipped in blocks of at most PATTERN_BYTES of item text, whatever the size of the
-benchmark; with several blocks each document is searched for one after the other and the word marks are merged.
+The benchmark is shipped in blocks of about PATTERN_BYTES of item text, from which each Python worker builds the tables of one
+block at a time. With several blocks the texts are searched for one after the other, and the marks of the texts that were
+hit are written before the next block is read, so neither the driver nor a worker holds more than one.
 
 Null, empty and wordless texts have no words and no hits; wordless or null items have no windows; repeated item_ids
-count once; item ids that are null are searched but not listed; documents may repeat; extra columns are kept, those
-named like a result are replaced; empty tables give empty results and no hits.
+count once; item ids that are null are searched but not listed; documents may repeat, each row gets its own result; extra columns
+are kept, those named like a result are replaced; empty tables give empty results and no hits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corundum.llm._spark import cut, small
 from corundum.llm._words import LOWER, pieces, runs, text_bytes
 
 WINDOW = 10
-PATTERN_BYTES = 8 << 20
+PATTERN_BYTES = 2 << 20
 WORD = np.zeros(256, bool)
 WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 #: Patterns are searched by classes of these least lengths in bytes, each with its own block size.
@@ -207,13 +210,18 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 KIND = "struct<n_words:bigint,spans:array<struct<first:bigint,end:bigint>>,items:array<string>>"
 
 
-def searcher(patterns: Patterns):
-    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+@lru_cache(1)
+def _patterns(items: tuple[tuple[str | None, str | None], ...], window: int) -> Patterns:
+    return Patterns(list(items), window)
+
+
+def searcher(block: list[tuple[str | None, str | None]], window: int):
+    span, shipped = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), tuple(block)
 
     @F.arrow_udf(KIND)
     def search(text: pa.Array) -> pa.Array:
         n, spans, items = [], [], []
-        for count, got, found in marked(text, patterns):
+        for count, got, found in marked(text, _patterns(shipped, window)):
             n.append(count)
             spans.append([{"first": s, "end": e} for s, e in got])
             items.append(sorted(found))
@@ -233,17 +241,32 @@ def item_blocks(benchmark: DataFrame, most: int = PATTERN_BYTES) -> Iterator[lis
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", most: int = PATTERN_BYTES) -> DataFrame:
     """The documents with n_words, hits (disjoint ranges of words inside occurrences), n_hit and items (ids, sorted)."""
-    out, added = None, ("n_words", "hits", "n_hit", "items")
-    docs = docs.select(*[c for c in docs.columns if c not in (*added, "_found", "_more")])
-    for items in item_blocks(benchmark, most):
-        found = searcher(Patterns(items, window))(F.col(text))
-        if out is None:
-            out = docs.withColumn("_found", found)
-        else:
-            out = out.withColumn("_more", found).withColumn(
-                "_found",
-                F.struct(F.col("_found.n_words").alias("n_words"), F.array_sort(F.concat("_found.spans", "_more.spans")).alias("spans"), F.array_union("_found.items", "_more.items").alias("items")),
-            ).drop("_more")
-    # Ranges of several blocks may overlap; a fold over the sorted ranges counts each word once.
-    hit = F.aggregate("_found.spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")), lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["first"], a["to"]))).alias("n"), F.greatest(s["end"], a["to"]).alias("to")), lambda a: a["n"])
-    return out.select(*docs.columns, F.col("_found.n_words").alias("n_words"), F.col("_found.spans").alias("hits"), hit.alias("n_hit"), F.array_sort("_found.items").alias("items"))
+    kept = [c for c in docs.columns if c not in ("n_words", "hits", "n_hit", "items")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
+    digest, earlier, blocks = F.md5(F.coalesce("text", F.lit(""))), None, item_blocks(benchmark, most)
+    block = next(blocks)
+    for after in blocks:
+        found = rows.select(digest.alias("digest"), searcher(block, window)("text").alias("f")).where("size(f.spans) > 0")
+        marks = cut(found.groupBy("digest").agg(F.first("f.spans").alias("spans"), F.first("f.items").alias("items")))
+        earlier, block = marks if earlier is None else earlier.unionByName(marks), after
+    rows = rows.withColumn("f", searcher(block, window)("text"))
+    spans, items = F.col("f.spans"), F.col("f.items")
+    if earlier is not None:
+        merged = cut(earlier.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("more_spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items")))
+        rows = rows.withColumn("digest", digest).join(small(merged), "digest", "left")
+        spans = F.when(F.col("more_spans").isNull(), spans).otherwise(F.array_sort(F.concat(spans, "more_spans")))
+        items = F.when(F.col("more_items").isNull(), items).otherwise(F.array_union(items, F.col("more_items")))
+    # Ranges of several blocks may overlap; a fold over the sorted ranges joins those that do, so each word counts once.
+    span = "array<struct<first:bigint,end:bigint>>"
+
+    def joined(out, s):
+        last = F.element_at(out, -1)
+        over = (F.size(out) > 0) & (s["first"] <= F.when(F.size(out) > 0, last["end"]).otherwise(F.lit(-1).cast("long")))
+        whole = F.array(F.struct(last["first"].alias("first"), F.greatest(last["end"], s["end"]).alias("end")))
+        return F.when(over, F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), whole)).otherwise(F.concat(out, F.array(s))).cast(span)
+
+    if earlier is not None:
+        spans = F.when(F.size(spans) < 2, spans).otherwise(F.aggregate(spans, F.array().cast(span), joined))
+    rows = rows.select("doc", F.col("f.n_words").alias("n_words"), spans.alias("hits"), F.array_sort(items).alias("items"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return rows.select("doc.*", "n_words", "hits", n_hit.alias("n_hit"), "items")

@@ -6,10 +6,14 @@ floor(target / source size) times whole, and once more if it falls into the frac
 documents of a source stand in the order of a seeded hash and are taken as long as their middle lies before the goal,
 so a source misses its target by half a document at most, and reruns agree.
 
-The running sums are two-level (hash cells within a source, then documents within a cell), so a source that
-holds a third of all rows is spread over CELLS groups. Null texts have size 0 and are taken 0 words; null is a source of its own,
-the last; documents that repeat an id stand in the order of their size; rows that are wholly equal are told apart by
-nothing and share one place; an empty table gives an empty result; columns other than the named three are kept out of ``mix``.
+The order is cut into CELLS cells by the hash. Their sums show in which cell of each source the fraction ends; only the
+documents of that cell are put in order, and the last document taken is all that a source needs: whether a document is taken once
+more is then a comparison with it. So no source, however large, is sorted, and the documents are not shuffled.
+
+Null texts have size 0 and are taken 0 words; null is a source of its own, the last; documents that repeat an id are
+ordered by the MD5 of their text; rows of equal id, text and source share one place and are taken equally often, as one document of their
+sizes together; an empty table gives an empty result; only doc_id, text and source are read, so other columns, also of clashing names, change
+nothing, and ``repeat_rows`` hands them on.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import cut
+from corundum.llm._spark import cut, small
 
 MAX_EPOCHS = 3
 CELLS = 4096
@@ -31,13 +35,24 @@ def n_words(text: str) -> F.Column:
 
 
 def targets(sources: DataFrame, weights=(1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(source, source_size, target) from (source, source_size): one row a source, a small catalogue."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    nth = F.pmod(F.row_number().over(order) - 1, F.lit(len(weights)))
-    s = cut(sources.select("source", "source_size", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (nth + 1).cast("int")).alias("weight"), F.lit(False).alias("full")))
+    """(source, source_size, target) from (source, source_size), one row a source; their ranks are counted by sorted partition."""
+    ranged = cut(sources.select("source", "source_size").orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    # As many rows as the sorted table has partitions.
+    counts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    ranked = ranged.withColumn("part", part).join(F.broadcast(offsets), "part")
+    nth = F.pmod(F.col("offset") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(len(weights)))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (nth + 1).cast("int"))
+    s = cut(ranked.select("source", "source_size", weight.alias("weight"), F.lit(False).alias("full")))
     cap = F.col("source_size") * F.lit(max_epochs)
     while True:
-        rest = s.agg(F.sum("source_size").alias("all"), F.sum(F.when(F.col("full"), cap).otherwise(0)).alias("full"), F.sum(F.when(~F.col("full"), F.col("weight"))).alias("weight"), F.count_if("full").alias("n")).first()
+        rest = s.agg(
+            F.sum("source_size").alias("all"),
+            F.sum(F.when(F.col("full"), cap).otherwise(0)).alias("full"),
+            F.sum(F.when(~F.col("full"), F.col("weight"))).alias("weight"),
+            F.count_if("full").alias("n"),
+        ).first()
         level = ((rest["all"] or 0) - (rest["full"] or 0)) / rest["weight"] if rest["weight"] else 0.0
         after = s.withColumn("full", F.col("full") | (F.col("weight") * F.lit(level) > cap))
         if after.where("full").count() == rest["n"]:
@@ -46,34 +61,62 @@ def targets(sources: DataFrame, weights=(1, 2, 3), max_epochs: int = MAX_EPOCHS)
     return s.select("source", "source_size", F.when(F.col("full"), cap.cast("double")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
 
 
+def spot(seed: str = SEED) -> F.Column:
+    """A document's place in the order of its source."""
+    return F.concat(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), F.md5(F.coalesce("text", F.lit(""))))
+
+
+def source_key() -> F.Column:
+    """One key for null and named sources alike."""
+    return F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))
+
+
+def plan(d: DataFrame, weights=(1, 2, 3), max_epochs: int = MAX_EPOCHS, cells: int = CELLS) -> DataFrame:
+    """(key, source_size, target, whole, last) of each source, from (source, key, spot, size) of each document: how often all of it
+    is taken, and the place of the last document that is taken once more."""
+    cell = (F.conv(F.substring("spot", 1, 8), 16, 10).cast("long") * cells / F.lit(1 << 32)).cast("int")
+    d = d.withColumn("cell", cell)
+    per_cell = cut(d.groupBy("key", "source", "cell").agg(F.sum("size").alias("words"), F.max("spot").alias("end")))
+    goal = targets(per_cell.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs).withColumn("key", source_key()).drop("source")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    goal = cut(goal.withColumn("whole", whole).withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")))
+    before = F.coalesce(F.sum("words").over(Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranged = per_cell.select("key", "cell", "words", "end", before.alias("before")).join(small(goal.select("key", "part")), "key")
+    # The last cell that begins before the goal holds the last document taken, or all cells before it are taken and nothing of it is.
+    reached = ranged.where("before <= part").groupBy("key").agg(F.max(F.struct("cell", "before", "part")).alias("c")).select("key", "c.*")
+    previous = ranged.join(small(reached.select("key", F.col("cell").alias("at"))), "key").where("cell < at").groupBy("key").agg(F.max(F.struct("cell", "end")).alias("p")).select("key", F.col("p.end").alias("end"))
+    inside = d.join(small(reached), ["key", "cell"]).groupBy("key", "spot", "before", "part").agg(F.sum("size").alias("size"))
+    ahead = F.coalesce(F.sum("size").over(Window.partitionBy("key").orderBy("spot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    taken = inside.withColumn("ahead", ahead).where(2 * (F.col("before") + F.col("ahead")) + F.col("size") <= 2 * F.col("part"))
+    last = taken.groupBy("key").agg(F.max("spot").alias("spot"))
+    last = goal.select("key").join(last, "key", "left").join(previous, "key", "left").select("key", F.coalesce("spot", "end", F.lit("")).alias("last"))
+    return cut(goal.join(last, "key").select("key", "source_size", "target", "whole", "last"))
+
+
+def documents_plan(docs: DataFrame, seed: str) -> DataFrame:
+    return docs.select("doc_id", "source", source_key().alias("key"), n_words("text").alias("size"), spot(seed).alias("spot"))
+
+
 def mix(docs: DataFrame, weights=(1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: str = SEED, cells: int = CELLS) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies (how often it is taken) and taken (its words that the mix takes)."""
-    place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    d = docs.select("doc_id", "source", n_words("text").alias("size"), place.alias("place"))
-    # One key for null and named sources alike, and the hash cell; both of the same hash, so cells are in the order of places.
-    d = cut(d.withColumn("key", F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))).withColumn("cell", (F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * cells / F.lit(1 << 32)).cast("int")))
-    per_cell = cut(d.groupBy("key", "source", "cell").agg(F.sum("size").alias("words")))
-    goal = targets(per_cell.groupBy("key", "source").agg(F.sum("words").alias("source_size")).select("source", "source_size"), weights, max_epochs)
-    goal = goal.withColumn("key", F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))).drop("source")
-    before = F.sum("words").over(Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    plan = per_cell.select("key", "cell", F.coalesce(before, F.lit(0)).alias("before")).join(goal, "key").withColumn("whole", whole).withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
-    inside = Window.partitionBy("key", "cell").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(plan, ["key", "cell"])
-    more = F.when(2 * (F.col("before") + F.col("ahead")) + F.col("size") <= 2 * F.col("part"), 1).otherwise(0)
-    return d.withColumn("copies", F.col("whole") + more).select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    d = cut(documents_plan(docs, seed))
+    copies = F.col("whole") + (F.col("spot") <= F.col("last")).cast("long")
+    mixed = d.join(small(plan(d, weights, max_epochs, cells)), "key")
+    return mixed.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as the mix has them: each row as often as it is taken."""
-    copies = mixed.groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    return docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+def repeat_rows(docs: DataFrame, weights=(1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: str = SEED, cells: int = CELLS) -> DataFrame:
+    """The documents as the mix has them: each row, with all its columns, as often as it is taken."""
+    goal = plan(cut(documents_plan(docs, seed)), weights, max_epochs, cells)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), source_key().alias("key"), spot(seed).alias("spot"))
+    copies = F.col("whole") + (F.col("spot") <= F.col("last")).cast("long")
+    return rows.join(small(goal), "key").where(copies > 0).select("doc", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select("doc.*")
 
 
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || COALESCE(CAST(doc_id AS VARCHAR), 'null')) AS place
+         md5('{SEED}:' || COALESCE(CAST(doc_id AS VARCHAR), 'null')) || md5(COALESCE(text, '')) AS spot
   FROM documents),
 s AS (
   SELECT source, SUM(size)::BIGINT AS source_size,
@@ -93,12 +136,12 @@ t AS (
   FROM o, f),
 p AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
+q AS (SELECT source, spot, SUM(size) AS size FROM d GROUP BY source, spot),
 r AS (
-  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS part,
-         COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+  SELECT q.source, q.spot, q.size AS place_size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS part,
+         COALESCE(SUM(q.size) OVER (PARTITION BY q.source ORDER BY q.spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM q JOIN p ON q.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       ((whole + CASE WHEN 2 * ahead + size <= 2 * part THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM r
+       ((whole + CASE WHEN 2 * ahead + place_size <= 2 * part THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM d JOIN r ON d.spot = r.spot AND d.source IS NOT DISTINCT FROM r.source
 """

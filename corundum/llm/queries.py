@@ -13,7 +13,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.minhash import near_duplicates
 
     found = near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.drop("raw").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

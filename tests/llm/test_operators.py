@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corundum.llm import decontaminate as D
 from corundum.llm import html_text, licenses, minhash, mixing, passages, quality, queries, sharding, toxicity, warc
-from corundum.llm._spark import cut, shared_folder
+from corundum.llm._spark import shared_folder
 from tests.oracle import same
 
 SF = "/root/testdata/sf0.001"
@@ -69,6 +69,27 @@ def test_near_duplicates_of_edge_cases(spark):
     assert {i: got[i] for i in want} == want and minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_an_id_with_two_texts_is_two_documents(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    got = minhash.near_duplicates(edge(spark, [(1, a), (1, b), (2, b + " tail"), (4, a), (3, a + " tail"), (None, b)]), width=4)
+    assert sorted((str(r.doc_id), r.component_id) for r in got.collect()) == [("1", 1), ("1", 1), ("2", 1), ("3", 1), ("4", 1), ("None", 1)]
+
+
+def test_near_duplicates_in_a_group_around_the_threshold(spark):
+    """Copies of one text from 0.4 to 0.97, whose edits come from few words, so many share buckets and rare shingles alike."""
+    rng = np.random.default_rng(5)
+    base, other = [f"w{k}" for k in range(80)], [f"e{k}" for k in range(6)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 160):
+        t = list(base)
+        for k in rng.choice(80, int(rng.integers(1, 8)), replace=False):
+            t[k] = other[int(rng.integers(6))]
+        docs.append((i, " ".join(t)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(edge(spark, docs), width=4).collect()}
+    want = components(docs, 4, 80)
+    assert got == want and len(set(c for _, c in want.values())) > 5
+
+
 def test_near_duplicates_link_chains_and_find_every_pair(spark):
     rng = np.random.default_rng(1)
     words = [f"w{k}" for k in range(400)]
@@ -175,8 +196,8 @@ def test_toxicity_without_labels(spark):
 
 def test_windows_reach_over_the_cut_of_a_long_text():
     rng = np.random.default_rng(4)
-    tables = [[rng.normal(size=(toxicity.BUCKETS, toxicity.FILTERS)).astype(np.float32) for _ in range(w)] for w in toxicity.WIDTHS]
-    m = toxicity.Model(tables, [np.zeros(toxicity.FILTERS, np.float32)] * 3, np.ones(3 * toxicity.FILTERS, np.float32), 0.0)
+    filters = [rng.normal(size=(w, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    m = toxicity.Model(rng.normal(size=(toxicity.BUCKETS, toxicity.DIM)).astype(np.float32), filters, [np.zeros(toxicity.FILTERS, np.float32)] * 3, np.ones(3 * toxicity.FILTERS, np.float32), 0.0)
     text = LONG.encode()[: 3 << 20]
     b = np.frombuffer(text, np.uint8)
     whole = m._block(b, np.zeros(1, np.int64)) @ m.weights
@@ -231,7 +252,7 @@ def test_mixing(spark):
     assert all(abs(taken[s] - target[s]) <= most for s in words) and abs(sum(target.values()) - sum(words.values())) < 1e-6 * sum(words.values())
     again = {r.doc_id: r.taken for r in mixing.mix(docs.repartition(5)).collect()}
     assert again == {i: r.taken for i, r in rows.items()}
-    copies = Counter(r.doc_id for r in mixing.repeat_rows(docs, cut(mixing.mix(docs))).collect())
+    copies = Counter(r.doc_id for r in mixing.repeat_rows(docs).collect())
     assert all(copies[i] * r["size"] == r.taken for i, r in rows.items())
 
 
@@ -256,6 +277,21 @@ def test_cuts_are_minimal():
         assert cuts[-1] == len(sizes) and len(cuts) <= k and max(load) == best[-1][-1]
 
 
+def test_pieces_are_parted_until_the_partition_is_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(hashlib.md5(str(k % 900).encode()).hexdigest(), int(s)) for k, s in enumerate(rng.integers(1, 500, 1000))]
+    groups = Counter()
+    for g, s in rows:
+        groups[g] += s
+    names = sorted(groups)
+    load = lambda firsts: max(sum(groups[g] for g in names if a <= g < z) for a, z in zip(["", *firsts], [*firsts, "g"], strict=True))
+    ends = sharding.minimax_cuts([groups[g] for g in names], 8)
+    d = spark.createDataFrame(rows, "digest string, size bigint")
+    for prefix, more in ((1, 1), (1, 4), (4, 2)):
+        firsts = sharding.cut_points(d, 8, prefix, more)
+        assert len(firsts) <= 7 and load(firsts) == load([names[e] for e in ends[:-1]])
+
+
 def test_sharding(spark):
     for d in (edge(spark), spark.read.parquet(f"{SF}/documents.parquet")):
         got, texts = sharding.shard(d).collect(), Counter((r.doc_id, len((r.text or "").encode()) + 1) for r in d.collect())
