@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Id lists up to this many rows (8 bytes each, 16 MB) may be broadcast; longer ones are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Narrow tables up to this many rows (of 50 bytes, 25 MB) may be broadcast; longer ones are joined by shuffle.
+BROADCAST_IDS = 500_000
 #: Bytes of a written intermediate table that one task takes at least.
 TASK_BYTES = 8 << 20
 

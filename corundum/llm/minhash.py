@@ -173,7 +173,7 @@ def linked(nodes: DataFrame, sets_of, percent: int) -> DataFrame | None:
     open_nodes, (n, _) = counted(still_open(rooted(active, links), "bucket").select("node", "n", "met", "root").distinct())
     if not n:
         return links
-    entries, (n, _) = counted(pruned(pruned(prefixes(sets, open_nodes, percent), percent), percent))
+    entries, (n, _) = counted(pruned(cut(pruned(cut(prefixes(sets, open_nodes, percent)), percent)), percent))
     close = alike & (F.col("at") <= F.col("n") - least_overlap("n", "p.n", percent)) & (F.col("p.at") <= F.col("p.n") - least_overlap("n", "p.n", percent))
     for _ in range(2):
         if not n:
