@@ -381,6 +381,103 @@ def test_main_text_of_several_containers():
         assert html_text.main_text(page) == want
 
 
+def plain_pages():
+    """Pages that mark nothing: no article, no class names, menus and notes in plain div elements."""
+    text = lambda k: f"Paragraph {k} tells at some length what happened there, and who said so, " * 4
+    p = lambda lo, hi: "".join(f"<p>{text(k)}</p>" for k in range(lo, hi))
+    menu = "<div><div>" + "</div><div>".join(f"<a href=x{k}>Topic number {k}</a>" for k in range(15)) + "</div></div>"
+    want = lambda lo, hi: "\n\n".join(text(k).strip() for k in range(lo, hi))
+    return [
+        (f"<body>{menu}<div>{p(0, 6)}</div><div>Thank you for reading.</div></body>", want(0, 6)),
+        (f"<body><div>Short words of a note.</div><div>{menu}<div><div>{p(0, 3)}</div><div>{p(3, 8)}</div></div></div></body>", want(0, 8)),
+        (f"<table><tr><td>{menu}<td>{p(0, 5)}<td>See you</table>", want(0, 5)),
+    ]
+
+
+def test_density_chooses_where_nothing_is_marked(monkeypatch):
+    for page, want in plain_pages():
+        assert html_text.main_text(page) == want
+    true = html_text.densities
+
+    def inverse(t):
+        d, *rest = true(t)
+        return [1 / (x + 1e-3) if t.pieces else x for x in d], *rest
+
+    monkeypatch.setattr(html_text, "densities", inverse)
+    for page, want in plain_pages():
+        assert html_text.main_text(page) != want
+
+
+def test_densities_by_a_plain_count():
+    """Another parser, and the formula node by node over its nested lists."""
+    from html.parser import HTMLParser
+    from math import e, log
+
+    class Nested(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.top = ["#", []]
+            self.open, self.order = [self.top], [self.top]
+
+        def handle_starttag(self, tag, attrs):
+            node = [tag, []]
+            self.open[-1][1].append(node)
+            self.order.append(node)
+            self.open.append(node)
+
+        def handle_endtag(self, tag):
+            self.open.pop()
+
+        def handle_data(self, data):
+            self.open[-1][1].append(" ".join(data.split()))
+
+    page = "<div><p>One two three <a>four five</a> six</p><div><p>Seven, eight and nine are here</p><p><a>ten</a></p></div></div>"
+    parser = Nested()
+    parser.feed(page)
+
+    def counts(node, link=False):
+        link = link or node[0] == "a"
+        c = lc = g = a = 0
+        for x in node[1]:
+            if isinstance(x, str):
+                c, lc = c + len(x), lc + len(x) * link
+            else:
+                n = counts(x, link)
+                c, lc, g, a = c + n[0], lc + n[1], g + n[2] + 1, a + n[3] + (x[0] == "a")
+        return c, lc, g, a
+
+    share = (top := counts(parser.top))[1] / top[0]
+    want = []
+    for node in parser.order:
+        inside = any(node in up[1] and up[0] == "a" for up in parser.order)
+        c, lc, g, a = counts(node, inside)
+        ratio = c / max(1, lc) * max(1, g) / max(1, a)
+        want.append(c / max(1, g) * max(0, log(ratio)) / log(c / max(1, c - lc) * lc + share * c + e) if c else 0)
+    tree = html_text.Tree(page)
+    assert tree.tag == [n[0] for n in parser.order] and np.allclose(html_text.densities(tree)[0], want)
+
+
+def test_pages_left_open_take_time_in_proportion():
+    import time
+
+    for one in ("<b><p>x</p>", "<div>", "<ul><li><p>t", "<a ", '<a b="', "<div></b></i>"):
+        spent = []
+        for size in (1 << 17, 1 << 19):
+            began = time.process_time()
+            html_text.main_text(one * (size // len(one)))
+            spent.append(time.process_time() - began)
+        assert spent[1] < 12 * spent[0] + 0.5
+
+
+def test_odd_markup(spark):
+    assert html_text.main_text("<p class=it's>Hello</p><p>don't go</p><p>Last</p>") == "Hello\n\ndon't go\n\nLast"
+    assert html_text.main_text("<p>kept</p><a href='x") == "kept"
+    d = spark.createDataFrame([], "page_id bigint, url string, html string, text string, run string")
+    assert d.select(html_text.extract("html").alias("t")).count() == 0
+    d = spark.createDataFrame([(1, "u", "<p>a  b", "mine", "r")], "page_id bigint, url string, html string, text string, run string")
+    assert [tuple(r) for r in d.select("*", html_text.extract("html").alias("t")).collect()] == [(1, "u", "<p>a  b", "mine", "r", "a b")]
+
+
 def test_repeated_passages(spark):
     rng = np.random.default_rng(8)
     fresh = lambda n: " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n))
