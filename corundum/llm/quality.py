@@ -1,13 +1,14 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only.
 
 Lines are normalised (lower case, digits to 0, white space to one blank) and hashed. For each host (`source`) and line the
-distinct texts that hold it are counted, so exact copies count once; a line that more than SHARE of the host's
-distinct texts hold, and more than LEAST of them, is removed everywhere on that host. A document of which fewer than half
-of the words are left is depleted and rejected.
-
-Null texts have no words and fail the base rules, as do empty and blank ones; a null source is a host of its own; repeated
-rows get equal answers; extra columns are ignored; an empty table gives an empty result. The counts of one text are made by
-expressions over its word array, sorted, so they cost n log n in the text's length and no shuffle.
+distinct documents that hold it are counted; a line that more than SHARE of the host's documents hold, and more than LEAST of
+them, is removed everywhere on that host. A document of which fewer than half of the words are left is depleted and rejected.
+
+Null texts have no words and fail the base rules, as do empty and blank ones; a null source is a host of its own; rows that repeat a
+doc_id count once for their lines, all rows without an id together once, and each row gets its own answer, equal rows equal ones; extra
+columns are ignored; an empty table gives an empty result. The counts of one text are made by expressions over its word array, sorted, so
+they cost n log n in the text's length and no shuffle. Lines are counted by rows first; only those that could be frequent are counted again by
+distinct documents.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import cut
+from corundum.llm._spark import cut, small
 
-LEAST, SHARE = 20, 0.01
+LEAST, SHARE = 20, 0.001
 BLANK = r"[\x20\x09-\x0D]+"
 SOLID = r"[^\x20\x09-\x0D]"
 
@@ -52,7 +53,7 @@ def base(docs: DataFrame) -> DataFrame:
     return d.select(
         "doc_id",
         "source",
-        F.xxhash64("text").alias("text_hash"),
+        F.md5("text").alias("digest"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -64,14 +65,17 @@ def base(docs: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
     """One row per document: the base counts, removed_words, base_failed and kept."""
-    d = base(docs).withColumn("row", F.xxhash64("doc_id", "source", "text_hash"))
-    d = cut(d.withColumn("host", F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))))
-    texts = d.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    n_host = d.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    counts = texts.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > least)
-    common = counts.join(n_host, "host").where(F.col("n") > share * F.col("texts")).select("host", "line")
+    d = base(docs).withColumn("host", F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source")))
+    row = F.unhex(F.md5(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "digest", "host")))
+    d = cut(d.withColumn("row", row).drop("digest", "source"))
+    lines = d.select("host", "doc_id", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    n_host = small(cut(d.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("documents"))))
+    often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).join(n_host, "host").where((F.col("n") > least) & (F.col("n") > share * F.col("documents")))
+    held = lines.join(small(cut(often.select("host", "line", "documents"))), ["host", "line"]).distinct()
+    counts = held.groupBy("host", "line", "documents").agg(F.count("*").alias("n"))
+    common = cut(counts.where((F.col("n") > least) & (F.col("n") > share * F.col("documents"))).select("host", "line"))
     rows = d.select("row", "host", F.explode(F.transform(F.array_distinct("lines"), lambda x: F.struct(x["line"].alias("line"), (x["n"] * F.size(F.filter("lines", lambda y: y["line"] == x["line"]))).alias("n")))).alias("x"))
-    gone = rows.select("row", "host", "x.line", "x.n").distinct().join(common, ["host", "line"], "left_semi").groupBy("row").agg(F.sum("n").alias("removed"))
+    gone = rows.select("row", "host", "x.line", "x.n").join(small(common), ["host", "line"], "left_semi").distinct().groupBy("row").agg(F.sum("n").alias("removed"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     removed = F.coalesce("removed", F.lit(0)).cast("long")
     return d.join(gone, "row", "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", removed.alias("removed_words"), failed.alias("base_failed"), (~failed & (2 * removed <= F.col("n_words"))).alias("kept"))
@@ -86,17 +90,17 @@ g AS (SELECT doc_id, i, a, lead(a, 1) OVER s AS b, lead(a, 2) OVER s AS c FROM p
 t AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL),
 r AS (SELECT doc_id, COUNT(DISTINCT i + k)::BIGINT AS n FROM t, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY doc_id),
 l AS (
-  SELECT doc_id, source, text, x,
+  SELECT doc_id, source, x,
          trim(regexp_replace(regexp_replace(lower(x), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
          len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS x FROM d)
   WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 u AS (SELECT doc_id, (COUNT(*) - COUNT(DISTINCT x))::BIGINT AS n FROM l GROUP BY doc_id),
-h AS (SELECT source, COUNT(DISTINCT text) AS texts FROM d GROUP BY source),
+h AS (SELECT source, COUNT(DISTINCT COALESCE(CAST(doc_id AS VARCHAR), '-')) AS documents FROM d GROUP BY source),
 f AS (
   SELECT l.source, l.line FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, l.line, h.texts
-  HAVING COUNT(DISTINCT l.text) > {LEAST} AND COUNT(DISTINCT l.text) > {SHARE} * h.texts),
+  GROUP BY l.source, l.line, h.documents
+  HAVING COUNT(DISTINCT COALESCE(CAST(doc_id AS VARCHAR), '-')) > {LEAST} AND COUNT(DISTINCT COALESCE(CAST(doc_id AS VARCHAR), '-')) > {SHARE} * h.documents),
 m AS (
   SELECT doc_id, SUM(n)::BIGINT AS n FROM l
   WHERE EXISTS (SELECT 1 FROM f WHERE f.source IS NOT DISTINCT FROM l.source AND f.line = l.line) GROUP BY doc_id),

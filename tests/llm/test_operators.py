@@ -222,8 +222,8 @@ def test_quality_of_edge_cases(spark):
 def test_common_lines_deplete_documents(spark):
     line = " ".join("foot" + chr(97 + j % 26) * (1 + j // 26) for j in range(65))
     own = lambda k: " ".join(f"own{k}x{chr(97 + j % 26) * (1 + j // 26)}" for j in range(60))
-    copies = [(k, line + "\n" + own(1)) for k in range(2, 300, 6)]  # one text, however often it is repeated
-    assert not any(r.removed_words for r in quality.quality(edge(spark, copies)).collect())
+    again = [(2, line + "\n" + own(k)) for k in range(2, 300, 6)]  # one document, however many rows it has
+    assert not any(r.removed_words for r in quality.quality(edge(spark, again)).collect())
     many = [(k, line + "\n" + own(k)) for k in range(2, 300, 6)] + [(1000, line + "\nshort own text here")]
     got = {r.doc_id: r for r in quality.quality(edge(spark, many)).collect()}
     assert got[2].removed_words == 65 and not got[2].kept and not got[1000].kept and got[1000].removed_words == 65
