@@ -7,14 +7,18 @@ then the exact share of the template's shingles inside the window must reach 0.8
 with similarity 1/6 (one shingle of six), which collides with probability 1 - (5/6)**64 = 0.99999.
 
 Windows without any template shingle cannot reach a containment above 0 and are not sketched; that is a property of the exact test,
-not a second search. Null, empty and short texts match nothing; repeated rows count as their doc_id once more in n_windows; extra columns
-are ignored; an empty table gives an empty result. Templates are a fixed list, broadcast as literals."""
+not a second search. Templates may be of any length from five words on; classes double up to the longest, and a shorter one, which
+has no shingle, raises an error.
+
+Null, empty and short texts match nothing; rows that repeat a doc_id are one document, of which n_windows counts the different windows,
+whichever row they are in, and so are all rows without an id; extra columns are ignored; an empty table gives an empty result."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corundum.llm._spark import small
 from corundum.llm.quality import bind
 
 #: Names and texts of licenses (fixed values, public notices).
@@ -31,7 +35,7 @@ TEMPLATES = [
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
-WIDTH, BANDS, PERCENT, CLASSES = 5, 64, 80, (8, 16, 32, 64, 128)
+WIDTH, BANDS, PERCENT, LEAST = 5, 64, 80, 8
 
 
 def shingles(text: F.Column) -> F.Column:
@@ -49,11 +53,11 @@ def signature(sets: str) -> F.Column:
 def templates(spark: SparkSession, texts=TEMPLATES) -> DataFrame:
     """license, class, sh (distinct shingles): one row per template."""
     rows = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in texts])).alias("t")).select("t.license", shingles(F.col("t.text")).alias("all"))
-    n = F.size("all") + WIDTH - 1
-    size = F.lit(CLASSES[-1])
-    for c in reversed(CLASSES[:-1]):
-        size = F.when(n <= c, c).otherwise(size)
-    return rows.where("size(all) > 0").select("license", size.alias("class"), F.array_distinct("all").alias("sh"))
+    words = F.size("all") + WIDTH - 1
+    size = F.lit(LEAST)  # doubled until it holds the template
+    for k in range(1, 32 - LEAST.bit_length()):
+        size = F.when(words > LEAST << (k - 1), LEAST << k).otherwise(size)
+    return rows.select("license", size.alias("class"), F.array_distinct("all").alias("sh"))
 
 
 def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
@@ -61,6 +65,8 @@ def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
     spark = docs.sparkSession
     t = templates(spark, texts)
     known = t.collect()  # as many rows as there are templates
+    if none := [r["license"] for r in known if not r["sh"]]:
+        raise ValueError(f"templates of fewer than {WIDTH} words can't be matched: {none}")
     own = F.array(*[F.lit(x) for x in sorted({s for r in known for s in r["sh"]})])
     d = docs.select("doc_id", shingles(F.col("text")).alias("s")).where(F.arrays_overlap("s", own))
     windows = None
@@ -70,17 +76,17 @@ def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
         w = d.select("doc_id", F.lit(c).alias("class"), F.explode(F.transform(starts, lambda at: F.struct(at.alias("at"), F.array_distinct(F.slice("s", at + 1, F.lit(take))).alias("w")))).alias("x")).select("doc_id", "class", "x.at", "x.w")
         windows = w if windows is None else windows.unionByName(w)
     banded = windows.select("doc_id", "class", "at", "w", F.posexplode(signature("w")).alias("band", "low"))
-    bands = t.select("license", "class", "sh", F.posexplode(signature("sh")).alias("band", "low"))
-    met = banded.join(F.broadcast(bands), ["class", "band", "low"]).dropDuplicates(["doc_id", "class", "at", "license"])
+    bands = t.select("license", "class", F.posexplode(signature("sh")).alias("band", "low"))
+    met = banded.join(small(bands), ["class", "band", "low"]).select("doc_id", "class", "at", "w", "license").distinct()
     matched = F.size(F.array_intersect("w", "sh"))
-    hit = met.select("doc_id", "license", "at", matched.alias("matched"), F.size("sh").alias("total")).where(f"100 * matched >= {PERCENT} * total")
+    hit = met.join(small(t.select("license", "class", "sh")), ["license", "class"]).select("doc_id", "license", "at", "w", matched.alias("matched"), F.size("sh").alias("total")).where(f"100 * matched >= {PERCENT} * total")
     return hit.groupBy("doc_id", "license").agg(F.min("at").cast("long").alias("first_word"), F.count("*").alias("n_windows"), F.max("matched").cast("long").alias("matched"), F.max("total").cast("long").alias("total"))
 
 
 def _oracle() -> str:
     values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
     words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '')"
-    size = "CASE " + " ".join(f"WHEN n <= {c} THEN {c}" for c in CLASSES[:-1]) + f" ELSE {CLASSES[-1]} END"
+    size = f"({LEAST} * pow(2, greatest(0, ceil(log2(n / {LEAST})))))::INT"
     return f"""
 WITH a(license, text) AS (VALUES {values}),
 b AS (SELECT license, {words} AS w FROM a),

@@ -237,6 +237,17 @@ def test_licenses(spark):
     assert {i for i, _ in got} == {3, 4, 5} and licenses.scan(empty(spark)).count() == 0
 
 
+def test_license_templates_of_any_length(spark):
+    long = " ".join(f"clause{k} says" for k in range(330))
+    half = long.split()
+    rows = [(1, "x " * 90 + long + " y" * 70), (2, long), (3, " ".join(half[:400])), (4, " ".join(half[:600])), (5, " ".join(half[:300])), (5, long), (None, long)]
+    got = {r.doc_id: r for r in licenses.scan(edge(spark, rows), [("long", long), ("five words", "one two three four five")]).collect()}
+    assert set(got) == {1, 2, 4, 5, None} and all(r.license == "long" and r.total == 656 for r in got.values()) and got[5].matched == 656
+    for short in ("four words are few", "", "..."):
+        with pytest.raises(ValueError, match="short"):
+            licenses.scan(edge(spark, rows), [("short", short)])
+
+
 def test_mixing(spark):
     d = edge(spark)
     got = mixing.mix(d).collect()
