@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corundum.llm import licenses, mixing, quality
-from corundum.llm._spark import shared_folder, table
+from corundum.llm._spark import cut, shared_folder, table
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +48,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corundum.llm.warc import read_chunks, record_index, write_archives
+    from corundum.llm.warc import read_chunks, record_index, remove_archives, write_archives
 
     folder = shared_folder(spark)
     manifest = write_archives(table(spark, sf_dir, "pages"), folder)
-    return record_index(read_chunks(manifest, folder, with_data=False))
+    index = cut(record_index(read_chunks(manifest, folder, with_data=False)))
+    remove_archives(spark, folder)
+    return index
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """WARC archives as a chunked record table.
 
-``write_archives`` writes one gzip member per record; ``read_chunks`` streams archives back as rows of record and chunk number.
-A payload passes in slices of CHUNK bytes, each row carries the digest of all bytes so far, and no record is ever
-held whole by the reader. Records of equal payloads are one response, that with the largest id, and revisits to it.
+``write_archives`` cuts payloads into rows of record and chunk number of at most CHUNK bytes, which a task streams into
+archives of one gzip member per record; ``read_chunks`` streams archives back as such rows, each with the digest of all bytes so
+far. Neither holds a record whole: what a task holds is a batch of chunk rows (spark.sql.execution.arrow.maxBytesPerBatch).
+Records of equal payloads are one response, that with the largest id, and revisits to it.
 
-Files go to the folder that driver and executors share, under names no two attempts of a task have in common; only files in the
+Files are written with the file systems of Arrow (local, s3 also by the names s3a and s3n, hdfs, viewfs, abfs, gs), and go to the folder that driver and executors share, under names no two attempts of a task have in common; only files in the
 manifest that finished tasks return are read, so lost executors leave nothing half-written in the result.
 
 Null html is an empty payload; a null url writes no target; rows that repeat an id and its payload are all responses; a null id is
@@ -15,16 +16,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.llm._spark import cut
+from corundum.llm._spark import cut, small
 
 CHUNK = 1 << 18
 #: An archive that has reached so many bytes is closed and the next one begun.
@@ -57,38 +59,58 @@ def _header(page_id, url, size: int, digest: str, response) -> bytes:
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
 
+def filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """Arrow's file system of a Hadoop URI, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
+
+
+class Archive:
+    """Writes records, a chunk at a time, to archives of about ARCHIVE bytes."""
+
+    def __init__(self, folder: str):
+        (self.fs, self.root), self.out, self.done = filesystem(folder), None, []
+
+    def begin(self, header: bytes) -> None:
+        if self.out is None:
+            self.fs.create_dir(self.root, recursive=True)
+            self.path, self.n, self.size = f"{self.root}/{uuid.uuid4().hex}.warc.gz", 0, 0
+            self.out = self.fs.open_output_stream(self.path, compression=None)
+        self.pack = zlib.compressobj(1, wbits=31)
+        self.add(header)
+
+    def add(self, data) -> None:
+        self._write(self.pack.compress(data))
+
+    def end(self) -> None:
+        self._write(self.pack.compress(b"\r\n\r\n") + self.pack.flush())
+        self.n += 1
+        if self.size >= ARCHIVE:
+            self.close()
+
+    def _write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.size += len(data)
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.done.append((self.path, self.n, self.size))
+            self.out = None
+
+
 def writer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pyarrow.fs.FileSystem.from_uri(folder)
-        out, path, n, size, done = None, "", 0, 0, []
+        archive = Archive(folder)
         for batch in batches:
-            _, offsets, data = (body := batch.column("body").cast(pa.large_binary())).buffers()
-            view = memoryview(data) if data is not None else memoryview(b"")
-            at = memoryview(offsets).cast("q")[body.offset : body.offset + len(body) + 1] if len(body) else [0]
-            for k, (page_id, url, sha1, response) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "sha1", "response")), strict=True)):
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    path = f"{root}/{uuid.uuid4().hex}.warc.gz"
-                    out, n, size = fs.open_output_stream(path, compression=None), 0, 0
-                pack = zlib.compressobj(1, wbits=31)
-                parts = [pack.compress(_header(page_id, url, at[k + 1] - at[k], base32(bytes.fromhex(sha1)), response) + HTTP)]
-                for x in range(at[k], at[k + 1] if response is None else at[k], CHUNK):
-                    parts.append(pack.compress(view[x : min(x + CHUNK, at[k + 1])]))
-                    if len(parts) > 16:
-                        size += sum(out.write(p) or len(p) for p in parts)
-                        parts = []
-                parts += [pack.compress(b"\r\n\r\n"), pack.flush()]
-                whole = b"".join(parts)
-                out.write(whole)
-                n, size = n + 1, size + len(whole)
-                if size >= ARCHIVE:
-                    out.close()
-                    done.append((path, n, size))
-                    out = None
-        if out is not None:
-            out.close()
-            done.append((path, n, size))
-        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())], ["path", "records", "bytes"])
+            data = batch.column("data")
+            for k, (page_id, url, sha1, response, size, no, last) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "sha1", "response", "size", "chunk_no", "last")), strict=True)):
+                if not no:
+                    archive.begin(_header(page_id, url, size, base32(bytes.fromhex(sha1)), response) + HTTP)
+                archive.add(data[k].as_buffer())
+                if last:
+                    archive.end()
+        archive.close()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*archive.done, strict=True) if archive.done else ([], [], []), (pa.string(), pa.int64(), pa.int64()), strict=True)], ["path", "records", "bytes"])
 
     return write
 
@@ -170,7 +192,7 @@ def reader(folder: str, with_data: bool):
     schema = CHUNKS if with_data else CHUNKS.remove(CHUNKS.get_field_index("data"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = pyarrow.fs.FileSystem.from_uri(folder)
+        fs, _ = filesystem(folder)
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows, held = [], 0
@@ -190,10 +212,21 @@ def reader(folder: str, with_data: bool):
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     """Write a record per page; the manifest (path, records, bytes). Payloads under `least` bytes are all responses."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    p = pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha1"))
-    first = p.groupBy("sha1").agg(F.max("page_id").alias("response"))
-    other = F.when((F.octet_length("body") >= least) & F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
-    return cut(p.join(first, "sha1").select("page_id", "url", "body", "sha1", other.alias("response")).mapInArrow(writer(folder), MANIFEST))
+    p = pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha1"), F.octet_length(body).cast("long").alias("size"))
+    # Only the digests that several pages have are joined back, and broadcast if they are few; payloads stay where they are.
+    shared = cut(p.groupBy("sha1").agg(F.count("*").alias("n"), F.max("page_id").alias("response")).where("n > 1").select("sha1", "response"))
+    other = F.when((F.col("size") >= least) & F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
+    p = p.join(small(shared), "sha1", "left").withColumn("response", other)
+    chunks = F.when(F.col("response").isNotNull() | (F.col("size") == 0), 1).otherwise(F.ceil(F.col("size") / CHUNK)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), chunks - 1), lambda k: F.struct(k.alias("chunk_no"), (k == chunks - 1).alias("last"), F.substring("body", k * CHUNK + 1, F.when(F.col("response").isNotNull(), 0).otherwise(CHUNK)).alias("data")))
+    rows = p.select("page_id", "url", "sha1", "response", "size", F.explode(parts).alias("x")).select("page_id", "url", "sha1", "response", "size", "x.chunk_no", "x.last", "x.data")
+    return cut(rows.mapInArrow(writer(folder), MANIFEST))
+
+
+def remove_archives(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of archives once what was read from them is written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_chunks(manifest: DataFrame, folder: str, with_data: bool = True) -> DataFrame:
