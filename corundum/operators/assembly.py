@@ -44,7 +44,9 @@ def flatten_records(artifacts: DataFrame, papers: DataFrame) -> DataFrame:
     The paper is found by the artifact's uid, else by that of its first record, else by a DOI that only one paper has."""
     doi = F.lower(F.trim(F.coalesce("doi", F.lit(""))))
     facts = papers.select(F.col("paper_uid").alias("p_uid"), "pdf_path", F.col("doi").alias("p_doi"), F.col("title").alias("p_title"), F.concat_ws("; ", "authors").alias("p_authors"), F.col("year").alias("p_year"), F.col("journal").alias("p_journal"), F.col("measurement_method").alias("p_method"), F.col("moisture_basis").alias("p_basis"))
-    by_uid = facts.where(~blank("p_uid")).dropDuplicates(["p_uid"])
+    # Of papers that repeat a uid the first by path counts.
+    rest = [c for c in facts.columns if c != "p_uid"]
+    by_uid = facts.where(~blank("p_uid")).groupBy("p_uid").agg(F.min_by(F.struct(*rest), F.struct("pdf_path", "p_doi", "p_title", "p_authors", "p_year")).alias("f")).select("p_uid", "f.*")
     by_doi = unique_only(papers, doi, "paper_uid").select(F.col("key").alias("d_doi"), F.col("paper_uid").alias("d_uid"))
     known = by_uid.select(F.col("p_uid").alias("k_uid"))
     a = artifacts.withColumns({"a_uid": filled("paper_uid"), "r_uid": filled(F.get("records", F.lit(0))["paper_uid"]), "a_doi": doi})
@@ -127,7 +129,9 @@ def resolve_metadata(records: DataFrame, papers: DataFrame) -> DataFrame:
     named = papers.where(~blank("paper_uid"))
     distinct = lambda key, name: named.select(key.alias(name), "paper_uid").where(~blank(name)).groupBy(name).agg(F.min("paper_uid").alias("lo"), F.max("paper_uid").alias("hi")).where("lo = hi").select(name, F.col("lo").alias(f"u_{name}"))
     value = lambda c: F.concat_ws("; ", "authors") if c == "authors" else F.col(c)
-    by_uid = named.dropDuplicates(["paper_uid"]).select(F.col("paper_uid").alias("_u"), *[value(c).alias(f"u_{c}") for c in METADATA])
+    # Of papers that repeat a uid the first by path counts.
+    facts = named.select("paper_uid", "pdf_path", F.struct(*[value(c).alias(f"u_{c}") for c in METADATA]).alias("f"))
+    by_uid = facts.groupBy(F.col("paper_uid").alias("_u")).agg(F.min_by("f", F.struct("pdf_path", "f")).alias("f")).select("_u", "f.*")
     by_doi = papers.select(doi.alias("_d"), *[value(c).alias(f"d_{c}") for c in METADATA]).where(~blank("_d")).groupBy("_d").agg(F.count("*").alias("_n"), *[F.first(f"d_{c}").alias(f"d_{c}") for c in METADATA]).where("_n = 1").drop("_n")
     r = records.withColumns({"k_doi": F.lower(F.coalesce("doi", F.lit(""))), "k_name": normalize_paper_path("paper_id")})
     r = r.join(distinct(doi, "k_doi"), "k_doi", "left").join(distinct(normalize_paper_path("pdf_path"), "k_name"), "k_name", "left")
@@ -302,6 +306,13 @@ def coverage_ledger(records: DataFrame, artifacts: DataFrame, papers: DataFrame)
     return out.orderBy("outcome", "paper_id")
 
 
+#: What may become of a paper (fixed values).
+OUTCOMES = (
+    "no_parse_artifact", "no_extraction_artifact", "extraction_timed_out", "extraction_incomplete", "contributed",
+    "extraction_zero_records", "incomplete_records_only", "lost_during_assembly",
+)
+
+
 def coverage_summary(ledger: DataFrame, strict: bool = False) -> DataFrame:
     """Papers selected, contributing, without rows, incomplete, and by outcome; strict raises where any yields nothing."""
     out = ledger.agg(
@@ -310,6 +321,7 @@ def coverage_summary(ledger: DataFrame, strict: bool = False) -> DataFrame:
         F.count_if(F.col("assembled_records") == 0).alias("zero_yield_papers"),
         F.count_if(F.col("outcome").isin("no_parse_artifact", "extraction_timed_out", "extraction_incomplete")).alias("incomplete_papers"),
         F.coalesce(F.sum("assembled_records"), F.lit(0)).alias("assembled_records"),
+        *[F.count_if(F.col("outcome") == x).alias(f"n_{x}") for x in OUTCOMES],
     )
     if strict and (row := out.first()) and (row["zero_yield_papers"] or row["incomplete_papers"]):
         raise RuntimeError(f"strict coverage failed: {row['zero_yield_papers']} papers without records, {row['incomplete_papers']} incomplete")

@@ -32,10 +32,28 @@ def filter_cited(records: DataFrame, papers: DataFrame, tol: float = 0.05) -> Da
     return d.withColumn("material_name", F.when(~own & foreign, F.get("_m", F.lit(0))).otherwise(F.col("material_name"))).select(*records.columns)
 
 
-def filter_text_records(records: DataFrame, papers: DataFrame, tol: float = 0.05) -> DataFrame:
-    """Text records with both properties at a frequency of their paper; a paper without frequencies tests nothing."""
-    facts = papers.select("paper_uid", F.col("measurement_frequencies_mhz").alias("_f")).dropDuplicates(["paper_uid"])
-    d = records.where("dielectric_constant is not null and loss_factor is not null").join(facts, "paper_uid", "left")
+#: Frequencies that running text may name where neither metadata nor tables do, MHz (fixed values).
+NAMED = (27.0, 40.0, 433.0, 915.0, 1800.0, 2450.0)
+
+
+def known_frequencies(papers: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """(paper_uid, _f): a paper's own frequencies, else the MHz values of its table headers, else well-known ones of its first 5000 characters."""
+    own = F.when(F.size("measurement_frequencies_mhz") > 0, F.col("measurement_frequencies_mhz"))
+    said = F.lit(None).cast("array<double>")
+    if "full_text" in papers.columns:
+        numbers = F.regexp_extract_all(F.lower(F.substring("full_text", 1, 5000)), F.lit(r"([0-9]+)\s*mhz"), F.lit(1))
+        said = F.array_intersect(F.transform(numbers, lambda x: x.try_cast("double")), F.array(*[F.lit(x) for x in NAMED]))
+    p = papers.where(~blank("paper_uid")).groupBy("paper_uid").agg(F.min(own).alias("_own"), F.min(said).alias("_said"))
+    if tables is None:
+        return p.select("paper_uid", F.coalesce("_own", "_said").alias("_f"))
+    values = F.flatten(F.transform(F.flatten("headers"), lambda h: F.regexp_extract_all(h, F.lit(r"(?i)([0-9]+(?:\.[0-9]+)?)\s*MHz"), F.lit(1))))
+    heads = tables.select("paper_uid", F.explode(F.array_distinct(values)).alias("v")).groupBy("paper_uid").agg(F.collect_set(F.col("v").try_cast("double")).alias("_head"))
+    return p.join(heads, "paper_uid", "left").select("paper_uid", F.coalesce("_own", "_head", "_said").alias("_f"))
+
+
+def filter_text_records(records: DataFrame, papers: DataFrame, tables: DataFrame | None = None, tol: float = 0.05) -> DataFrame:
+    """Text records with both properties at a frequency of their paper; a paper of which none is known tests nothing."""
+    d = records.where("dielectric_constant is not null and loss_factor is not null").join(known_frequencies(papers, tables), "paper_uid", "left")
     return d.where((F.coalesce(F.size("_f"), F.lit(0)) <= 0) | F.col("frequency_mhz").isNull() | near_any("frequency_mhz", "_f", tol)).select(*records.columns)
 
 

@@ -6,13 +6,14 @@ without moving a point; only free expressions go through a vectorised helper."""
 from __future__ import annotations
 
 import ast
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corundum.functions.scalars import barrier, blank, col, filled, ism_normalize, plausible, rounded
+from corundum.functions.scalars import barrier, blank, col, filled, ism_normalize, normalize_paper_path, plausible, rounded
 
 #: Names of the five variables and unit suffixes they may carry (fixed values).
 ALIASES = {
@@ -37,6 +38,7 @@ SPELLINGS = {
     "F": ("frequency_mhz", "frequency", "freq", "f"),
     "S": ("salt_content", "salt", "s"),
 }
+#: Grids of variables that nothing bounds, and numbers of steps between bounds (fixed values).
 DEFAULT_GRID = {"T": [20.0, 30.0, 40.0, 50.0, 60.0, 70.0, 80.0, 90.0], "M": [10.0, 15.0, 20.0, 25.0, 30.0]}
 STANDARD_T = [10.0, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0, 80.0, 90.0]
 STEPS = {"T": 8, "M": 5, "RHO": 4, "F": 0, "S": 3}
@@ -241,15 +243,24 @@ def evaluate_points(models: DataFrame, papers: DataFrame) -> DataFrame:
     def free(expression: pd.Series, t: pd.Series, m: pd.Series, rho: pd.Series, f: pd.Series, s: pd.Series) -> pd.Series:
         return evaluate_expressions(expression, pd.DataFrame({"T": t, "M": m, "RHO": rho, "F": f, "S": s}))
 
-    def value(c: str, scale: float) -> Column:
-        at = {k: F.col(k) * scale if k == "M" else F.col(k) for k in ALIASES}
-        x = free(F.col(f"{c}.expression"), *[F.coalesce(v, F.lit(float("nan"))) for v in at.values()])
-        got = F.when(F.col(f"{c}.expression").isNotNull(), F.nullif(x, F.lit(float("nan")))).otherwise(polynomial(F.col(f"{c}.terms"), at))
-        return F.when(F.col(c).isNotNull() & ~F.isnan(got), got)
-
-    for c in ("dc", "lf", "lt"):
-        pts = pts.withColumns({f"{c}_1": value(c, 1.0), f"{c}_2": value(c, 0.01)})
-    pts = barrier(pts)
+    kinds, scales = ("dc", "lf", "lt"), {"1": 1.0, "2": 0.01}
+    written = reduce(Column.__or__, [F.coalesce(F.col(f"{c}.expression").isNotNull(), F.lit(False)) for c in kinds])
+
+    def valued(rows: DataFrame, expressions: bool) -> DataFrame:
+        """The points with the values of all models, for M as it is and as a fraction."""
+        for c in kinds:
+            for k, scale in scales.items():
+                at = {v: F.col(v) * scale if v == "M" else F.col(v) for v in ALIASES}
+                got = polynomial(F.col(f"{c}.terms"), at)
+                if expressions:
+                    x = free(F.col(f"{c}.expression"), *[F.coalesce(v, F.lit(float("nan"))) for v in at.values()])
+                    got = F.when(F.col(f"{c}.expression").isNotNull(), F.nullif(x, F.lit(float("nan")))).otherwise(got)
+                rows = rows.withColumn(f"{c}_{k}", F.when(F.col(c).isNotNull() & ~F.isnan(got), got))
+        return rows
+
+    # Only points of models written as free expressions pass through Python.
+    pts = barrier(pts.withColumn("written", written))
+    pts = barrier(valued(pts.where("written"), True).unionByName(valued(pts.where("not written"), False)))
     fine = lambda k: sum((plausible(F.lit(p), f"{c}_{k}", "frequency_mhz").cast("int") for c, p in zip(("dc", "lf", "lt"), PROPERTIES, strict=True)), F.lit(0))
     w = Window.partitionBy("gid")  # a grid has a few hundred points
     open_ = F.array_contains("names", "M") & F.try_element_at("domain", F.lit("M")).isNull()
@@ -273,23 +284,66 @@ def evaluate_points(models: DataFrame, papers: DataFrame) -> DataFrame:
     return pts.withColumn("state", F.when(F.col("outside"), "domain").when(kept, "kept").otherwise("dropped"))
 
 
-def evaluate_models(models: DataFrame, papers: DataFrame) -> DataFrame:
-    """Records of all plausible grid points."""
+def _as_text(model: Column) -> Column:
+    """A model as `property: terms` or `property: expression`."""
+    powers = lambda t: F.array_join(F.transform(F.array_sort(F.map_entries(t["powers"])), lambda e: F.concat(e["key"], F.lit("^"), e["value"].cast("string"))), "*")
+    terms = F.array_join(F.transform(model["terms"], lambda t: F.concat_ws("*", t["coef"].cast("string"), powers(t))), " + ")
+    return F.concat(model["property"], F.lit(": "), F.coalesce(model["expression"], terms))
+
+
+def evaluate_models(models: DataFrame, papers: DataFrame, extraction_model: str | None = None) -> DataFrame:
+    """Records of all plausible grid points, with doi and paper_id of their paper and the model that read the equations."""
     p = evaluate_points(models, papers).where("state = 'kept'")
+    name = normalize_paper_path("pdf_path") if "pdf_path" in papers.columns else F.lit("")
+    doi = F.coalesce("doi", F.lit("")) if "doi" in papers.columns else F.lit("")
+    facts = papers.select("paper_uid", F.struct(doi.alias("doi"), name.alias("paper_id")).alias("_p")).groupBy("paper_uid").agg(F.min("_p").alias("_p"))
+    p = p.join(facts, "paper_uid", "left")
     percent = F.when(F.try_element_at("domain", F.lit("M"))["hi"] <= 1.0, F.col("M") * 100).otherwise(F.col("M"))
-    as_text = lambda m: F.concat(m["property"], F.lit(": "), F.coalesce(m["expression"], F.array_join(F.transform(m["terms"], lambda t: F.concat_ws("*", t["coef"].cast("string"), F.array_join(F.transform(F.array_sort(F.map_entries(t["powers"])), lambda e: F.concat(e["key"], F.lit("^"), e["value"].cast("string"))), "*"))), " + ")))
     return p.select(
-        "paper_uid", "material_name", F.col("mhz").alias("frequency_mhz"), F.col("T").alias("temperature_c"), rounded("k_dc", 3).alias("dielectric_constant"), rounded("k_lf", 3).alias("loss_factor"), rounded("k_lt", 4).alias("loss_tangent"),
-        percent.alias("moisture_content_pct"), F.when(F.col("M").isNotNull(), F.col("moisture_basis")).alias("moisture_basis"), F.col("S").cast("string").alias("salt_content"),
-        F.when(F.col("src") != "", F.concat("src", F.lit(" (regression)"))).otherwise("regression").alias("source_table"), F.lit("equation").alias("extraction_source"), F.lit("equation_derived").alias("data_provenance"),
-        F.substring(F.array_join(F.transform("ms", as_text), "; "), 1, 500).alias("model_expression"), F.get(F.filter(F.transform("ms", lambda x: x["r_squared"]), lambda x: x.isNotNull()), F.lit(0)).alias("model_r_squared"),
-    )
+        "paper_uid",
+        F.col("_p.doi").alias("doi"),
+        F.col("_p.paper_id").alias("paper_id"),
+        "material_name",
+        F.col("mhz").alias("frequency_mhz"),
+        F.col("T").alias("temperature_c"),
+        rounded("k_dc", 3).alias("dielectric_constant"),
+        rounded("k_lf", 3).alias("loss_factor"),
+        rounded("k_lt", 4).alias("loss_tangent"),
+        percent.alias("moisture_content_pct"),
+        F.when(F.col("M").isNotNull(), F.col("moisture_basis")).alias("moisture_basis"),
+        F.col("S").cast("string").alias("salt_content"),
+        F.when(F.col("src") != "", F.concat("src", F.lit(" (regression)"))).otherwise("regression").alias("source_table"),
+        F.lit("equation").alias("extraction_source"),
+        F.lit(extraction_model).cast("string").alias("extraction_model"),
+        F.lit("equation_derived").alias("data_provenance"),
+        F.substring(F.array_join(F.transform("ms", _as_text), "; "), 1, 500).alias("model_expression"),
+        F.get(F.filter(F.transform("ms", lambda x: x["r_squared"]), lambda x: x.isNotNull()), F.lit(0)).alias("model_r_squared"),
+    )
+
+
+def groups_without_grid(models: DataFrame, papers: DataFrame) -> DataFrame:
+    """(paper_uid, material_name, frequency_mhz, src, reason) of the groups of models for which no grid can be made, and why."""
+    g = _groups(models, papers).withColumns({"names": F.col("driver.names"), "domain": F.col("driver.domain")})
+    g = barrier(g).join(paper_grids(papers), "paper_uid", "left")
+    axes = [F.when(F.array_contains("names", s) & (F.coalesce(F.size(_axis(s)), F.lit(0)) <= 0), F.lit(s)) for s in ALIASES]
+    without = F.array_compact(F.array(*axes))
+    g = g.withColumn("_axes", without)
+    reason = F.when(F.coalesce(F.size("names"), F.lit(0)) <= 0, F.lit("the model has no variables")).when(F.size("_axes") > 0, F.concat(F.lit("no values of "), F.array_join("_axes", ", ")))
+    return g.select("paper_uid", "material_name", "frequency_mhz", "src", reason.alias("reason")).where("reason is not null")
 
 
 def equation_report(equations: DataFrame, models: DataFrame, papers: DataFrame) -> DataFrame:
-    """Per paper: equations, models built and not parsed, points evaluated, outside the domain, implausible values and points kept."""
+    """Per paper: equations, models built and not parsed, points evaluated, outside the domain, implausible values, points kept,
+    and how many groups of models had no grid, with the reasons."""
     e = equations.groupBy("paper_uid").agg(F.count("*").alias("equations"))
     m = models.groupBy("paper_uid").agg(F.count("*").alias("models_built"))
-    p = evaluate_points(models, papers).groupBy("paper_uid").agg(F.count("*").alias("points_evaluated"), F.count_if(F.col("state") == "domain").alias("points_out_of_domain"), F.sum("implausible").alias("values_implausible"), F.count_if(F.col("state") == "kept").alias("points_kept"))
-    j = e.join(m, "paper_uid", "left").join(p, "paper_uid", "left").na.fill(0)
-    return j.select("paper_uid", "models_built", (F.col("equations") - F.col("models_built")).alias("models_unparsed"), "points_evaluated", "points_out_of_domain", "values_implausible", "points_kept")
+    p = evaluate_points(models, papers).groupBy("paper_uid").agg(
+        F.count("*").alias("points_evaluated"),
+        F.count_if(F.col("state") == "domain").alias("points_out_of_domain"),
+        F.sum("implausible").alias("values_implausible"),
+        F.count_if(F.col("state") == "kept").alias("points_kept"),
+    )
+    n = groups_without_grid(models, papers).groupBy("paper_uid").agg(F.count("*").alias("groups_without_grid"), F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("no_grid_reason"))
+    j = e.join(m, "paper_uid", "left").join(p, "paper_uid", "left").join(n, "paper_uid", "left").na.fill(0).na.fill("", ["no_grid_reason"])
+    unparsed = (F.col("equations") - F.col("models_built")).alias("models_unparsed")
+    return j.select("paper_uid", "models_built", unparsed, "points_evaluated", "points_out_of_domain", "values_implausible", "points_kept", "groups_without_grid", "no_grid_reason")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions.scalars import moisture_basis_norm
 from corundum.operators import assembly as A
-from corundum.plans.fixtures import ctes, frame
+from corundum.plans.fixtures import ctes, frame, scratch
 from corundum.schema import COLUMNS
 
 COLS = ", ".join(COLUMNS)
@@ -107,10 +107,10 @@ SELECT {COLS} FROM (
       AND o.k1=g.k1 AND o.k2=g.k2 AND o.k3=g.k3 AND o.k4=g.k4 AND o.k6=g.k6 AND o.k7=g.k7 AND o.k8=g.k8))"""
 
 
-def chain() -> str:
-    """All steps of assemble as CTEs, ending in `a6`."""
-    steps = [(1, canonical, "records"), (2, resolve, "a1"), (3, merge, "a2"), (4, tangent, "a3"), (5, valid, "a4"), (6, dedup, "a5")]
-    return ctes("records", "papers") + "".join(f",\na{i} AS ({step(src)})" for i, step, src in steps)
+def steps(src: str) -> str:
+    """All steps of assemble as CTEs over flat records, ending in `a6`."""
+    made = [(1, canonical, src), (2, resolve, "a1"), (3, merge, "a2"), (4, tangent, "a3"), (5, valid, "a4"), (6, dedup, "a5")]
+    return "".join(f",\na{i} AS ({step(x)})" for i, step, x in made)
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +165,17 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.coverage_ledger(frame(spark, sf_dir, "records"), artifacts(spark, sf_dir), frame(spark, sf_dir, "papers"))
 
 
+def _assembled_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: artifacts to the exported table and back, with the ledger and fingerprint of every paper."""
+    from corundum.sources.tables import assembly_job
+
+    made = assembly_job(artifacts(spark, sf_dir), frame(spark, sf_dir, "papers"), scratch(spark))
+    prints = made["fingerprint"].select("paper_uid", F.col("n").alias("exported_records"))
+    return made["ledger"].join(prints, "paper_uid", "left").select("paper_uid", "paper_id", "assembled_records", "outcome", F.coalesce("exported_records", F.lit(0)).alias("exported_records"))
+
+
+LEDGER_OF_A6 = f"""ledger AS ({LEDGER.replace("FROM records WHERE", "FROM a6 WHERE")}), prints AS (SELECT paper_uid, count(*) AS n FROM a6 GROUP BY 1)
+SELECT l.paper_uid, paper_id, assembled_records, outcome, coalesce(n, 0) AS exported_records FROM ledger l LEFT JOIN prints p ON p.paper_uid = l.paper_uid"""
 R, RP = f"WITH {ctes('records')}\n", f"WITH {ctes('records', 'papers')}\n"
 QUERIES = {
     "paper_identity": _records(lambda r: A.with_paper_key(r).groupBy("paper_key").agg(F.count("*").alias("n"))),
@@ -184,6 +195,8 @@ QUERIES = {
     "manifest_yield": lambda spark, sf_dir: A.manifest_yield(frame(spark, sf_dir, "papers"), frame(spark, sf_dir, "records")),
     "postprocess_hooks": _records(lambda r: A.postprocess_hooks(r, [lambda d: d.where("frequency_mhz > 100"), lambda d: d.withColumn("journal", F.upper("journal"))])),
     "assemble": _with_papers(A.assemble_records),
+    "assemble_artifacts": lambda spark, sf_dir: A.assemble(artifacts(spark, sf_dir), frame(spark, sf_dir, "papers")),
+    "assemble_ledger": _assembled_ledger,
 }
 ORACLES = {
     "paper_identity": f"{R} SELECT {KEY} AS paper_key, count(*) AS n FROM records GROUP BY 1",
@@ -199,8 +212,10 @@ ORACLES = {
     "bound_violations": f"{R} " + " UNION ALL ".join(f"SELECT {KEY} AS paper_key, material_name, '{c}' AS field, {c} AS value FROM records WHERE coalesce({v}, FALSE)" for c, v in BAD.items()),
     "dedup_records": f"{R} {dedup('records')}",
     "coverage_ledger": f"WITH {ctes('records', 'papers', 'artifact_rows')} {LEDGER}",
-    "coverage_summary": f"WITH {ctes('records', 'papers', 'artifact_rows')}, l AS ({LEDGER}) SELECT count(*) AS selected_papers, count(*) FILTER (outcome = 'contributed') AS contributing_papers, count(*) FILTER (assembled_records = 0) AS zero_yield_papers, count(*) FILTER (outcome IN ('no_parse_artifact','extraction_timed_out','extraction_incomplete')) AS incomplete_papers, sum(assembled_records)::BIGINT AS assembled_records FROM l",
+    "coverage_summary": f"WITH {ctes('records', 'papers', 'artifact_rows')}, l AS ({LEDGER}) SELECT count(*) AS selected_papers, count(*) FILTER (outcome = 'contributed') AS contributing_papers, count(*) FILTER (assembled_records = 0) AS zero_yield_papers, count(*) FILTER (outcome IN ('no_parse_artifact','extraction_timed_out','extraction_incomplete')) AS incomplete_papers, coalesce(sum(assembled_records), 0)::BIGINT AS assembled_records, {', '.join(f"count(*) FILTER (outcome = '{x}') AS n_{x}" for x in A.OUTCOMES)} FROM l",
     "manifest_yield": f"{RP} SELECT p.paper_uid, coalesce(n, 0) AS n FROM papers p LEFT JOIN (SELECT paper_uid, count(*) AS n FROM records WHERE paper_uid <> '' GROUP BY 1) m USING (paper_uid)",
     "postprocess_hooks": f"{R} SELECT * REPLACE (upper(journal) AS journal) FROM records WHERE frequency_mhz > 100",
-    "assemble": f"WITH {chain()}\nSELECT * FROM a6",
+    "assemble": f"WITH {ctes('records', 'papers')}{steps('records')}\nSELECT * FROM a6",
+    "assemble_artifacts": f"WITH {ctes('artifact_rows', 'papers')},\nflat AS ({FLAT}){steps('flat')}\nSELECT * FROM a6",
+    "assemble_ledger": f"WITH {ctes('artifact_rows', 'papers')},\nflat AS ({FLAT}){steps('flat')}, {LEDGER_OF_A6}",
 }

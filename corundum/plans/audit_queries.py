@@ -57,6 +57,9 @@ FLAGS = {
 ALL = " UNION ALL ".join(x for v in FLAGS.values() for x in v)
 
 
+VERDICT = "CASE WHEN frequency_mhz = 27 THEN 'LIKELY_ERROR' WHEN frequency_mhz = 40 THEN 'POSSIBLY_OK' WHEN frequency_mhz = 915 THEN 'FALSE_ALARM' END"
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loss_tangent(frame(spark, sf_dir, "records"))
 
@@ -83,7 +86,7 @@ def _two(job):
 
 
 def _same_row(gold: DataFrame, pred: DataFrame) -> DataFrame:
-    pairs = gold.select("gold_id", "paper_key").join(pred.select(F.col("pred_id"), F.col("paper_key")), (F.col("gold_id") == F.col("pred_id"))).select("gold_id", "pred_id")
+    pairs = gold.select("gold_id", "paper_key").join(pred.select(F.col("pred_id").alias("gold_id"), "pred_id", "paper_key"), ["gold_id", "paper_key"]).select("gold_id", "pred_id")
     return V.outcome(gold, pred, pairs)
 
 
@@ -94,7 +97,7 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold, pred = frame(spark, sf_dir, "gold"), frame(spark, sf_dir, "pred").withColumn("model", F.concat(F.lit("m"), (F.col("pred_id") % 3).cast("string")))
-    pairs = gold.select("gold_id").join(pred.select("pred_id", "model"), F.col("gold_id") == F.col("pred_id"))
+    pairs = gold.select("gold_id", "paper_key").join(pred.select(F.col("pred_id").alias("gold_id"), "pred_id", "paper_key", "model"), ["gold_id", "paper_key"])
     tp = pairs.select(F.lit("tp").alias("kind"), "gold_id", "pred_id", "model")
     fp = pred.join(pairs.select("pred_id"), "pred_id", "left_anti").select(F.lit("fp").alias("kind"), F.lit(None).cast("bigint").alias("gold_id"), "pred_id", "model")
     costs = frame(spark, sf_dir, "usage").select(F.concat(F.lit("m"), (F.col("input_tokens") % 3).cast("string")).alias("model"), "paper", (F.col("output_tokens") / 1e3).alias("cost_usd"), F.col("output_tokens").cast("double").alias("seconds"), F.col("input_tokens").alias("tokens"))
@@ -130,40 +133,65 @@ WHERE (g.frequency_mhz <= 0 OR abs(p.frequency_mhz - g.frequency_mhz) / g.freque
 WRONG = " OR ".join(f"coalesce(g.{c} IS NOT NULL AND (p.{c} IS NULL OR (g.{c} <> 0 AND abs(p.{c} - g.{c}) / abs(g.{c}) > 0.05::DOUBLE)), FALSE)" for c in ("dielectric_constant", "loss_factor"))
 
 
+SAME = "g.gold_id = p.pred_id AND g.paper_key = p.paper_key"
+
+
 def counted(model: str = "") -> str:
     on = f"AND p.pred_id % 3 = {model}" if model else ""
-    return f"(SELECT count(*) AS tp, (SELECT count(*) FROM pred p WHERE pred_id NOT IN (SELECT gold_id FROM gold) {on}) AS fp, {'0' if model else '(SELECT count(*) FROM gold WHERE gold_id NOT IN (SELECT pred_id FROM pred))'} AS fn, count(*) FILTER ({WRONG}) AS ve FROM gold g JOIN pred p ON gold_id = pred_id {on})"
+    return f"(SELECT count(*) AS tp, (SELECT count(*) FROM pred p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE {SAME}) {on}) AS fp, {'0' if model else f'(SELECT count(*) FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE {SAME}))'} AS fn, count(*) FILTER ({WRONG}) AS ve FROM gold g JOIN pred p ON {SAME} {on})"
 
 
 METRICS = "tp, fp, fn, CASE WHEN tp + fp = 0 THEN 0 ELSE tp::DOUBLE / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0 ELSE tp::DOUBLE / (tp + fn) END AS recall"
 F1 = "CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END"
 RND = "round_even({} * 10000, 0) / 10000"
+AWARE = {"require_reported_moisture": True, "require_reported_salt": True, "require_matching_moisture_basis": True, "require_reported_conductivity": True}
+#: Predictions that leave out what the reference reports, here and there.
+LEFT_OUT = {
+    "moisture_content_pct": "CASE WHEN pred_id % 5 <> 0 THEN moisture_content_pct END",
+    "moisture_basis": "CASE pred_id % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'Wet' ELSE moisture_basis END",
+    "salt_content": "CASE WHEN pred_id % 7 <> 0 THEN salt_content END",
+    "electrical_conductivity_s_m": "CASE WHEN pred_id % 4 <> 0 THEN electrical_conductivity_s_m END",
+}
+UNREPORTED = ", ".join(f"{v} AS {k}" for k, v in LEFT_OUT.items())
+REPORTED = f"""
+  AND (g.moisture_content_pct IS NULL OR p.moisture_content_pct IS NOT NULL) AND ({SALT.format('g')} = '' OR {SALT.format('p')} <> '')
+  AND (g.electrical_conductivity_s_m IS NULL OR p.electrical_conductivity_s_m IS NOT NULL)
+  AND (g.moisture_content_pct IS NULL OR p.moisture_content_pct IS NULL OR lower(coalesce(p.moisture_basis, '')) NOT IN ('wet', 'dry') OR lower(coalesce(g.moisture_basis, '')) NOT IN ('wet', 'dry')
+       OR lower(p.moisture_basis) = lower(g.moisture_basis))"""
+
+
+def _unreported(pred: DataFrame) -> DataFrame:
+    return pred.withColumns({k: F.expr(v) for k, v in LEFT_OUT.items()})
+
+
 QUERIES = {name: _rule(name) for name in FLAGS} | {
     "audit_report": lambda spark, sf_dir: Q.audit_report(_records(spark, sf_dir)).select(*CARRIED, "severity", "rule_id"),
-    "audit_summary": lambda spark, sf_dir: Q.audit_summary(Q.audit_report(_records(spark, sf_dir))),
+    "audit_summary": lambda spark, sf_dir: Q.audit_summary(Q.audit_report(_records(spark, sf_dir)).withColumn("verdict", F.expr(VERDICT))),
     "audit_review_requests": _requests,
     "audit_apply_verdicts": _verdicts,
-    "filter_to_reference_papers": _two(lambda g, p: V.filter_to_reference_papers(g.where("gold_id % 2 = 0 and frequency_mhz = 27"), p).groupBy("paper_key").agg(F.count("*").alias("n"))),
-    "filter_to_reference_frequencies": _two(lambda g, p: V.filter_to_reference_frequencies(g.where("frequency_mhz > 30"), p).groupBy("paper_key", "frequency_mhz").agg(F.count("*").alias("n"))),
+    "filter_to_reference_papers": _two(lambda g, p: V.filter_to_reference_papers(g, p).groupBy("paper_key").agg(F.count("*").alias("n"))),
+    "filter_to_reference_frequencies": _two(lambda g, p: V.filter_to_reference_frequencies(g, p).groupBy("paper_key", "frequency_mhz").agg(F.count("*").alias("n"))),
     "material_match": _tokens,
     "match_candidates": _two(lambda g, p: V.match_candidates(g, p)),
+    "match_candidates_aware": _two(lambda g, p: V.match_candidates(g, _unreported(p), **AWARE)),
     "match_records": _two(lambda g, p: V.match_records(g, p, V.match_candidates(g, p))),
     "match_metrics": _two(lambda g, p: V.match_metrics(g, p, _same_row(g, p))),
     "per_paper_metrics": _two(lambda g, p: V.per_paper_metrics(g, p, _same_row(g, p))),
     "compare_models": _compare,
-    "reference_paper_map": lambda spark, sf_dir: V.reference_paper_map(frame(spark, sf_dir, "gold"), frame(spark, sf_dir, "records").where("paper_uid <> ''"), frame(spark, sf_dir, "papers")),
+    "reference_paper_map": lambda spark, sf_dir: V.reference_paper_map(frame(spark, sf_dir, "gold"), frame(spark, sf_dir, "records"), frame(spark, sf_dir, "papers")),
 }
 ORACLES = {name: f"{IN} " + " UNION ALL ".join(v) for name, v in FLAGS.items()} | {
     "audit_report": f"{IN} {ALL}",
-    "audit_summary": f"{IN} SELECT severity, rule_id, count(*) AS flags, count(DISTINCT title) AS titles FROM ({ALL}) GROUP BY 1, 2",
+    "audit_summary": f"{IN} SELECT severity, rule_id, count(*) AS flags, count(DISTINCT title) AS titles, count(*) FILTER (v = 'LIKELY_ERROR') AS likely_error, count(*) FILTER (v = 'POSSIBLY_OK') AS possibly_ok, count(*) FILTER (v = 'FALSE_ALARM') AS false_alarm FROM (SELECT *, {VERDICT} AS v FROM ({ALL})) GROUP BY 1, 2",
     "audit_review_requests": f"{IN} SELECT paper_key, f.n AS n_flags, 2 + f.n + least(30, r.n) AS lines FROM (SELECT paper_key, count(*) AS n FROM ({ALL}) WHERE severity <> 'INFO' GROUP BY 1) f JOIN (SELECT paper_key, count(*) AS n FROM k GROUP BY 1) r USING (paper_key)",
     "audit_apply_verdicts": f"{IN} SELECT paper_key, q::INT AS n, CASE q WHEN 1 THEN 'LIKELY_ERROR' WHEN 2 THEN 'FALSE_ALARM' WHEN 11 THEN 'POSSIBLY_OK' END AS verdict, CASE q WHEN 1 THEN 'wrong column' WHEN 2 THEN 'fine' WHEN 11 THEN 'ok' END AS reason, count(*) AS flags FROM (SELECT paper_key, ROW_NUMBER() OVER (PARTITION BY paper_key) AS q FROM ({' UNION ALL '.join(FLAGS['audit_swap'])})) GROUP BY paper_key, q",
-    "filter_to_reference_papers": f"{GP} SELECT paper_key, count(*) AS n FROM pred WHERE paper_key IN (SELECT paper_key FROM gold WHERE gold_id % 2 = 0 AND frequency_mhz = 27) GROUP BY 1",
-    "filter_to_reference_frequencies": f"{GP}, a AS (SELECT DISTINCT paper_key, frequency_mhz AS f FROM gold WHERE frequency_mhz > 30) SELECT paper_key, frequency_mhz, count(*) AS n FROM pred p WHERE frequency_mhz IS NULL OR NOT EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key) OR EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key AND abs(p.frequency_mhz - f) / f <= 0.05::DOUBLE) GROUP BY 1, 2",
+    "filter_to_reference_papers": f"{GP} SELECT paper_key, count(*) AS n FROM pred WHERE paper_key IN (SELECT paper_key FROM gold) GROUP BY 1",
+    "filter_to_reference_frequencies": f"{GP}, a AS (SELECT DISTINCT paper_key, frequency_mhz AS f FROM gold) SELECT paper_key, frequency_mhz, count(*) AS n FROM pred p WHERE frequency_mhz IS NULL OR NOT EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key) OR EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key AND abs(p.frequency_mhz - f) / f <= 0.05::DOUBLE) GROUP BY 1, 2",
     "material_match": f"WITH x AS (SELECT {tokens('p_name')} AS a, {tokens('p_type')} AS b, {tokens(chr(40) + 'p_name || ' + chr(39) + ' samples, 5% dried' + chr(39) + chr(41))} AS c FROM part) SELECT {tokens_ok('a', 'b')} AS name_type, {tokens_ok('a', 'c')} AS same, count(*) AS n FROM x GROUP BY 1, 2",
     "match_candidates": f"{GP} {CANDIDATES}",
+    "match_candidates_aware": f"WITH {ctes('gold', 'pred').replace('pred AS (', 'pred0 AS (')}, pred AS (SELECT * REPLACE ({UNREPORTED}) FROM pred0) {CANDIDATES} {REPORTED}",
     "match_metrics": f"{GP} SELECT tp, fp, fn, precision, recall, {F1} AS f1, ve AS value_errors, CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END AS value_accuracy FROM (SELECT {METRICS}, ve FROM {counted()})",
-    "per_paper_metrics": f"{GP}, g AS (SELECT paper_key, count(*) AS gold FROM gold GROUP BY 1), p AS (SELECT paper_key, count(*) AS pred FROM pred GROUP BY 1), m AS (SELECT paper_key, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM (SELECT 'tp' AS kind, gold.paper_key FROM gold JOIN pred ON gold_id = pred_id UNION ALL SELECT 'fp', paper_key FROM pred WHERE pred_id NOT IN (SELECT gold_id FROM gold) UNION ALL SELECT 'fn', paper_key FROM gold WHERE gold_id NOT IN (SELECT pred_id FROM pred)) GROUP BY 1) SELECT paper_key, gold, pred, {METRICS} FROM (SELECT paper_key, coalesce(gold, 0) AS gold, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn FROM g FULL JOIN p USING (paper_key) LEFT JOIN m USING (paper_key))",
+    "per_paper_metrics": f"{GP}, g AS (SELECT paper_key, count(*) AS gold FROM gold GROUP BY 1), p AS (SELECT paper_key, count(*) AS pred FROM pred GROUP BY 1), m AS (SELECT paper_key, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM (SELECT 'tp' AS kind, g.paper_key FROM gold g JOIN pred p ON {SAME} UNION ALL SELECT 'fp', paper_key FROM pred p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE {SAME}) UNION ALL SELECT 'fn', paper_key FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE {SAME})) GROUP BY 1) SELECT paper_key, gold, pred, {METRICS} FROM (SELECT paper_key, coalesce(gold, 0) AS gold, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn FROM g FULL JOIN p USING (paper_key) LEFT JOIN m USING (paper_key))",
     "compare_models": f"WITH {ctes('gold', 'pred', 'usage')} SELECT model, tp, fp, fn, {RND.format('precision')} AS precision, {RND.format('recall')} AS recall, {RND.format(F1)} AS f1, {RND.format('CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END')} AS value_accuracy, {RND.format('cost')} AS cost, {RND.format('cost / papers')} AS cost_per_paper, round_even(seconds / papers * 10, 0) / 10 AS seconds_per_paper, tokens FROM (SELECT {METRICS}, ve, model FROM (" + " UNION ALL ".join(f"SELECT *, 'm{k}' AS model FROM {counted(str(k))}" for k in range(3)) + ")) JOIN (SELECT 'm' || (input_tokens % 3) AS model, sum(output_tokens)::DOUBLE / 1e3 AS cost, sum(output_tokens)::DOUBLE AS seconds, sum(input_tokens)::BIGINT AS tokens, count(DISTINCT paper) AS papers FROM usage GROUP BY 1) USING (model)",
-    "reference_paper_map": f"WITH {ctes('gold', 'records', 'papers')}, r AS (SELECT 'supplier ' || regexp_extract(paper_id, '^[0-9]+') AS paper_key, min(doi) AS doi FROM records WHERE paper_uid <> '' AND doi <> '' GROUP BY 1), n AS (SELECT 'supplier ' || regexp_extract(pdf_path, '[0-9]+') AS paper_key, min(doi) AS doi FROM papers WHERE doi <> '' GROUP BY 1) SELECT g.paper_key, coalesce(r.doi, n.doi) AS doi FROM (SELECT DISTINCT paper_key FROM gold) g LEFT JOIN r USING (paper_key) LEFT JOIN n USING (paper_key)",
+    "reference_paper_map": f"WITH {ctes('gold', 'records', 'papers')}, r AS (SELECT 'supplier ' || regexp_extract(paper_id, '^[0-9]+') AS paper_key, min(doi) AS doi FROM records WHERE doi <> '' GROUP BY 1), n AS (SELECT 'supplier ' || regexp_extract(pdf_path, '[0-9]+') AS paper_key, min(doi) AS doi FROM papers WHERE doi <> '' GROUP BY 1) SELECT g.paper_key, coalesce(r.doi, n.doi) AS doi FROM (SELECT DISTINCT paper_key FROM gold) g LEFT JOIN r USING (paper_key) LEFT JOIN n USING (paper_key)",
 }

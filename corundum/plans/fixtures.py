@@ -4,7 +4,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +58,8 @@ FROM supplier
 """
 GOLD = """
 SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS gold_id,
-  l_suppkey || '. supplier_' || l_suppkey AS paper_id, 'supplier ' || l_suppkey AS paper_key,
+  l_suppkey || CASE WHEN l_orderkey % 3 = 0 THEN '. supplier_' ELSE '. reference_' END || l_suppkey AS paper_id,
+  CASE WHEN l_orderkey % 3 = 0 THEN 'supplier ' ELSE 'reference ' END || l_suppkey AS paper_key,
   p_name || CASE WHEN l_partkey % 2 = 0 THEN ' samples' ELSE '' END AS material_name,
   CASE WHEN l_orderkey % 4 = 0 THEN 27e0 WHEN l_orderkey % 4 = 1 THEN 40e0 WHEN l_orderkey % 4 = 2 THEN 915e0 ELSE 2450e0 END AS frequency_mhz,
   20e0 + 10e0 * (CAST(l_quantity AS BIGINT) % 3) + (l_partkey % 3 - 1) AS temperature_c,
@@ -65,11 +68,12 @@ SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumbe
   CASE WHEN l_partkey % 16 = 0 THEN 'salt 1.05%' END AS salt_content,
   CASE WHEN l_partkey % 16 = 1 THEN 505e-3 END AS electrical_conductivity_s_m,
   floor(l_extendedprice / 1e2) / 1e1 AS dielectric_constant, floor(l_discount * 4e3 + 5e-1) / 1e1 AS loss_factor
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 3 = 0
+FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 PRED = """
 SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS pred_id,
-  l_suppkey || '. supplier_' || l_suppkey AS paper_id, 'supplier ' || l_suppkey AS paper_key,
+  l_suppkey || CASE WHEN l_orderkey % 3 <> 1 THEN '. supplier_' ELSE '. prediction_' END || l_suppkey AS paper_id,
+  CASE WHEN l_orderkey % 3 <> 1 THEN 'supplier ' ELSE 'prediction ' END || l_suppkey AS paper_key,
   CASE WHEN l_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END AS material_name,
   CASE WHEN l_partkey % 50 = 1 THEN NULL WHEN l_orderkey % 4 = 0 THEN 27.12e0 WHEN l_orderkey % 4 = 1 THEN 40e0 WHEN l_orderkey % 4 = 2 THEN 915e0 ELSE 2400e0 END AS frequency_mhz,
   20e0 + 10e0 * (CAST(l_quantity AS BIGINT) % 3) AS temperature_c,
@@ -79,12 +83,12 @@ SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumbe
   CASE WHEN l_partkey % 16 = 1 THEN 5e-1 END AS electrical_conductivity_s_m,
   CASE WHEN l_returnflag = 'R' THEN NULL ELSE floor(l_extendedprice / 1e2) / 1e1 * (1e0 + (l_partkey % 4) * 3e-2) END AS dielectric_constant,
   floor(l_discount * 4e3 + 5e-1) / 1e1 AS loss_factor
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 3 <> 1
+FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 ARTIFACT_ROWS = """
 SELECT 'a' || l_suppkey || '_' || (l_linenumber % 2) AS artifact,
-  CASE WHEN l_suppkey % 12 = 11 THEN '' ELSE substr(SHA256(CAST(l_suppkey AS STRING)), 1, 12) END AS artifact_uid,
-  '10.1000/S' || l_suppkey AS artifact_doi,
+  CASE WHEN l_suppkey % 14 = 13 THEN 'of no paper' WHEN l_suppkey % 12 = 11 THEN '' ELSE substr(SHA256(CAST(l_suppkey AS STRING)), 1, 12) END AS artifact_uid,
+  CASE WHEN l_suppkey % 14 = 13 THEN '10.1000/X' ELSE '10.1000/S' END || l_suppkey AS artifact_doi,
   CASE l_linenumber % 2 WHEN 0 THEN 'text' ELSE 'table' END AS kind,
   l_suppkey % 17 = 16 AS timed_out, l_suppkey % 19 <> 18 AS done,
   CASE WHEN l_suppkey % 2 = 0 THEN 'table_1' END AS processed,
@@ -96,7 +100,7 @@ SELECT 'a' || l_suppkey || '_' || (l_linenumber % 2) AS artifact,
   CASE WHEN l_partkey % 2 = 0 THEN 'T' || l_linenumber ELSE '' END AS source_table,
   CASE l_partkey % 4 WHEN 0 THEN 'measured_table' WHEN 1 THEN 'measured_text' WHEN 2 THEN 'equation_derived' ELSE '' END AS data_provenance,
   CASE l_partkey % 3 WHEN 0 THEN 'table' ELSE '' END AS extraction_source
-FROM lineitem WHERE l_linenumber <= 4 AND l_suppkey % 14 <> 13
+FROM lineitem
 """
 MANIFEST = """
 SELECT substr(SHA256('c' || c_custkey), 1, 12) AS paper_uid, 'corpus/' || c_name || '.pdf' AS pdf_path, lower(c_name) AS slug,
@@ -177,6 +181,14 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **used)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for what a query writes and reads back: in the cluster's shared folder, or a local one where none is named."""
+    sc = spark.sparkContext
+    if (shared := sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")) is None:
+        return tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
+    return f"{shared}/{os.urandom(8).hex()}"
+
+
 def ctes(*names: str) -> str:
     """`name AS (...)` for a WITH clause of DuckDB."""
     return ",\n".join(f"{n} AS ({duck_sql(TABLES[n])})" for n in names)

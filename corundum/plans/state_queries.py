@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corundum.operators import cleaning as C
 from corundum.operators import state as S
 from corundum.plans.assembly_queries import COLS, artifacts, dedup, merge
-from corundum.plans.fixtures import ctes, frame
+from corundum.plans.fixtures import ctes, frame, scratch
 from corundum.schema import COLUMNS, OUTPUT
 from corundum.sources import corpus, tables
 
@@ -58,11 +58,37 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_predictions(frame(spark, sf_dir, "pred").drop("paper_key")).select("pred_id", "paper_key", "salt_content", "electrical_conductivity_s_m")
 
 
-def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold rows as a reference file has them: headers in other words, numbers with errors."""
     g = frame(spark, sf_dir, "gold")
-    raw = g.select(F.col("paper_id").alias(" Paper "), F.concat(F.format_string("%.1f", "frequency_mhz"), F.lit(" ± 0.5")).alias("Frequency"), F.format_string("%.1f", "temperature_c").alias("Temperature"), F.concat(F.lit("−"), F.format_string("%.1f", "dielectric_constant"), F.lit(" +/- 1")).alias("eps_prime"), F.when(F.col("loss_factor") > 5, F.format_string("%.1f", "loss_factor")).otherwise("n.d.").alias("Loss_Factor"))
-    return tables.normalize_columns(raw).select("paper_key", "frequency_mhz", "temperature_c", "dielectric_constant", "loss_factor")
+    number = lambda c: F.format_string("%.1f", c)
+    return g.select(
+        F.col("paper_id").alias(" Paper "),
+        F.concat(number("frequency_mhz"), F.lit(" ± 0.5")).alias("Frequency"),
+        number("temperature_c").alias("Temperature"),
+        F.concat(F.lit("−"), number("dielectric_constant"), F.lit(" +/- 1")).alias("eps_prime"),
+        F.when(F.col("loss_factor") > 5, number("loss_factor")).otherwise("n.d.").alias("Loss_Factor"),
+    )
+
+
+def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reference files, one of commas and one of tabs, read back."""
+    raw, folder = _raw_reference(spark, sf_dir), scratch(spark)
+    few = F.col(" Paper ").startswith("1")
+    raw.where(few).write.option("header", "true").csv(f"{folder}/some.csv")
+    raw.where(~few).write.option("header", "true").option("sep", "\t").csv(f"{folder}/rest.tsv")
+    files = tables.load_reference(spark, [f"{folder}/some.csv"]).unionByName(tables.load_reference(spark, [f"{folder}/rest.tsv"], "tsv"))
+    return files.select("paper_key", "frequency_mhz", "temperature_c", "dielectric_constant", "loss_factor")
+
+
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported table as its Parquet and CSV files have it, each row with the number of files it is in."""
+    folder = scratch(spark)
+    tables.export_dataset(frame(spark, sf_dir, "records").drop("journal"), folder)
+    types = ", ".join(f"{c} {t}" for c, t in OUTPUT)
+    back = spark.read.parquet(f"{folder}/parquet").unionByName(spark.read.schema(types).csv(f"{folder}/csv", header=True, escape='"'))
+    text = [F.coalesce(c, F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in OUTPUT]
+    return back.select(*text).groupBy(*COLUMNS).agg(F.count("*").alias("n"))
 
 
 def _reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -82,6 +108,22 @@ def _with(job, *names, **more):
     return lambda spark, sf_dir: job(*[frame(spark, sf_dir, n) for n in names], **more)
 
 
+def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The papers with a text that names frequencies; a third of those that list frequencies don't any more."""
+    none = F.array().cast("array<double>")
+    year = F.col("year") % 3
+    text = F.when(year == 1, "Measured at 2450 MHz and 5 MHz.").otherwise("Measured in the field.")
+    return frame(spark, sf_dir, "papers").withColumns({"measurement_frequencies_mhz": F.when(year == 0, none).otherwise(F.col("measurement_frequencies_mhz")), "full_text": text})
+
+
+def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table for every second year's papers, with frequencies in its headers."""
+    headers = F.array(F.array(F.lit("ε' 27.12 MHz"), F.lit("x")), F.array(F.lit("915MHz"), F.lit("n")))
+    return frame(spark, sf_dir, "papers").where("year % 2 = 0").select("paper_uid", headers.alias("headers"))
+
+
+TOLD = """SELECT r.*, p.f FROM records r LEFT JOIN (SELECT paper_uid, any_value(CASE WHEN year % 3 <> 0 AND len(measurement_frequencies_mhz) > 0 THEN measurement_frequencies_mhz WHEN year % 2 = 0 AND paper_uid <> '' THEN [27.12::DOUBLE, 915::DOUBLE]
+  WHEN year % 3 = 1 THEN [2450::DOUBLE] ELSE [] END) AS f FROM papers WHERE paper_uid <> '' GROUP BY 1) p USING (paper_uid)"""
 TEXT = "lower(trim(coalesce({},'')))"
 FREQ_OK = "(len(coalesce(f, [])) = 0 OR frequency_mhz IS NULL OR len(list_filter({k}, lambda x: x > 0 AND abs(frequency_mhz - x) / x < 0.05::DOUBLE)) > 0)"
 MAT = "len(list_filter(m, lambda x: contains(lower(material_name), lower(x)) OR contains(lower(x), lower(material_name)) OR split_part(trim(lower(x)), ' ', 1) = split_part(trim(lower(material_name)), ' ', 1))) > 0"
@@ -92,6 +134,7 @@ COST = "CASE model WHEN 'small' THEN (input_tokens * 0.25::DOUBLE + output_token
 FOLD = """SELECT paper, arg_max(status, (ts, event_id)) AS status, arg_max(pdf_path, (ts, event_id)) FILTER (pdf_path <> '') AS pdf_path, arg_max(screen_time, (ts, event_id)) FILTER (screen_time IS NOT NULL) AS screen_time,
   arg_max(error_message, (ts, event_id)) FILTER (error_message IS NOT NULL) AS error_message, sum(cost_cents)::BIGINT AS cost_cents FROM checkpoint_events GROUP BY paper"""
 HASH = "sha256(concat_ws('|', " + ", ".join(f"coalesce({'printf(' + chr(39) + '%.6f' + chr(39) + ', ' + c + ')' if t == 'double' else f'CAST({c} AS VARCHAR)'}, '\\N')" for c, t in sorted(OUTPUT)) + "))"
+SUMS = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {1 + 15 * k}, 15) AS BIGINT)) AS VARCHAR)" for k in range(4))
 QUERIES = {
     "corpus_dedup": lambda spark, sf_dir: corpus.corpus_dedup(frame(spark, sf_dir, "documents").select(F.concat(F.lit("Corpus/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".PDF")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))),
     "manifest_upsert": lambda spark, sf_dir: corpus.manifest_upsert(frame(spark, sf_dir, "manifest"), frame(spark, sf_dir, "updates"), frame(spark, sf_dir, "manifest").where("year % 9 <> 0").select("paper_uid").union(frame(spark, sf_dir, "updates").select("paper_uid"))),
@@ -101,11 +144,11 @@ QUERIES = {
     "route_extraction": _route,
     "load_reference": _reference,
     "load_predictions": _predictions,
-    "export_dataset": lambda spark, sf_dir: tables.export_frame(frame(spark, sf_dir, "records").drop("journal").where("year > 2005")),
-    "append_assemble": lambda spark, sf_dir: tables.append_assemble(frame(spark, sf_dir, "records").where("year % 2 = 0"), frame(spark, sf_dir, "records").where("year % 3 = 0")),
+    "export_dataset": _export,
+    "append_assemble": lambda spark, sf_dir: tables.append_assemble(frame(spark, sf_dir, "records").where("year % 2 = 0"), frame(spark, sf_dir, "records").where("year % 2 <> 0")),
     "dataset_fingerprint": _with(tables.dataset_fingerprint, "records"),
     "filter_cited": _with(C.filter_cited, "records", "papers"),
-    "filter_text_records": _with(C.filter_text_records, "records", "papers"),
+    "filter_text_records": lambda spark, sf_dir: C.filter_text_records(frame(spark, sf_dir, "records"), _told(spark, sf_dir), _headed(spark, sf_dir)),
     "sanity_filter": _with(C.sanity_filter, "records"),
     "merge_split_extraction": _with(C.merge_split_extraction, "records"),
     "cost_ledger": _costs,
@@ -131,11 +174,11 @@ SELECT file_name, paper_uid, kind, score FROM (SELECT *, ROW_NUMBER() OVER (PART
     "route_extraction": f"WITH {ctes('manifest')}, {SCREEN}, {ARTIFACTS} SELECT paper_uid, kind FROM (SELECT paper_uid, CASE WHEN year % 2 = 0 THEN 'table' ELSE 'text' END AS kind FROM x WHERE extraction_priority <> 'skip') w WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.complete AND a.paper_uid = w.paper_uid AND a.kind = w.kind)",
     "load_reference": f"WITH {ctes('gold')} SELECT paper_key, frequency_mhz, temperature_c, -dielectric_constant AS dielectric_constant, CASE WHEN loss_factor > 5 THEN loss_factor END AS loss_factor FROM gold",
     "load_predictions": f"WITH {ctes('pred')} SELECT pred_id, paper_key, CASE WHEN salt_content = '0.5 S/m' THEN NULL ELSE salt_content END AS salt_content, CASE WHEN salt_content = '0.5 S/m' THEN 0.5 ELSE electrical_conductivity_s_m END AS electrical_conductivity_s_m FROM pred",
-    "export_dataset": f"{REC} SELECT * REPLACE (NULL::VARCHAR AS journal) FROM records WHERE year > 2005",
-    "append_assemble": f"{REC}, u AS (SELECT * FROM records WHERE year % 2 = 0 UNION ALL SELECT * FROM records WHERE year % 3 = 0) {dedup('u')}",
-    "dataset_fingerprint": f"{REC} SELECT paper_uid, count(*) AS n, count(DISTINCT extraction_model) AS models, sha256(string_agg(h, '' ORDER BY h)) AS sha256 FROM (SELECT *, {HASH} AS h FROM records) GROUP BY 1",
+    "export_dataset": f"{REC} SELECT {', '.join(('' + chr(39) * 2 if c == 'journal' else f'coalesce({c}, ' + chr(39) * 2 + ')') + f' AS {c}' if t == 'string' else c for c, t in OUTPUT)}, 2 * count(*) AS n FROM records GROUP BY ALL",
+    "append_assemble": f"{REC} {dedup('records')}",
+    "dataset_fingerprint": f"{REC} SELECT paper_uid, count(*) AS n, count(DISTINCT extraction_model) AS models, sha256(concat_ws(',', {SUMS})) AS sha256 FROM (SELECT *, {HASH} AS h FROM records) GROUP BY 1",
     "filter_cited": f"{RP}, j AS ({JOINED}) SELECT CASE WHEN NOT contains(lower(source_table), 'regression') AND {FOREIGN} THEN m[1] ELSE material_name END AS material_name, {', '.join(COLUMNS[1:])} FROM j WHERE (dielectric_constant IS NOT NULL OR loss_factor IS NOT NULL) AND source_table <> '' AND (contains(lower(source_table), 'regression') OR ({FREQ_OK.format(k='list_concat(f, [915e0, 2450e0])')} AND (NOT {FOREIGN} OR len(m) <= 2)))",
-    "filter_text_records": f"{RP}, j AS ({JOINED}) SELECT {COLS} FROM j WHERE dielectric_constant IS NOT NULL AND loss_factor IS NOT NULL AND {FREQ_OK.format(k='f')}",
+    "filter_text_records": f"{RP}, j AS ({TOLD}) SELECT {COLS} FROM j WHERE dielectric_constant IS NOT NULL AND loss_factor IS NOT NULL AND {FREQ_OK.format(k='f')}",
     "sanity_filter": f"{REC} SELECT * FROM records {SAN}",
     "merge_split_extraction": f"{REC}, q AS (SELECT * FROM records) " + merge("q", 1, 4, key="paper_uid", extra=f", {TEXT.format('data_provenance')} AS k9").replace("coalesce(frequency_mhz, -999)", "frequency_mhz").replace("coalesce(temperature_c, -999)", "temperature_c").replace("coalesce(moisture_content_pct, -1)", "moisture_content_pct").replace("coalesce(electrical_conductivity_s_m, -1)", "electrical_conductivity_s_m").replace("IN ('wet','wet basis','wet-basis','wb','w.b.','w.b')", "IN ('wet','wet basis')"),
     "cost_ledger": f"WITH {ctes('usage')} SELECT *, {COST} AS cost_usd FROM usage",

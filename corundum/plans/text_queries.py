@@ -22,8 +22,8 @@ HEADS = [
 
 
 def parsed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One table per supplier and line number, its rows from a share of the line items."""
-    lines = frame(spark, sf_dir, "lineitem").where("l_linenumber < 6 and l_partkey % 5 = 0")
+    """One table per supplier and line number, its rows from the line items."""
+    lines = frame(spark, sf_dir, "lineitem")
     cells = F.array(
         F.when(F.col("l_quantity").cast("bigint") % 3 == 0, "").otherwise(F.concat((F.lit(10) + F.col("l_quantity").cast("bigint") % 4 * 10).cast("string"), F.lit(" C"))),
         F.concat(F.lit("p"), (F.col("l_partkey") % 3).cast("string")), F.concat(F.floor(F.col("l_extendedprice") / 1e3).cast("string"), F.lit(".5")), F.concat(F.floor(F.col("l_discount") * 1e2 + 0.5).cast("string"), F.lit(".2 ± 0.1")),
@@ -38,7 +38,7 @@ def parsed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HEADS = "CASE l_linenumber % 6 " + " ".join("WHEN {} THEN {{'caption': '{}', 'headers': [{}]}}".format(k, c, ", ".join("[" + ", ".join("'" + x + "'" for x in r) + "]" for r in h)) for k, (c, h) in enumerate(HEADS)) + " END"
 TABLES = f"""tabs AS (SELECT 'p' || l_suppkey AS paper_uid, 'table_' || l_suppkey || '_' || l_linenumber AS table_id, h.caption AS caption, h.headers AS headers, rows FROM (
   SELECT l_suppkey, l_linenumber, {_HEADS} AS h, list([CASE WHEN l_quantity::BIGINT % 3 = 0 THEN '' ELSE (10 + l_quantity::BIGINT % 4 * 10) || ' C' END, 'p' || (l_partkey % 3), floor(l_extendedprice / 1e3)::BIGINT || '.5', floor(l_discount * 1e2 + 0.5::DOUBLE)::BIGINT || '.2 ± 0.1']
-    ORDER BY l_orderkey, l_partkey, l_quantity, l_extendedprice, l_discount) AS rows FROM lineitem WHERE l_linenumber < 6 AND l_partkey % 5 = 0 GROUP BY l_suppkey, l_linenumber))"""
+    ORDER BY l_orderkey, l_partkey, l_quantity, l_extendedprice, l_discount) AS rows FROM lineitem GROUP BY l_suppkey, l_linenumber))"""
 
 
 def paper_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +151,7 @@ QUERIES = {
     "results_text": lambda spark, sf_dir: T.results_text(frame(spark, sf_dir, "sections"), frame(spark, sf_dir, "texts")),
     "text_windows": lambda spark, sf_dir: T.text_windows(frame(spark, sf_dir, "texts").select("paper_uid", F.col("full_text").alias("text")), 2000, 200),
     "detect_frequencies": lambda spark, sf_dir: T.detect_frequencies(frame(spark, sf_dir, "texts"), parsed_tables(spark, sf_dir)).select("paper_uid", F.array_join(F.transform("freqs", lambda x: F.round(x, 2).cast("decimal(12,2)").cast("string")), ",").alias("freqs")),
-    "enrich_moisture": lambda spark, sf_dir: T.enrich_moisture(paper_frames(spark, sf_dir).withColumn("moisture_range_pct", F.lit(None).cast("struct<lo:double,hi:double>")).withColumn("moisture_basis", F.lit(None).cast("string")), parsed_tables(spark, sf_dir).where("caption <> 'Density of samples'")).select("paper_uid", "moisture_basis", F.size("moisture_levels_pct").alias("n_levels"), "moisture_range_pct.lo", "moisture_range_pct.hi"),
+    "enrich_moisture": lambda spark, sf_dir: T.enrich_moisture(paper_frames(spark, sf_dir).withColumn("moisture_range_pct", F.lit(None).cast("struct<lo:double,hi:double>")).withColumn("moisture_basis", F.lit(None).cast("string")), parsed_tables(spark, sf_dir)).select("paper_uid", "moisture_basis", F.size("moisture_levels_pct").alias("n_levels"), "moisture_range_pct.lo", "moisture_range_pct.hi"),
     "apply_screening": _screened,
     "grid_from_cells": lambda spark, sf_dir: B.grid_from_cells(_cells(spark, sf_dir)).select("table_id", F.array_join(F.flatten("headers"), "|").alias("headers"), F.array_join(F.flatten("rows"), "|").alias("rows")),
     "column_labels": lambda spark, sf_dir: B.column_labels(parsed_tables(spark, sf_dir)).select("table_id", F.array_join("labels", "; ").alias("labels")),
@@ -168,8 +168,49 @@ QUERIES = {
     "evaluate_models": lambda spark, sf_dir: E.evaluate_models(_models(spark, sf_dir), paper_frames(spark, sf_dir)),
     "equation_report": lambda spark, sf_dir: E.equation_report(equations(spark, sf_dir), _models(spark, sf_dir), paper_frames(spark, sf_dir)),
 }
+def has(text: str, words) -> str:
+    """Whether a text contains one of the words."""
+    return "(" + " OR ".join("contains({}, '{}')".format(text, w.replace("'", "''")) for w in words) + ")"
+
+
+FLAT = "array_to_string(flatten({}), ' ')"
+#: The tables with their lower-cased texts, as the classification reads them.
+SEEN = f"""seen AS (SELECT *, lower(caption) || ' ' || lower({FLAT.format('headers')}) AS head, lower({FLAT.format('rows[1:5]')}) AS five, lower({FLAT.format('rows[1:12]')}) AS sample FROM tabs),
+told AS (SELECT *, head || ' ' || five AS words,
+  {has('head', B.EQUATION)} OR (len(list_intersect(list_transform(flatten(headers), lambda x: lower(x)), ['a','b','c','d','e','f'])) >= 2 AND {has(f"lower({FLAT.format('headers')})", B.FIT)}
+    AND regexp_matches(lower({FLAT.format('headers')}) || ' ' || sample, 'eps|ε|e\s*[r0''′″]')) AS is_equation,
+  list_transform(rows[1:10], lambda r: list_filter(list_transform(r[2:], lambda c: TRY_CAST(regexp_extract(c, '[0-9]+\.?[0-9]*') AS DOUBLE)), lambda x: x IS NOT NULL)) AS vals FROM seen),
+ruled AS (SELECT *, list_filter(vals, lambda v: len(v) >= 3) AS checked, {has('words', B.DIELECTRIC)} AS dielectric FROM told),
+sloped AS (SELECT *, len(list_filter(checked, lambda v: list_bool_and(list_transform(range(1, len(v)), lambda i: v[i] >= v[i + 1] * 0.9::DOUBLE)) AND list_max(v) < 200 AND v[1] > v[-1] * 2)) AS falls FROM ruled)"""
+CLASSIFIED = f"""SELECT table_id, CASE WHEN {has('words', B.PENETRATION)} AND NOT dielectric THEN 'penetration depth' WHEN regexp_matches(words, '\(mm\)|\(cm\)|in mm|in cm') AND NOT dielectric THEN 'length units'
+  WHEN NOT dielectric AND len(rows) >= 3 AND len(list_filter(headers[1], lambda h: regexp_matches(h, '(?i)[0-9]+\s*(MHz|GHz)'))) >= 3 AND len(checked) >= 3 AND falls / len(checked) > 0.7::DOUBLE THEN 'values fall with frequency'
+  WHEN is_equation THEN 'equation table' WHEN lower(data) = table_id THEN 'screened as data' WHEN skip = table_id AND dielectric THEN 'screened out, but dielectric' WHEN skip = table_id THEN 'screened out'
+  WHEN {has('words', B.SKIP)} AND NOT {has('words', B.NARROW)} THEN 'skip word' WHEN {has('words', B.EXPLICIT)} THEN 'dielectric word'
+  WHEN len(rows) >= 3 AND len(list_filter(flatten(list_transform(rows[1:5], lambda r: r[2:])), lambda c: len(regexp_extract_all(c, '[0-9]+\.?[0-9]*')) >= 4 OR (len(regexp_extract_all(c, '[0-9]+\.?[0-9]*')) >= 2 AND contains(c, '±')))) > 0 THEN 'paired numbers'
+  ELSE 'no sign of data' END AS reason
+FROM sloped LEFT JOIN (SELECT 'p' || s_suppkey AS paper_uid, CASE WHEN s_suppkey % 6 = 0 THEN 'Table_' || s_suppkey || '_4' END AS data, 'table_' || s_suppkey || '_5' AS skip FROM supplier) USING (paper_uid)"""
+#: Runs of a table's first column, packed greedily into chunks of up to 12 rows; larger runs are split.
+RUNS = """cells AS (SELECT table_id, rows, unnest(rows) AS r, generate_subscripts(rows, 1) AS i FROM tabs),
+firsts AS (SELECT table_id, i, trim(r[1]) AS v, last_value(nullif(trim(r[1]), '') IGNORE NULLS) OVER (PARTITION BY table_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM cells),
+runs AS (SELECT table_id, i, sum(CASE WHEN v <> '' AND p IS NOT NULL AND v <> p THEN 1 ELSE 0 END) OVER (PARTITION BY table_id ORDER BY i) AS nth FROM firsts),
+groups AS (SELECT table_id, list(n ORDER BY nth) AS g FROM (SELECT table_id, nth, count(*) AS n FROM runs GROUP BY 1, 2) GROUP BY 1),
+packed AS (SELECT table_id, list_reduce(list_transform(g, lambda n: {'done': []::BIGINT[], 'n': n}), lambda a, x: CASE WHEN a.n + x.n > 12 AND a.n > 0 THEN {'done': list_append(a.done, a.n), 'n': x.n} ELSE {'done': a.done, 'n': a.n + x.n} END) AS a FROM groups),
+sizes AS (SELECT table_id, rows, CASE WHEN len(rows) <= 12 THEN [len(rows)] ELSE flatten(list_transform(list_append(a.done, a.n), lambda n: list_transform(range(0, n, 12), lambda k: least(12, n - k)))) END AS z FROM packed JOIN tabs USING (table_id)),
+chunks AS (SELECT table_id, rows, z, unnest(range(0, len(z))) AS chunk_no FROM sizes)"""
+LEVELS = """l AS (SELECT l_suppkey, list_sort(list(DISTINCT (10 + l_quantity::BIGINT % 4 * 10)::DOUBLE)) AS v FROM lineitem WHERE l_linenumber % 6 = 2 AND l_quantity::BIGINT % 3 <> 0 GROUP BY 1),
+m AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 4 = 0 THEN [12::DOUBLE, 24::DOUBLE] WHEN len(v) >= 2 THEN v ELSE [] END AS lv FROM supplier LEFT JOIN l ON l_suppkey = s_suppkey)"""
+NUMBERS = lambda xs: "[" + ", ".join(f"{x}::DOUBLE" for x in xs) + "]"
 EQ = "k AS (SELECT *, p_partkey % 4 AS n FROM part WHERE p_partkey % 11 <> 10)"
+GRID = f"""e AS (SELECT p_partkey AS eq_no, n, 'p' || (p_partkey % 100) AS paper_uid, p_partkey % 3 = 0 AS dom FROM k WHERE n IN (0, 2) OR (n = 1 AND p_partkey % 13 <> 12) OR (n = 3 AND p_partkey % 7 <> 6)),
+j AS (SELECT e.*, s_suppkey AS s, list_max([CASE WHEN dom THEN 20::DOUBLE END, CASE WHEN s_suppkey % 3 = 1 THEN 25::DOUBLE END]) AS lo, list_min([CASE WHEN dom THEN 60::DOUBLE END, CASE WHEN s_suppkey % 3 = 1 THEN 65::DOUBLE END]) AS hi,
+  CASE WHEN s_suppkey % 3 = 1 THEN {NUMBERS([25, 30, 40, 50, 60, 65])} WHEN s_suppkey IS NOT NULL THEN {NUMBERS(E.STANDARD_T)} END AS lv FROM e LEFT JOIN supplier ON paper_uid = 'p' || s_suppkey),
+t AS (SELECT *, CASE WHEN lv IS NOT NULL THEN list_filter(lv, lambda x: lo IS NULL OR (x >= lo - 1e-9 AND x <= hi + 1e-9)) WHEN lo IS NOT NULL THEN list_transform(range(0, 8), lambda i: round_even((lo + i * (hi - lo) / 7) * 1e4, 0) / 1e4) ELSE {NUMBERS(E.DEFAULT_GRID['T'])} END AS ts,
+  CASE WHEN n IN (0, 3) THEN [NULL::DOUBLE] WHEN s % 4 = 0 THEN list_filter({NUMBERS([12, 24])}, lambda x: s % 5 <> 0 OR x >= 15) WHEN s % 5 = 0 THEN {NUMBERS([15, 30, 45, 60, 75])} ELSE {NUMBERS(E.DEFAULT_GRID['M'])} END AS ms FROM j)"""
 ORACLES = {
+    "expand_grid": f'WITH {EQ}, {GRID} SELECT eq_no, "T", unnest(ms) AS "M", NULL::DOUBLE AS "RHO", NULL::DOUBLE AS "F", NULL::DOUBLE AS "S" FROM (SELECT eq_no, unnest(ts) AS "T", ms FROM t)',
+    "enrich_moisture": f"WITH {LEVELS} SELECT 'p' || k AS paper_uid, CASE k % 3 WHEN 0 THEN 'wet' WHEN 1 THEN 'dry' END AS moisture_basis, len(lv)::INT AS n_levels, CASE WHEN len(lv) > 0 THEN list_min(lv) WHEN k % 3 = 0 THEN 10 END::DOUBLE AS lo, CASE WHEN len(lv) > 0 THEN list_max(lv) WHEN k % 3 = 0 THEN 30 END::DOUBLE AS hi FROM m",
+    "classify_tables": f"WITH {TABLES}, {SEEN}, c AS ({CLASSIFIED}) SELECT table_id, reason IN ('equation table', 'screened as data', 'screened out, but dielectric', 'dielectric word', 'paired numbers') AS decision, reason FROM c",
+    "chunk_tables": f"WITH {TABLES}, {RUNS} SELECT table_id, chunk_no::INT AS chunk_no, z[chunk_no + 1]::INT AS n_rows, array_to_string(rows[(coalesce(list_sum(z[1:chunk_no]), 0) + 1)::BIGINT], '|') AS first_row FROM chunks",
     "extract_doi": f"WITH {TX} SELECT paper_uid, CASE WHEN doc_id = 8 THEN '10.8888/eight' WHEN d IS NULL THEN 'local/' || doc_id ELSE d END AS doi FROM (SELECT *, coalesce({find('substr(full_text, 1, 5000)')}, {find('full_text')}) AS d FROM texts)",
     "results_text": f"WITH {ctes('texts', 'sections')} SELECT t.paper_uid, coalesce(s.x, full_text) AS text FROM texts t LEFT JOIN (SELECT paper_uid, string_agg('## ' || heading || chr(10) || text, chr(10) || chr(10) ORDER BY idx) AS x FROM sections WHERE regexp_matches(lower(heading), {HAVE}) AND NOT regexp_matches(lower(heading), {SKIPS}) GROUP BY 1) s ON s.paper_uid = t.paper_uid",
     "text_windows": f"WITH {TX}, {WINDOWS} SELECT paper_uid, window_no::INT AS window_no, text FROM w",
@@ -182,7 +223,7 @@ h AS (SELECT g.table_id, r, coalesce(bool_or(head), FALSE) AS head FROM (SELECT
 l AS (SELECT *, bool_and(head) OVER (PARTITION BY table_id ORDER BY r) AS lead FROM h)
 SELECT table_id, coalesce(string_agg(text, '|' ORDER BY r, q) FILTER (lead), '') AS headers, coalesce(string_agg(text, '|' ORDER BY r, q) FILTER (NOT lead), '') AS rows FROM x JOIN l USING (table_id, r) GROUP BY 1""",
     "column_labels": f"WITH {TABLES} SELECT table_id, CASE caption WHEN 'Dielectric properties at two frequencies' THEN 'Temperature (°C); col2; Dielectric constant / 915 MHz; Loss factor / 915 MHz' WHEN 'Penetration depth in mm' THEN 'Penetration depth (mm); a; b; c' WHEN 'Coefficients' THEN 'Moisture (%); a; b; R2' WHEN 'Density of samples' THEN 'x; col2; col3; note' WHEN 'Results' THEN 'Sample; 27 MHz; 915 MHz; 2.45 GHz' ELSE 'M (%, w.b.); v [col 2]; v [col 3]; col4' END AS labels FROM tabs",
-    "classify_equation_tables": f"WITH {TABLES} SELECT table_id, contains(lower(caption), 'regression') OR (len(list_intersect(list_transform(flatten(headers), lambda x: lower(x)), ['a','b','c','d','e','f'])) >= 2 AND contains(lower(array_to_string(flatten(headers), ' ')), 'r2') AND regexp_matches(lower(array_to_string(flatten(headers), ' ') || ' ' || array_to_string(flatten(rows[1:12]), ' ')), 'eps|ε|e\\s*[r0''′″]')) AS is_equation FROM tabs",
+    "classify_equation_tables": f"WITH {TABLES}, {SEEN} SELECT table_id, is_equation FROM told",
     "header_damage": f"WITH {TABLES}, r AS (SELECT 'table_' || l_suppkey || '_' || l_linenumber AS table_id, count(*) AS n, count(*) FILTER (l_tax < 0.05::DOUBLE) AS nt, count(*) FILTER (l_tax < 0.03::DOUBLE) AS nm FROM lineitem GROUP BY 1) SELECT table_id, caption IN ('Dielectric properties at two frequencies', 'Density of samples') AS gaps, coalesce(CASE caption WHEN 'Dielectric properties at two frequencies' THEN nt / n > 0.5 WHEN 'Coefficients' THEN nm / n > 0.5 WHEN 'Moisture content and eps regression' THEN nm / n > 0.5 ELSE FALSE END, FALSE) AS missing FROM tabs LEFT JOIN r USING (table_id)",
     "build_requests": f"""WITH {TX}, {WINDOWS} SELECT left(replace(raw, '/', '_'), 54) || '_' || left(sha256(raw), 9) AS custom_id, paper_uid, 'text' AS kind, window_no::INT AS unit_no, 'large' AS model,
   CASE WHEN window_no = 0 THEN coalesce('Title: ' || s_name || chr(10) || 'Materials: apple' || chr(10) || 'Frequencies: ' || CASE WHEN s_suppkey % 2 = 1 THEN '27.12, 915.0' ELSE '' END, '') ELSE 'Part ' || (window_no + 1) END || chr(10) || chr(10) || text AS prompt

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corundum.functions.scalars import extract_mean, normalize_paper_label
-from corundum.operators.assembly import dedup_records, stable_order
+from corundum.operators.assembly import assemble, coverage_ledger, coverage_summary, dedup_records, stable_order
 from corundum.schema import OUTPUT
 
 REQUIRED = ("paper_id", "frequency_mhz", "temperature_c", "dielectric_constant", "loss_factor")
@@ -66,11 +66,22 @@ def export_dataset(records: DataFrame, path: str, table: str | None = None) -> N
     out = export_frame(records)
     out.write.mode("overwrite").parquet(f"{path}/parquet")
     back = records.sparkSession.read.parquet(f"{path}/parquet")
-    back.write.mode("overwrite").option("header", "true").csv(f"{path}/csv")
+    # Cells as they are: no trimming, quotes doubled.
+    back.write.mode("overwrite").csv(f"{path}/csv", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if table:
         back.write.mode("overwrite").saveAsTable(table)
 
 
+def assembly_job(artifacts: DataFrame, papers: DataFrame, path: str, strict: bool = False, **options) -> dict[str, DataFrame]:
+    """Artifacts to the exported table under `path`, and from what was written: table, fingerprint, ledger and summary.
+
+    strict raises where a selected paper yields nothing or is incomplete. options are those of assemble."""
+    export_dataset(assemble(artifacts, papers, **options), path)
+    table = artifacts.sparkSession.read.parquet(f"{path}/parquet")
+    ledger = coverage_ledger(table, artifacts, papers)
+    return {"table": table, "fingerprint": dataset_fingerprint(table), "ledger": ledger, "summary": coverage_summary(ledger, strict)}
+
+
 def append_assemble(existing: DataFrame, new: DataFrame) -> DataFrame:
     """The existing table with new rows, deduplicated anew; usable as the body of foreachBatch."""
     cols = lambda d: d.select(*[(F.col(c) if c in d.columns else F.lit(None)).cast(t).alias(c) for c, t in OUTPUT])
@@ -78,9 +89,11 @@ def append_assemble(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def dataset_fingerprint(df: DataFrame, by: str = "paper_uid") -> DataFrame:
-    """Rows, distinct models and an order-free SHA-256 per paper, over the rows' own canonical hashes."""
+    """Rows, distinct models and an order-free SHA-256 per paper: of the sums of four parts of the rows' own canonical hashes.
+
+    Sums are combined on the map side, so a paper with a large share of the rows is no list in one place."""
     text = lambda c, t: F.coalesce(F.when(F.col(c).isNotNull(), F.format_string("%.6f", F.col(c))) if t in ("double", "float") else F.col(c).cast("string"), F.lit("\\N"))
     row = F.sha2(F.concat_ws("|", *[text(c, t) for c, t in sorted(df.dtypes)]), 256)
-    return df.select(F.col(by), row.alias("h"), "extraction_model").groupBy(by).agg(F.count("*").alias("n"), F.countDistinct("extraction_model").alias("models"), F.sha2(F.concat_ws("", F.sort_array(F.collect_list("h"))), 256).alias("sha256"))
-
-
+    parts = [F.sum(F.conv(F.substring("h", 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    rows = df.select(F.col(by), row.alias("h"), "extraction_model")
+    return rows.groupBy(by).agg(F.count("*").alias("n"), F.countDistinct("extraction_model").alias("models"), F.sha2(F.concat_ws(",", *parts), 256).alias("sha256"))
