@@ -1,35 +1,39 @@
 """Passages that repeat across documents, by MinHash banding of paragraphs and by anchors of the word sequence.
 
-Paragraphs are lines of LEAST words or more. Their signatures are banded (16 bands of 4 rows: a pair of similarity 0.8
-collides with probability 0.9998), colliding ones are compared by exact Jaccard similarity of five-word shingles, and
-links form components of which all but the first paragraph are removed. A passage that lies within a line or over several
-lines belongs to no repeated paragraph; for it the whole word sequence of a document, whatever its lines and marks, is winnowed: of every SPREAD
-successive shingles of WIDE words the one of least hash is an anchor. So any WIDE + SPREAD - 1 = 16 words in a row that two documents
-share have an anchor in common. Anchors that occur in two documents are widened word by word as far as the other document
-goes along, and runs of them, with at most GAP words between two, that together have RUN words or more are passages too. An exact copy of more than 50 words
-reaches RUN even where nothing is widened; a copy with edits of at least 0.8 similarity has a piece between its edits that does, or two beside each other.
-
-Null, empty and short texts have no paragraphs; repeated rows of one doc_id are one document for passages across documents,
-their equal paragraphs are one paragraph; ties keep the smaller id; extra columns are ignored; an empty table gives an empty result."""
+Paragraphs cover every word of a text of LEAST words or more: a line of so many words is one, and runs of shorter lines are joined
+into blocks of so many, which end where a line's own checksum says so, wherever the run began. Their signatures are banded (16 bands of 4
+rows: a pair of similarity 0.8 collides with probability 0.9998), colliding ones are compared by exact Jaccard similarity of five-word
+shingles, and links form components of which all but the first paragraph are removed.
+
+A passage inside a longer line, or over parts of several, belongs to no repeated paragraph; for it the whole word sequence of a
+document, whatever its lines and marks, is winnowed: of every SPREAD successive shingles of WIDE words the one of least hash is an
+anchor. So any WIDE + SPREAD - 1 = 16 words in a row that two documents share have an anchor in common. Anchors that occur in two
+documents are widened word by word as far as the other document goes along, and runs of them, with at most GAP words between two, that
+together have RUN words or more are passages too.
+
+Positions are the number of the first word, in both kinds. Null, empty and short texts have no paragraphs; rows without an id are
+compared as paragraphs like any other, but no run is looked for in them; repeated rows of one doc_id are one document for runs across
+documents, their equal paragraphs are one paragraph; ties keep the smaller id; extra columns are ignored; an empty table gives an empty
+result."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corundum.llm._spark import cut
-from corundum.llm._words import hashed_rows, mix
+from corundum.llm._words import hashed_rows, mix, text_bytes
 from corundum.llm.minhash import near_duplicates
 
-LEAST, RUN, GAP = 40, 30, 8
+LEAST, RUN, GAP = 40, 45, 8
 WIDE, SPREAD = 8, 9
 #: Words beside an anchor that are kept, a byte each; more than SPREAD - 1 are never needed.
 BESIDE = 8
 BANDS, ROWS = 16, 4
-#: A paragraph's id is the document's id times this plus its number.
-LINES = 1 << 24
 
 
 def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,15 +73,50 @@ def _along(a: str, b: str) -> Column:
     return sum(((apart.bitwiseAND(signed((1 << 8 * k + 8) - 1)) == 0) & (F.col(a).bitwiseAND(signed(0xFF << 8 * k)) != 0)).cast("int") for k in range(BESIDE))
 
 
+def paragraphs(text: bytes, least: int) -> list[tuple[int, int, bytes]]:
+    """First word, number of words and text of each paragraph."""
+    out, at, block, start, n = [], 0, [], 0, 0
+    for line in text.split(b"\n"):
+        k = len(line.split())
+        if k >= least:
+            if n >= least:
+                out.append((start, n, b"\n".join(block)))
+            block, n = [], 0
+            out.append((at, k, line))
+        elif k:
+            start = start if block else at
+            block.append(line)
+            n += k
+            if n >= least and (not zlib.crc32(line) % 3 or n >= 3 * least):
+                out.append((start, n, b"\n".join(block)))
+                block, n = [], 0
+        at += k
+    if n >= least:
+        out.append((start, n, b"\n".join(block)))
+    return out
+
+
+def _paragraph_udf(least: int):
+    @F.arrow_udf("array<struct<position:bigint,n_words:bigint,para:string>>")
+    def split(column: pa.Array) -> pa.Array:
+        b, at = text_bytes(column)
+        found = [paragraphs(b[at[k] : at[k + 1]].tobytes(), least) for k in range(len(at) - 1)]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        rows = [r for x in found for r in x]
+        parts = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].decode() for r in rows], pa.string())]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(parts, ["position", "n_words", "para"]))
+
+    return split
+
+
 def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, position (line number), n_words, component_id (document of the kept paragraph), removed."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "para")).withColumn("n", F.size(F.filter(F.split("para", r"[\x20\x09-\x0D]+"), lambda w: w != ""))).where(F.col("n") >= least)
-    paras = lines.select((F.col("doc_id") * LINES + F.col("line")).alias("pid"), "para")
-    found = cut(near_duplicates(paras, width=5, percent=80, bands=BANDS, rows=ROWS, key="pid", text="para").select("pid", F.col("n_shingles").alias("n"), "component_id").distinct())
+    """doc_id, position (first word), n_words, component_id (document of the kept paragraph), removed."""
+    paras = docs.select("doc_id", F.explode(_paragraph_udf(least)("text")).alias("p")).select(F.struct("doc_id", "p.position", "p.n_words").alias("pid"), "p.para")
+    found = cut(near_duplicates(paras, width=5, percent=80, bands=BANDS, rows=ROWS, key="pid", text="para").select("pid", "component_id").distinct())
     gone = found.where("pid <> component_id")
     heads = found.join(gone.select(F.col("component_id").alias("pid")).distinct(), "pid", "left_semi")
     every = gone.withColumn("removed", F.lit(True)).unionByName(heads.withColumn("removed", F.lit(False)))
-    return every.select(F.expr(f"pid div {LINES}").alias("doc_id"), F.expr(f"pid % {LINES}").alias("position"), (F.col("n") + 4).alias("n_words"), F.expr(f"component_id div {LINES}").alias("component_id"), "removed")
+    return every.select("pid.doc_id", "pid.position", "pid.n_words", F.col("component_id.doc_id").alias("component_id"), "removed")
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
