@@ -61,6 +61,7 @@ def _texts(tables: DataFrame) -> DataFrame:
 
 
 def is_equation() -> Column:
+    """Words of regression, a coefficient matrix, or a printed equation (the patterns are fixed values)."""
     text = F.concat_ws(" ", "_cap", "_head")
     tokens = F.array_distinct(F.transform(F.flatten("headers"), lambda x: F.lower(F.trim(x))))
     matrix = (F.size(F.array_intersect(tokens, F.array(*[F.lit(x) for x in "abcdef"]))) >= 2) & F.concat_ws(" ", "_head", "_sample").rlike(r"eps|ε|e\s*[r0'′″]") & contains_any(F.col("_head"), FIT)

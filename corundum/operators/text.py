@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corundum.functions.scalars import col, filled
+from corundum.operators.tables import chunk_tables, labels
 
 DOI = r"10\.[0-9]{4,}/[^\s,;\"')]+"
 #: Section headings (fixed values).
@@ -81,6 +82,7 @@ def enrich_moisture(papers: DataFrame, tables: DataFrame) -> DataFrame:
     p = papers.join(t, "paper_uid", "left")
     around = F.array_join(F.regexp_extract_all(F.lower(F.concat_ws(" ", "_c", "full_text")), F.lit(r"(?s)(.{0,100}moisture.{0,100})"), F.lit(1)), " ")
     p = p.withColumn("_a", around)
+    # Spellings of the two bases, and a stated span (fixed patterns).
     wet, dry = F.col("_a").rlike(r"\bw\.\s*b\.?|\bwet\s+basis\b"), F.col("_a").rlike(r"\bd\.\s*b\.?|\bdry\s+basis\b")
     basis = F.coalesce(filled("moisture_basis"), F.when(wet & ~dry, "wet").when(dry & ~wet, "dry"))
     lv = F.when(F.size("moisture_levels_pct") > 0, F.col("moisture_levels_pct")).otherwise(F.when(F.size("_l") >= 2, F.col("_l")).otherwise(F.array().cast("array<double>")))
@@ -135,3 +137,85 @@ def build_requests(units: DataFrame, papers: DataFrame, models: dict[str, str])
     return checked.drop("_raw", "_lo", "_hi")
 
 
+#: Headings of sections that say how something was measured (fixed values).
+METHODS = ("method", "material", "experimental")
+
+
+def methods_summary(papers: DataFrame, sections: DataFrame) -> DataFrame:
+    """(paper_uid, methods): the first 1500 characters of a paper's first methods section, else the first 800 of its text."""
+    found = sections.where(_has(F.lower("heading"), METHODS)).groupBy("paper_uid").agg(F.min_by("text", "idx").alias("_m"))
+    return papers.join(found, "paper_uid", "left").select("paper_uid", F.coalesce(F.substring("_m", 1, 1500), F.substring("full_text", 1, 800), F.lit("")).alias("methods"))
+
+
+def _listed(values: Column, glue: str = " | ") -> Column:
+    return F.array_join(F.transform(values, lambda x: F.coalesce(x.cast("string"), F.lit(""))), glue)
+
+
+def table_requests(tables: DataFrame, papers: DataFrame, sections: DataFrame, models: dict[str, str], max_rows: int = 12) -> DataFrame:
+    """One request per chunk of each table: custom_id, paper_uid, kind, unit_no, model, prompt.
+
+    The first chunk carries what the paper is about and how it measured, later ones only the table's own head. Rows are labelled by
+    column, and a chunk is described by the values of its first column."""
+    none = F.array().cast("array<string>")
+    chunks = chunk_tables(tables, max_rows)
+    n = chunks.groupBy("table_id").agg(F.count("*").alias("n_chunks"))
+    facts = papers.join(methods_summary(papers, sections), "paper_uid").select(
+        "paper_uid",
+        F.concat_ws(
+            "\n",
+            F.concat(F.lit("DOI: "), F.coalesce("doi", F.lit(""))),
+            F.concat(F.lit("Title: "), F.coalesce("title", F.lit(""))),
+            F.when(F.size("primary_materials") > 0, F.concat(F.lit("Materials: "), _listed(F.col("primary_materials"), ", "))),
+            F.when(F.size("measurement_frequencies_mhz") > 0, F.concat(F.lit("Frequencies, MHz: "), _listed(F.col("measurement_frequencies_mhz"), ", "))),
+            F.lit("Only what the authors measured themselves counts, not what they cite."),
+            F.when(F.col("methods") != "", F.concat(F.lit("How it was measured:\n"), F.col("methods"))),
+        ).alias("about"),
+        F.coalesce("doi", F.lit("")).alias("doi"),
+    )
+    facts = facts.groupBy("paper_uid").agg(F.min("about").alias("about"), F.min("doi").alias("doi"))
+    own = tables.select("paper_uid", "table_id", "caption", "headers", labels().alias("labels"), (F.col("footnotes") if "footnotes" in tables.columns else none).alias("footnotes"))
+    d = chunks.join(n, "table_id").join(own, "table_id").join(facts, "paper_uid", "left")
+    named = lambda r: F.when(F.size(r) == F.size("labels"), _listed(F.zip_with("labels", r, lambda k, v: F.concat(k, F.lit("="), F.coalesce(v, F.lit("")))), "; ")).otherwise(_listed(r))
+    rows = F.array_join(F.transform("rows", lambda r, i: F.concat((i + 1).cast("string"), F.lit(". "), named(r))), "\n")
+    groups = F.array_sort(F.array_distinct(F.transform(F.filter("rows", lambda r: F.size(r) > 0), lambda r: F.trim(F.coalesce(r[0], F.lit(""))))))
+    several = F.col("n_chunks") > 1
+    part = F.when(several, F.concat(F.lit(", part "), (F.col("chunk_no") + 1).cast("string"), F.lit(" of "), F.col("n_chunks").cast("string"))).otherwise("")
+    count = F.size("rows").cast("string")
+    prompt = F.concat_ws(
+        "\n",
+        F.when(F.col("chunk_no") == 0, F.col("about")).otherwise(F.concat(F.lit("DOI: "), F.coalesce("doi", F.lit("")), F.lit(", continued"))),
+        F.concat(F.lit("Table "), "table_id", part),
+        F.concat(F.lit("Caption: "), F.coalesce("caption", F.lit(""))),
+        F.when(F.size("headers") > 0, F.concat(F.lit("Header: "), F.array_join(F.transform("headers", lambda r: _listed(r)), " // "))),
+        F.when(several & (F.size(groups) > 0), F.concat(F.lit("This part is about: "), F.array_join(groups, ", "))),
+        F.concat(count, F.lit(" rows:")),
+        rows,
+        F.when(F.size("footnotes") > 0, F.concat(F.lit("Notes: "), _listed(F.col("footnotes"), " "))),
+        F.concat(F.lit("Give one record for each of these "), count, F.lit(" rows.")),
+    )
+    cid = F.concat_ws("/", "paper_uid", "table_id", F.col("chunk_no").cast("string"))
+    model = F.lit(models.get("table", models.get("default")))
+    return d.select(sanitize_custom_id(cid).alias("custom_id"), "paper_uid", F.lit("table").alias("kind"), F.col("chunk_no").alias("unit_no"), model.alias("model"), prompt.alias("prompt"))
+
+
+def screening_requests(papers: DataFrame, tables: DataFrame, models: dict[str, str]) -> DataFrame:
+    """One request per paper: its title, abstract, first 3000 characters, and what its tables look like."""
+    ten = lambda row: _listed(F.slice(row, 1, 10))
+    line = F.concat(
+        F.lit("- "), "table_id", F.lit(": "), F.coalesce("caption", F.lit("")),
+        F.when(F.size("headers") > 0, F.concat(F.lit("; header "), ten(F.get("headers", F.lit(0))))).otherwise(""),
+        F.when(F.size("rows") > 0, F.concat(F.lit("; "), F.size("rows").cast("string"), F.lit(" rows, first "), ten(F.get("rows", F.lit(0))))).otherwise(""),
+    )
+    t = tables.select("paper_uid", F.struct("table_id", line.alias("line")).alias("x")).groupBy("paper_uid").agg(F.array_sort(F.collect_list("x")).alias("_t"))
+    abstract = F.when(F.coalesce("abstract", F.lit("")) != "", F.concat(F.lit("Abstract: "), F.col("abstract"))) if "abstract" in papers.columns else F.lit(None).cast("string")
+    prompt = F.concat_ws(
+        "\n",
+        F.concat(F.lit("DOI: "), F.coalesce("doi", F.lit(""))),
+        F.concat(F.lit("Title: "), F.coalesce("title", F.lit(""))),
+        abstract,
+        F.concat(F.lit("The text begins:\n"), F.substring(F.coalesce("full_text", F.lit("")), 1, 3000)),
+        F.when(F.size("_t") > 0, F.concat(F.lit("It has "), F.size("_t").cast("string"), F.lit(" tables:\n"), F.array_join(F.transform("_t", lambda x: x["line"]), "\n"))),
+    )
+    cid = F.concat_ws("/", "paper_uid", F.lit("screen"))
+    model = F.lit(models.get("screen", models.get("default")))
+    return papers.join(t, "paper_uid", "left").select(sanitize_custom_id(cid).alias("custom_id"), "paper_uid", F.lit("screen").alias("kind"), F.lit(0).alias("unit_no"), model.alias("model"), prompt.alias("prompt"))

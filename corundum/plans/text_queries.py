@@ -133,6 +133,21 @@ def _coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", F.round(E.parse_coefficients(raw), 6).alias("value"))
 
 
+def _methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of every second paper: an introduction and two that say how it was done."""
+    k = F.col("s_suppkey")
+    rows = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(h).alias("heading"), F.concat(F.lit(t), "s_name").alias("text")) for i, h, t in ((2, "Experimental", "Second "), (0, "Introduction", "Once "), (1, "Materials and Methods", "Probe of "))])
+    return frame(spark, sf_dir, "supplier").where(k % 2 == 0).select(F.concat(F.lit("p"), k.cast("string")).alias("paper_uid"), F.inline(rows))
+
+
+def _table_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.table_requests(parsed_tables(spark, sf_dir), paper_frames(spark, sf_dir), _methods(spark, sf_dir), {"default": "small", "table": "large"})
+
+
+def _screening_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.screening_requests(paper_frames(spark, sf_dir), parsed_tables(spark, sf_dir), {"default": "small"})
+
+
 TX = ctes("texts")
 HAVE = "'results|result|results and discussion|discussion|findings'"
 SKIPS = "'introduction|literature|background|references|acknowledgment|acknowledgement'"
@@ -160,6 +175,9 @@ QUERIES = {
     "chunk_tables": lambda spark, sf_dir: B.chunk_tables(parsed_tables(spark, sf_dir)).select("table_id", "chunk_no", F.size("rows").alias("n_rows"), F.array_join(F.get("rows", F.lit(0)), "|").alias("first_row")),
     "header_damage": _damage,
     "build_requests": lambda spark, sf_dir: T.build_requests(_units(spark, sf_dir), paper_frames(spark, sf_dir), {"default": "small", "text": "large"}),
+    "table_requests": _table_requests,
+    "screening_requests": _screening_requests,
+    "parse_responses_strict": lambda spark, sf_dir: R.text_completeness(R.parse_responses(_responses(spark, sf_dir), strict=True), frame(spark, sf_dir, "requests")),
     "parse_responses": lambda spark, sf_dir: _parsed(spark, sf_dir).select("custom_id", F.coalesce(F.size("payload.records"), F.lit(0)).cast("long").alias("n"), "response_complete"),
     "records_from_responses": _response_records,
     "parse_coefficients": _coefficients,
@@ -206,7 +224,30 @@ j AS (SELECT e.*, s_suppkey AS s, list_max([CASE WHEN dom THEN 20::DOUBLE END, C
   CASE WHEN s_suppkey % 3 = 1 THEN {NUMBERS([25, 30, 40, 50, 60, 65])} WHEN s_suppkey IS NOT NULL THEN {NUMBERS(E.STANDARD_T)} END AS lv FROM e LEFT JOIN supplier ON paper_uid = 'p' || s_suppkey),
 t AS (SELECT *, CASE WHEN lv IS NOT NULL THEN list_filter(lv, lambda x: lo IS NULL OR (x >= lo - 1e-9 AND x <= hi + 1e-9)) WHEN lo IS NOT NULL THEN list_transform(range(0, 8), lambda i: round_even((lo + i * (hi - lo) / 7) * 1e4, 0) / 1e4) ELSE {NUMBERS(E.DEFAULT_GRID['T'])} END AS ts,
   CASE WHEN n IN (0, 3) THEN [NULL::DOUBLE] WHEN s % 4 = 0 THEN list_filter({NUMBERS([12, 24])}, lambda x: s % 5 <> 0 OR x >= 15) WHEN s % 5 = 0 THEN {NUMBERS([15, 30, 45, 60, 75])} ELSE {NUMBERS(E.DEFAULT_GRID['M'])} END AS ms FROM j)"""
+LABELS = "CASE caption " + " ".join(f"WHEN '{c}' THEN {x}" for c, x in (
+    (HEADS[0][0], "['Temperature (°C)', 'col2', 'Dielectric constant / 915 MHz', 'Loss factor / 915 MHz']"), (HEADS[1][0], "['Penetration depth (mm)', 'a', 'b', 'c']"), (HEADS[2][0], "['Moisture (%)', 'a', 'b', 'R2']"),
+    (HEADS[3][0], "['x', 'col2', 'col3', 'note']"), (HEADS[4][0], "['Sample', '27 MHz', '915 MHz', '2.45 GHz']"), (HEADS[5][0], "['M (%, w.b.)', 'v [col 2]', 'v [col 3]', 'col4']"),
+)) + " END"
+NL = "chr(10)"
+PAPER = f"""paper AS (SELECT 'p' || s_suppkey AS paper_uid, s_suppkey AS k, s_name, '10.1000/S' || s_suppkey AS doi,
+  CASE s_suppkey % 3 WHEN 0 THEN 'moisture content of 10 to 30 % (wet basis) at 915 MHz ' WHEN 1 THEN 'moisture d.b. and 2.45 GHz ' ELSE 'none ' END || s_name AS full_text FROM supplier),
+about AS (SELECT *, 'DOI: ' || doi || {NL} || 'Title: ' || s_name || {NL} || 'Materials: apple' || {NL} || CASE WHEN k % 2 = 1 THEN 'Frequencies, MHz: 27.12, 915.0' || {NL} ELSE '' END
+  || 'Only what the authors measured themselves counts, not what they cite.' || {NL} || 'How it was measured:' || {NL} || CASE WHEN k % 2 = 0 THEN 'Probe of ' || s_name ELSE full_text END AS about FROM paper)"""
+HEADER = "array_to_string(list_transform(headers, lambda r: array_to_string(r, ' | ')), ' // ')"
+PARTS = f"""parts AS (SELECT c.*, len(z) AS n, rows[(coalesce(list_sum(z[1:chunk_no]), 0) + 1)::BIGINT : coalesce(list_sum(z[1:chunk_no + 1]), 0)::BIGINT] AS part, t.paper_uid, t.caption, t.headers, {LABELS} AS labels FROM chunks c JOIN (SELECT table_id, paper_uid, caption, headers FROM tabs) t USING (table_id))"""
+TABLE_REQUESTS = f"""SELECT left(replace(raw, '/', '_'), 54) || '_' || left(sha256(raw), 9) AS custom_id, paper_uid, 'table' AS kind, chunk_no::INT AS unit_no, 'large' AS model,
+  CASE WHEN chunk_no = 0 THEN about ELSE 'DOI: ' || doi || ', continued' END || {NL} || 'Table ' || table_id || CASE WHEN n > 1 THEN ', part ' || (chunk_no + 1) || ' of ' || n ELSE '' END || {NL} || 'Caption: ' || caption || {NL} || 'Header: ' || {HEADER} || {NL}
+  || CASE WHEN n > 1 THEN 'This part is about: ' || array_to_string(list_sort(list_distinct(list_transform(part, lambda r: trim(r[1])))), ', ') || {NL} ELSE '' END || len(part) || ' rows:' || {NL}
+  || array_to_string(list_transform(range(1, len(part) + 1), lambda i: i || '. ' || array_to_string(list_transform(range(1, len(labels) + 1), lambda j: labels[j] || '=' || part[i][j]), '; ')), {NL})
+  || {NL} || 'Give one record for each of these ' || len(part) || ' rows.' AS prompt
+FROM (SELECT *, paper_uid || '/' || table_id || '/' || chunk_no AS raw FROM parts) JOIN about USING (paper_uid)"""
+SCREENINGS = f"""SELECT left(replace(raw, '/', '_'), 54) || '_' || left(sha256(raw), 9) AS custom_id, paper_uid, 'screen' AS kind, 0::INT AS unit_no, 'small' AS model,
+  'DOI: ' || doi || {NL} || 'Title: ' || s_name || {NL} || 'The text begins:' || {NL} || full_text || CASE WHEN n > 0 THEN {NL} || 'It has ' || n || ' tables:' || {NL} || told ELSE '' END AS prompt
+FROM (SELECT *, paper_uid || '/screen' AS raw FROM paper) LEFT JOIN (SELECT paper_uid, count(*) AS n, string_agg('- ' || table_id || ': ' || caption || '; header ' || array_to_string(headers[1], ' | ') || '; ' || len(rows) || ' rows, first ' || array_to_string(rows[1], ' | '), {NL} ORDER BY table_id) AS told FROM tabs GROUP BY 1) USING (paper_uid)"""
 ORACLES = {
+    "table_requests": f"WITH {TABLES}, {RUNS}, {PAPER}, {PARTS} {TABLE_REQUESTS}",
+    "screening_requests": f"WITH {TABLES}, {PAPER} {SCREENINGS}",
+    "parse_responses_strict": f"WITH {ctes('requests')} SELECT paper_uid, count(*) AS windows, count(*) FILTER (conv_id % 5 <> 0) AS failed_windows, FALSE AS malformed, bool_and(conv_id % 5 = 0) AS complete FROM conversations c JOIN requests q ON q.custom_id = 'c' || conv_id || '_' || (turn - 1) WHERE c.role = 'assistant' GROUP BY 1",
     "expand_grid": f'WITH {EQ}, {GRID} SELECT eq_no, "T", unnest(ms) AS "M", NULL::DOUBLE AS "RHO", NULL::DOUBLE AS "F", NULL::DOUBLE AS "S" FROM (SELECT eq_no, unnest(ts) AS "T", ms FROM t)',
     "enrich_moisture": f"WITH {LEVELS} SELECT 'p' || k AS paper_uid, CASE k % 3 WHEN 0 THEN 'wet' WHEN 1 THEN 'dry' END AS moisture_basis, len(lv)::INT AS n_levels, CASE WHEN len(lv) > 0 THEN list_min(lv) WHEN k % 3 = 0 THEN 10 END::DOUBLE AS lo, CASE WHEN len(lv) > 0 THEN list_max(lv) WHEN k % 3 = 0 THEN 30 END::DOUBLE AS hi FROM m",
     "classify_tables": f"WITH {TABLES}, {SEEN}, c AS ({CLASSIFIED}) SELECT table_id, reason IN ('equation table', 'screened as data', 'screened out, but dielectric', 'dielectric word', 'paired numbers') AS decision, reason FROM c",

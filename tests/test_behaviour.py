@@ -108,6 +108,33 @@ def test_salvage():
     assert json.loads(R.salvage("nothing here"))["records"] == []
 
 
+def test_salvage_keeps_what_is_complete():
+    load = lambda t: json.loads(R.salvage(t))
+    assert load('{"records": [{"a": 1}, {"b": {"c": [1, 2]}}], "notes": "the end is mis')["records"] == [{"a": 1}, {"b": {"c": [1, 2]}}]
+    assert load('{"equations": [{"a": "x \\" ]} y"}, {"b": {"c": 1}, "d": ')["equations"] == [{"a": 'x " ]} y'}]
+    assert load('{"records": [{"a": 1}] trailing')["records"] == [{"a": 1}]
+    for none in ("", "{", '{"records": [', '{"records": [{"a": 1', "]}"):
+        assert load(none)["records"] == []
+
+
+def test_strict_windows(spark):
+    texts = {"a": '{"records": [{"material_name": "x"}]}', "b": '[{"material_name": "y"}]', "c": '{"records": [{"material_name": "z"}', "d": '{"records": 7}', "e": '{"notes": "none"}', "f": '{"records": null}', "g": None}
+    d = spark.createDataFrame(list(texts.items()), "custom_id string, text string")
+    got = {r.custom_id: r for r in R.parse_responses(d, strict=True).collect()}
+    assert {k for k, r in got.items() if r.response_complete} == {"a", "e"} and [r.material_name for r in got["a"].payload.records] == ["x"]
+    assert all(r.payload is None for k, r in got.items() if k not in "ae")
+
+
+def test_malformed_records(spark):
+    rec = lambda **x: json.dumps({"material_name": "m", "dielectric_constant": 3.5} | x)
+    texts = [("t1", f'{{"records": [{rec()}, {rec(loss_factor="much")}, {rec(loss_tangent="n.d.")}, {rec(loss_tangent="big")}]}}'), ("t2", f'{{"records": [{rec()}]}}')]
+    parsed = R.parse_responses(spark.createDataFrame(texts, "custom_id string, text string"))
+    requests = spark.createDataFrame([("t1", "p1", "x"), ("t2", "p2", "x")], "custom_id string, paper_uid string, model string")
+    papers = spark.createDataFrame([("p1", "d1"), ("p2", "d2")], "paper_uid string, doi string")
+    assert sorted(r.paper_uid for r in R.records_from_responses(parsed, requests, papers).collect()) == ["p1", "p1", "p2"]
+    assert [r.paper_uid for r in R.records_from_responses(parsed, requests, papers, "measured_text").collect()] == ["p2"]
+
+
 def test_responses_in_fences_and_bare_arrays(spark):
     d = spark.createDataFrame([("a", 'So:\n```json\n{"records": [{"material_name": "x"}]}\n```\nok'), ("b", '[{"material_name": "y"}]'), ("c", '{"records": [{"material_name": "z"}, {"mat'), ("d", None)], "custom_id string, text string")
     got = {r.custom_id: r for r in R.parse_responses(d).collect()}
