@@ -9,7 +9,8 @@ A passage inside a longer line, or over parts of several, belongs to no repeated
 document, whatever its lines and marks, is winnowed: of every SPREAD successive shingles of WIDE words the one of least hash is an
 anchor. So any WIDE + SPREAD - 1 = 16 words in a row that two documents share have an anchor in common. Anchors that occur in two
 documents are widened word by word as far as the other document goes along, and runs of them, with at most GAP words between two, that
-together have RUN words or more are passages too.
+together have RUN words or more are passages too. An exact copy of more than 50 words has RUN = 51 - 16 words between its first and
+last anchor even where nothing is widened, as its partner may be neither the first nor the last document that has the anchors.
 
 Positions are the number of the first word, in both kinds. Null, empty and short texts have no paragraphs; rows without an id are
 compared as paragraphs like any other, but no run is looked for in them; repeated rows of one doc_id are one document for runs across
@@ -29,7 +30,7 @@ from corundum.llm._spark import cut
 from corundum.llm._words import hashed_rows, mix, text_bytes
 from corundum.llm.minhash import near_duplicates
 
-LEAST, RUN, GAP = 40, 45, 8
+LEAST, RUN, GAP = 40, 35, 8
 WIDE, SPREAD = 8, 9
 #: Words beside an anchor that are kept, a byte each; more than SPREAD - 1 are never needed.
 BESIDE = 8

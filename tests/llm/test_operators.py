@@ -188,6 +188,35 @@ def test_toxicity_of_edge_cases(spark, classifier):
     assert one[0] > one[1] and one[2] == one[3] and classifier.model.scores(pa.array([], pa.string())).size == 0
 
 
+def test_scores_by_a_plain_forward_pass(classifier):
+    """Word by word and window by window, from the embeddings and filters alone."""
+    m = classifier.model
+    texts = ["you are an idiot and a moron", "", "one", "é ñ ü straße", "12 34", "The quick brown fox, jumps over; the lazy dog! " * 40]
+    want = []
+    for t in texts:
+        b = np.frombuffer(t.encode(), np.uint8)
+        rows, which, _ = toxicity.features(b, np.zeros(1, np.int64))
+        assert len(which) == len(re.findall(rb"[A-Za-z\x80-\xff]+", t.encode()))
+        words = [m.emb[rows[k]].mean(0) for k in which] + [np.zeros(toxicity.DIM, np.float32)] * toxicity.PAD
+        hidden = []
+        for w, width in enumerate(toxicity.WIDTHS):
+            sums = [sum(words[k + j] @ m.filters[w][j] for j in range(width)) for k in range(len(words) - width + 1)]
+            hidden.append(np.maximum(np.max(sums, axis=0) + m.bias[w], 0))
+        z = m.scale * float(np.concatenate(hidden) @ m.weights + m.intercept) + m.shift
+        want.append(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+    assert np.allclose(m.scores(pa.array(texts)), want, atol=1e-4)
+
+
+def test_toxicity_of_empty_tables_and_clashing_columns(spark):
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(200)], "doc_id bigint, quality int, toxic int")
+    names = "doc_id bigint, text string, lang string, toxic string, model string, quality string"
+    docs = spark.createDataFrame([(k, ["fine words here", "you idiot there"][k % 2], "en", "x", "y", "z") for k in range(200)], names)
+    c = toxicity.fit(docs, labels)
+    got = docs.select("doc_id", "toxic", c.score("text").alias("s")).collect()
+    assert all(r.toxic == "x" and (r.s >= 0.5) == (r.doc_id % 2 == 1) for r in got)
+    assert toxicity.fit(docs.limit(0), labels).model is None
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     c = toxicity.fit(edge(spark), none)
@@ -520,5 +549,47 @@ def test_repeated_passages_whatever_lines_and_marks(spark):
     assert all(abs(r.n_words - want[i][0]) <= 1 and r.removed == (r.component_id < r.doc_id) for i, r in got.items())
 
 
+def test_runs_by_brute_force(spark):
+    """Every document that shares 51 words in a row with another is found, and none that shares no 16 with any."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words = {r.doc_id: re.findall(BLANK, lower(r.text)) for r in docs.collect()}
+
+    def sharing(n):
+        owner, hit = {}, set()
+        for i, w in words.items():
+            for k in range(len(w) - n + 1):
+                j = owner.setdefault(tuple(w[k : k + n]), i)
+                if j != i:
+                    hit |= {i, j}
+        return hit
+
+    runs = {r.doc_id for r in passages.repeated_runs(docs).collect()}
+    found = passages.repeated_passages(docs).collect()
+    assert sharing(51) <= runs and runs <= sharing(16)
+    kept = {r.component_id for r in found}
+    assert all((r.component_id < r.doc_id) == r.removed for r in found if r.kind == "run") and kept <= set(words)
+
+
+def test_paragraphs_cover_every_word_once():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        lines = [" ".join(f"w{k}" for k in rng.integers(0, 50, int(n))) for n in rng.choice([0, 1, 5, 12, 39, 40, 90], 40)]
+        text = "\n".join(lines)
+        got, all_words = passages.paragraphs(text.encode(), 40), text.split()
+        assert all(p.decode().split() == all_words[at : at + n] and n >= 40 for at, n, p in got)
+        assert all(a + n <= b for (a, n, _), (b, _, _) in zip(got, got[1:], strict=False))
+        rest = len(all_words) - sum(n for _, n, _ in got)
+        assert rest <= 40 * (1 + sum(len(x.split()) >= 40 for x in lines))
+    assert passages.paragraphs(b"", 40) == []
+
+
+def test_paragraph_ids_of_any_range(spark):
+    rng = np.random.default_rng(2)
+    para = " ".join(f"p{k}" for k in rng.integers(0, 10**6, 60))
+    rows = [(-5, para), (-3, "own words\n" + para), (1 << 61, para + " more"), (None, "other " * 50)]
+    got = {r.doc_id: (r.component_id, r.removed) for r in passages.repeated_paragraphs(edge(spark, rows)).collect()}
+    assert got == {-5: (-5, False), -3: (-5, True), 1 << 61: (-5, True)}
+
+
 def test_slots_are_long(spark):
     assert dict(sharding.shard(edge(spark)).dtypes)["slot"] == "bigint"
