@@ -90,6 +90,16 @@ def _same_row(gold: DataFrame, pred: DataFrame) -> DataFrame:
     return V.outcome(gold, pred, pairs)
 
 
+def _match_twos(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Matches where two reference rows and two predictions stand against each other: how many, and their total score."""
+    two = lambda c: F.concat(F.lit("rows "), F.floor(F.col(c) / 2).cast("string"))
+    gold, pred = gold.withColumn("paper_key", two("gold_id")), pred.withColumn("paper_key", two("pred_id"))
+    pairs = V.match_candidates(gold, pred)
+    m = V.match_records(gold, pred, pairs).join(pairs.select("gold_id", "pred_id", "score"), ["gold_id", "pred_id"], "left")
+    key = F.coalesce(two("gold_id"), two("pred_id")).alias("paper_key")
+    return m.groupBy(key).agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("tp", "fp", "fn")], F.round(F.coalesce(F.sum("score"), F.lit(0.0)), 6).alias("total"))
+
+
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = frame(spark, sf_dir, "part")
     return p.select(material_match("p_name", "p_type").alias("name_type"), material_match("p_name", F.concat("p_name", F.lit(" samples, 5% dried"))).alias("same")).groupBy("name_type", "same").agg(F.count("*").alias("n"))
@@ -144,6 +154,8 @@ def counted(model: str = "") -> str:
 METRICS = "tp, fp, fn, CASE WHEN tp + fp = 0 THEN 0 ELSE tp::DOUBLE / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0 ELSE tp::DOUBLE / (tp + fn) END AS recall"
 F1 = "CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END"
 RND = "round_even({} * 10000, 0) / 10000"
+TWOS = ctes("gold", "pred").replace("gold AS (", "gold0 AS (").replace("pred AS (", "pred0 AS (") + """, gold AS (SELECT * REPLACE ('rows ' || (gold_id // 2) AS paper_key) FROM gold0),
+pred AS (SELECT * REPLACE ('rows ' || (pred_id // 2) AS paper_key) FROM pred0)"""
 AWARE = {"require_reported_moisture": True, "require_reported_salt": True, "require_matching_moisture_basis": True, "require_reported_conductivity": True}
 #: Predictions that leave out what the reference reports, here and there.
 LEFT_OUT = {
@@ -175,6 +187,7 @@ QUERIES = {name: _rule(name) for name in FLAGS} | {
     "match_candidates": _two(lambda g, p: V.match_candidates(g, p)),
     "match_candidates_aware": _two(lambda g, p: V.match_candidates(g, _unreported(p), **AWARE)),
     "match_records": _two(lambda g, p: V.match_records(g, p, V.match_candidates(g, p))),
+    "match_records_twos": _two(_match_twos),
     "match_metrics": _two(lambda g, p: V.match_metrics(g, p, _same_row(g, p))),
     "per_paper_metrics": _two(lambda g, p: V.per_paper_metrics(g, p, _same_row(g, p))),
     "compare_models": _compare,
@@ -190,6 +203,11 @@ ORACLES = {name: f"{IN} " + " UNION ALL ".join(v) for name, v in FLAGS.items()}
     "material_match": f"WITH x AS (SELECT {tokens('p_name')} AS a, {tokens('p_type')} AS b, {tokens(chr(40) + 'p_name || ' + chr(39) + ' samples, 5% dried' + chr(39) + chr(41))} AS c FROM part) SELECT {tokens_ok('a', 'b')} AS name_type, {tokens_ok('a', 'c')} AS same, count(*) AS n FROM x GROUP BY 1, 2",
     "match_candidates": f"{GP} {CANDIDATES}",
     "match_candidates_aware": f"WITH {ctes('gold', 'pred').replace('pred AS (', 'pred0 AS (')}, pred AS (SELECT * REPLACE ({UNREPORTED}) FROM pred0) {CANDIDATES} {REPORTED}",
+    "match_records_twos": f"""WITH {TWOS}, c AS ({CANDIDATES}),
+m AS (SELECT paper_key, 1 AS n, score AS total FROM c UNION ALL SELECT a.paper_key, 2, a.score + b.score FROM c a JOIN c b ON a.paper_key = b.paper_key AND a.gold_id < b.gold_id AND a.pred_id <> b.pred_id),
+best AS (SELECT paper_key, arg_min(n, (-n, total)) AS n, arg_min(total, (-n, total)) AS total FROM m GROUP BY 1)
+SELECT paper_key, coalesce(n, 0)::BIGINT AS tp, preds - coalesce(n, 0)::BIGINT AS fp, golds - coalesce(n, 0)::BIGINT AS fn, round(coalesce(total, 0), 6)::DOUBLE AS total
+FROM (SELECT paper_key, count(*) AS golds FROM gold GROUP BY 1) JOIN (SELECT paper_key, count(*) AS preds FROM pred GROUP BY 1) USING (paper_key) LEFT JOIN best USING (paper_key)""",
     "match_metrics": f"{GP} SELECT tp, fp, fn, precision, recall, {F1} AS f1, ve AS value_errors, CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END AS value_accuracy FROM (SELECT {METRICS}, ve FROM {counted()})",
     "per_paper_metrics": f"{GP}, g AS (SELECT paper_key, count(*) AS gold FROM gold GROUP BY 1), p AS (SELECT paper_key, count(*) AS pred FROM pred GROUP BY 1), m AS (SELECT paper_key, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM (SELECT 'tp' AS kind, g.paper_key FROM gold g JOIN pred p ON {SAME} UNION ALL SELECT 'fp', paper_key FROM pred p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE {SAME}) UNION ALL SELECT 'fn', paper_key FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE {SAME})) GROUP BY 1) SELECT paper_key, gold, pred, {METRICS} FROM (SELECT paper_key, coalesce(gold, 0) AS gold, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn FROM g FULL JOIN p USING (paper_key) LEFT JOIN m USING (paper_key))",
     "compare_models": f"WITH {ctes('gold', 'pred', 'usage')} SELECT model, tp, fp, fn, {RND.format('precision')} AS precision, {RND.format('recall')} AS recall, {RND.format(F1)} AS f1, {RND.format('CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END')} AS value_accuracy, {RND.format('cost')} AS cost, {RND.format('cost / papers')} AS cost_per_paper, round_even(seconds / papers * 10, 0) / 10 AS seconds_per_paper, tokens FROM (SELECT {METRICS}, ve, model FROM (" + " UNION ALL ".join(f"SELECT *, 'm{k}' AS model FROM {counted(str(k))}" for k in range(3)) + ")) JOIN (SELECT 'm' || (input_tokens % 3) AS model, sum(output_tokens)::DOUBLE / 1e3 AS cost, sum(output_tokens)::DOUBLE AS seconds, sum(input_tokens)::BIGINT AS tokens, count(DISTINCT paper) AS papers FROM usage GROUP BY 1) USING (model)",

@@ -183,7 +183,7 @@ QUERIES = {
     "parse_coefficients": _coefficients,
     "build_models": lambda spark, sf_dir: E.model_terms(_models(spark, sf_dir)).select("eq_no", "coef", F.coalesce(F.try_element_at("powers", F.lit("T")), F.lit(0)).alias("t"), F.coalesce(F.try_element_at("powers", F.lit("M")), F.lit(0)).alias("m")),
     "expand_grid": _grid,
-    "evaluate_models": lambda spark, sf_dir: E.evaluate_models(_models(spark, sf_dir), paper_frames(spark, sf_dir)),
+    "evaluate_models": lambda spark, sf_dir: E.evaluate_models(_models(spark, sf_dir), paper_frames(spark, sf_dir)).withColumn("model_property", F.split("model_expression", ":")[0]).drop("model_expression"),
     "equation_report": lambda spark, sf_dir: E.equation_report(equations(spark, sf_dir), _models(spark, sf_dir), paper_frames(spark, sf_dir)),
 }
 def has(text: str, words) -> str:
@@ -224,6 +224,20 @@ j AS (SELECT e.*, s_suppkey AS s, list_max([CASE WHEN dom THEN 20::DOUBLE END, C
   CASE WHEN s_suppkey % 3 = 1 THEN {NUMBERS([25, 30, 40, 50, 60, 65])} WHEN s_suppkey IS NOT NULL THEN {NUMBERS(E.STANDARD_T)} END AS lv FROM e LEFT JOIN supplier ON paper_uid = 'p' || s_suppkey),
 t AS (SELECT *, CASE WHEN lv IS NOT NULL THEN list_filter(lv, lambda x: lo IS NULL OR (x >= lo - 1e-9 AND x <= hi + 1e-9)) WHEN lo IS NOT NULL THEN list_transform(range(0, 8), lambda i: round_even((lo + i * (hi - lo) / 7) * 1e4, 0) / 1e4) ELSE {NUMBERS(E.DEFAULT_GRID['T'])} END AS ts,
   CASE WHEN n IN (0, 3) THEN [NULL::DOUBLE] WHEN s % 4 = 0 THEN list_filter({NUMBERS([12, 24])}, lambda x: s % 5 <> 0 OR x >= 15) WHEN s % 5 = 0 THEN {NUMBERS([15, 30, 45, 60, 75])} ELSE {NUMBERS(E.DEFAULT_GRID['M'])} END AS ms FROM j)"""
+#: Every grid point of every model with its value, for moisture as it is (v1) and as a fraction (v2); each model is a group of its own.
+POINTS = f"""pt AS (SELECT t.eq_no, t.n, t.paper_uid, t.s, tt, unnest(ms) AS mm FROM (SELECT *, unnest(ts) AS tt FROM t) t),
+pv AS (SELECT pt.*, p_size::DOUBLE AS size, p_partkey % 2 = 0 AS is_dc, CASE WHEN p_partkey % 3 <> 1 THEN CASE WHEN p_partkey % 2 = 0 THEN 27::DOUBLE ELSE 915 END END AS mhz FROM pt JOIN part ON p_partkey = eq_no),
+px AS (SELECT *, {{value}} AS v1, {{part}} AS v2 FROM pv),
+pl AS (SELECT *, coalesce(v1 BETWEEN 0 AND top, FALSE) AS ok1, coalesce(v2 BETWEEN 0 AND top, FALSE) AS ok2 FROM (SELECT *, CASE WHEN coalesce(mhz <= 100, FALSE) THEN CASE WHEN is_dc THEN 300 ELSE 5000 END ELSE 200 END AS top FROM px)),
+pd AS (SELECT *, n IN (1, 2) AND max(mm) OVER w > 1 AND count(*) FILTER (ok1) OVER w = 0 AND count(*) FILTER (ok2) OVER w >= 2 AS as_part FROM pl WINDOW w AS (PARTITION BY eq_no)),
+pk AS (SELECT *, CASE WHEN as_part THEN v2 ELSE v1 END AS v, CASE WHEN as_part THEN ok2 ELSE ok1 END AS ok FROM pd)"""
+
+
+def _value(m: str) -> str:
+    return f"CASE n WHEN 0 THEN size + 0.5::DOUBLE + (-1.2::DOUBLE * pow(10::DOUBLE, -1::DOUBLE)) * tt WHEN 1 THEN size + 0.2::DOUBLE * {m} + 3e-3 * {m} * tt WHEN 2 THEN size + 0.05::DOUBLE * tt ** 2 / 10 - sqrt({m}) ELSE size + 0.03::DOUBLE * tt - 1e-4 * tt ** 2 END"
+
+
+POINTS = POINTS.format(value=_value("mm"), part=_value("(mm * 0.01::DOUBLE)"))
 LABELS = "CASE caption " + " ".join(f"WHEN '{c}' THEN {x}" for c, x in (
     (HEADS[0][0], "['Temperature (°C)', 'col2', 'Dielectric constant / 915 MHz', 'Loss factor / 915 MHz']"), (HEADS[1][0], "['Penetration depth (mm)', 'a', 'b', 'c']"), (HEADS[2][0], "['Moisture (%)', 'a', 'b', 'R2']"),
     (HEADS[3][0], "['x', 'col2', 'col3', 'note']"), (HEADS[4][0], "['Sample', '27 MHz', '915 MHz', '2.45 GHz']"), (HEADS[5][0], "['M (%, w.b.)', 'v [col 2]', 'v [col 3]', 'col4']"),
@@ -248,6 +262,13 @@ ORACLES = {
     "table_requests": f"WITH {TABLES}, {RUNS}, {PAPER}, {PARTS} {TABLE_REQUESTS}",
     "screening_requests": f"WITH {TABLES}, {PAPER} {SCREENINGS}",
     "parse_responses_strict": f"WITH {ctes('requests')} SELECT paper_uid, count(*) AS windows, count(*) FILTER (conv_id % 5 <> 0) AS failed_windows, FALSE AS malformed, bool_and(conv_id % 5 = 0) AS complete FROM conversations c JOIN requests q ON q.custom_id = 'c' || conv_id || '_' || (turn - 1) WHERE c.role = 'assistant' GROUP BY 1",
+    "evaluate_models": f"""WITH {EQ}, {GRID}, {POINTS} SELECT paper_uid, CASE WHEN s IS NOT NULL THEN '10.1000/S' || s END AS doi, CASE WHEN s IS NOT NULL THEN '' END AS paper_id, 'material ' || (eq_no // 8) AS material_name, mhz AS frequency_mhz, tt AS temperature_c,
+  CASE WHEN is_dc THEN round_even(v * 1000, 0) / 1000 END AS dielectric_constant, CASE WHEN NOT is_dc THEN round_even(v * 1000, 0) / 1000 END AS loss_factor, NULL::DOUBLE AS loss_tangent, mm AS moisture_content_pct,
+  CASE WHEN mm IS NOT NULL AND s % 2 = 0 THEN 'wet' END AS moisture_basis, NULL::VARCHAR AS salt_content, 'Table ' || (eq_no % 3) || ' (regression)' AS source_table, 'equation' AS extraction_source, NULL::VARCHAR AS extraction_model,
+  'equation_derived' AS data_provenance, CASE WHEN is_dc THEN 'dielectric_constant' ELSE 'loss_factor' END AS model_property, CASE WHEN eq_no % 6 = 0 THEN 0.95::DOUBLE END AS model_r_squared FROM pk WHERE ok""",
+    "equation_report": f"""WITH {EQ}, {GRID}, {POINTS} SELECT a.paper_uid, coalesce(built, 0) AS models_built, a.n - coalesce(built, 0) AS models_unparsed, coalesce(points, 0) AS points_evaluated, 0::BIGINT AS points_out_of_domain,
+  coalesce(points - kept, 0) AS values_implausible, coalesce(kept, 0) AS points_kept, 0::BIGINT AS groups_without_grid, '' AS no_grid_reason FROM (SELECT 'p' || (p_partkey % 100) AS paper_uid, count(*) AS n FROM part GROUP BY 1) a
+  LEFT JOIN (SELECT paper_uid, count(*) AS built FROM e GROUP BY 1) b USING (paper_uid) LEFT JOIN (SELECT paper_uid, count(*) AS points, count(*) FILTER (ok) AS kept FROM pk GROUP BY 1) c USING (paper_uid)""",
     "expand_grid": f'WITH {EQ}, {GRID} SELECT eq_no, "T", unnest(ms) AS "M", NULL::DOUBLE AS "RHO", NULL::DOUBLE AS "F", NULL::DOUBLE AS "S" FROM (SELECT eq_no, unnest(ts) AS "T", ms FROM t)',
     "enrich_moisture": f"WITH {LEVELS} SELECT 'p' || k AS paper_uid, CASE k % 3 WHEN 0 THEN 'wet' WHEN 1 THEN 'dry' END AS moisture_basis, len(lv)::INT AS n_levels, CASE WHEN len(lv) > 0 THEN list_min(lv) WHEN k % 3 = 0 THEN 10 END::DOUBLE AS lo, CASE WHEN len(lv) > 0 THEN list_max(lv) WHEN k % 3 = 0 THEN 30 END::DOUBLE AS hi FROM m",
     "classify_tables": f"WITH {TABLES}, {SEEN}, c AS ({CLASSIFIED}) SELECT table_id, reason IN ('equation table', 'screened as data', 'screened out, but dielectric', 'dielectric word', 'paired numbers') AS decision, reason FROM c",
