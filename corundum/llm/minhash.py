@@ -159,16 +159,17 @@ def linked(nodes: DataFrame, sets_of, percent: int) -> DataFrame | None:
     of buckets that still hold several components are then joined by their rarest shingles (prefix filter), again first
     with one pivot for each shingle and then, if several components are left, with each other. So every
     pair that shares a bucket is in one component, was compared, or cannot reach the similarity. Nothing is capped."""
-    buckets = nodes.select("node", F.col("n").cast("long").alias("n"), F.explode("bands").alias("bucket"))
+    # The widest table, a row for each band of each node, knows nodes by 64 bits; two nodes of one key only become candidates together.
+    buckets = nodes.select(F.xxhash64("node").alias("k"), F.explode("bands").alias("bucket"))
     met = buckets.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
-    active, (n, _) = counted(buckets.join(met, "bucket"))
+    shared, (n, _) = counted(buckets.join(met, "bucket"))
     if not n:
         return None
-    who = cut(active.groupBy("node", "n").agg(F.sum("met").alias("met")))
+    keys = shared.groupBy("k").agg(F.sum("met").alias("met"))
+    who = cut(nodes.select("node", F.col("n").cast("long").alias("n"), F.xxhash64("node").alias("k")).join(keys, "k"))
     sets = cut(sets_of(who))
-    active = active.drop("met").join(who.select("node", "met"), "node").withColumns({"root": F.col("node"), "at": F.lit(0).cast("long")})
+    active = cut(shared.drop("met").join(who, "k").select("bucket", "node", "n", "met", F.col("node").alias("root"), F.lit(0).cast("long").alias("at")))
     alike = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
-    active = cut(active)
     links = contracted(compared(pivot_pairs(active, "bucket", alike), sets, percent), None)
     open_nodes, (n, _) = counted(still_open(rooted(active, links), "bucket").select("node", "n", "met", "root").distinct())
     if not n:

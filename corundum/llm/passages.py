@@ -1,8 +1,8 @@
 """Passages that repeat across documents, by MinHash banding of paragraphs and by anchors of the word sequence.
 
 Paragraphs cover every word of a text of LEAST words or more: a line of so many words is one, and runs of shorter lines are joined
-into blocks of so many, which end where a line's own checksum says so, wherever the run began. Their signatures are banded (16 bands of 4
-rows: a pair of similarity 0.8 collides with probability 0.9998), colliding ones are compared by exact Jaccard similarity of five-word
+into blocks of so many, which end where a line's own checksum says so, wherever the run began. Their signatures are banded (16 bands of 5
+rows: a pair of similarity 0.8 collides with probability 0.998), colliding ones are compared by exact Jaccard similarity of five-word
 shingles, and links form components of which all but the first paragraph are removed.
 
 A passage inside a longer line, or over parts of several, belongs to no repeated paragraph; for it the whole word sequence of a
@@ -34,7 +34,7 @@ LEAST, RUN, GAP = 40, 35, 8
 WIDE, SPREAD = 8, 9
 #: Words beside an anchor that are kept, a byte each; more than SPREAD - 1 are never needed.
 BESIDE = 8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 16, 5
 
 
 def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
