@@ -6,7 +6,6 @@ without moving a point; only free expressions go through a vectorised helper."""
 from __future__ import annotations
 
 import ast
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -239,28 +238,28 @@ def evaluate_points(models: DataFrame, papers: DataFrame) -> DataFrame:
     g = _groups(models, papers).withColumns({"names": F.col("driver.names"), "domain": F.col("driver.domain"), "gid": F.xxhash64("paper_uid", "material_name", "frequency_mhz", "src")})
     pts = expand_grid(barrier(g), papers)
 
-    @F.pandas_udf("double")
-    def free(expression: pd.Series, t: pd.Series, m: pd.Series, rho: pd.Series, f: pd.Series, s: pd.Series) -> pd.Series:
-        return evaluate_expressions(expression, pd.DataFrame({"T": t, "M": m, "RHO": rho, "F": f, "S": s}))
-
     kinds, scales = ("dc", "lf", "lt"), {"1": 1.0, "2": 0.01}
-    written = reduce(Column.__or__, [F.coalesce(F.col(f"{c}.expression").isNotNull(), F.lit(False)) for c in kinds])
+    names = [f"{c}_{k}" for c in kinds for k in scales]
 
-    def valued(rows: DataFrame, expressions: bool) -> DataFrame:
-        """The points with the values of all models, for M as it is and as a fraction."""
-        for c in kinds:
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    def free(dc: pd.Series, lf: pd.Series, lt: pd.Series, t: pd.Series, m: pd.Series, rho: pd.Series, f: pd.Series, s: pd.Series) -> pd.DataFrame:
+        """Values of the written expressions, for M as it is and as a fraction; models of terms have none and cost nothing here."""
+        out = {}
+        for c, expression in zip(kinds, (dc, lf, lt), strict=True):
             for k, scale in scales.items():
-                at = {v: F.col(v) * scale if v == "M" else F.col(v) for v in ALIASES}
-                got = polynomial(F.col(f"{c}.terms"), at)
-                if expressions:
-                    x = free(F.col(f"{c}.expression"), *[F.coalesce(v, F.lit(float("nan"))) for v in at.values()])
-                    got = F.when(F.col(f"{c}.expression").isNotNull(), F.nullif(x, F.lit(float("nan")))).otherwise(got)
-                rows = rows.withColumn(f"{c}_{k}", F.when(F.col(c).isNotNull() & ~F.isnan(got), got))
-        return rows
-
-    # Only points of models written as free expressions pass through Python.
-    pts = barrier(pts.withColumn("written", written))
-    pts = barrier(valued(pts.where("written"), True).unionByName(valued(pts.where("not written"), False)))
+                out[f"{c}_{k}"] = evaluate_expressions(expression, pd.DataFrame({"T": t, "M": m * scale, "RHO": rho, "F": f, "S": s}))
+        return pd.DataFrame(out, columns=names)
+
+    written = free(*[F.col(f"{c}.expression") for c in kinds], *[F.coalesce(v, F.lit(float("nan"))) for v in ALIASES])
+    pts = barrier(pts.withColumn("_free", written))
+    values = {}
+    for c in kinds:
+        for k, scale in scales.items():
+            at = {v: F.col(v) * scale if v == "M" else F.col(v) for v in ALIASES}
+            own = F.nullif(F.col(f"_free.{c}_{k}"), F.lit(float("nan")))
+            got = F.when(F.col(f"{c}.expression").isNotNull(), own).otherwise(polynomial(F.col(f"{c}.terms"), at))
+            values[f"{c}_{k}"] = F.when(F.col(c).isNotNull() & ~F.isnan(got), got)
+    pts = barrier(pts.withColumns(values).drop("_free"))
     fine = lambda k: sum((plausible(F.lit(p), f"{c}_{k}", "frequency_mhz").cast("int") for c, p in zip(("dc", "lf", "lt"), PROPERTIES, strict=True)), F.lit(0))
     w = Window.partitionBy("gid")  # a grid has a few hundred points
     open_ = F.array_contains("names", "M") & F.try_element_at("domain", F.lit("M")).isNull()

@@ -193,14 +193,14 @@ def has(text: str, words) -> str:
 
 FLAT = "array_to_string(flatten({}), ' ')"
 #: The tables with their lower-cased texts, as the classification reads them.
-SEEN = f"""seen AS (SELECT *, lower(caption) || ' ' || lower({FLAT.format('headers')}) AS head, lower({FLAT.format('rows[1:5]')}) AS five, lower({FLAT.format('rows[1:12]')}) AS sample FROM tabs),
+SEEN = rf"""seen AS (SELECT *, lower(caption) || ' ' || lower({FLAT.format('headers')}) AS head, lower({FLAT.format('rows[1:5]')}) AS five, lower({FLAT.format('rows[1:12]')}) AS sample FROM tabs),
 told AS (SELECT *, head || ' ' || five AS words,
   {has('head', B.EQUATION)} OR (len(list_intersect(list_transform(flatten(headers), lambda x: lower(x)), ['a','b','c','d','e','f'])) >= 2 AND {has(f"lower({FLAT.format('headers')})", B.FIT)}
     AND regexp_matches(lower({FLAT.format('headers')}) || ' ' || sample, 'eps|ε|e\s*[r0''′″]')) AS is_equation,
   list_transform(rows[1:10], lambda r: list_filter(list_transform(r[2:], lambda c: TRY_CAST(regexp_extract(c, '[0-9]+\.?[0-9]*') AS DOUBLE)), lambda x: x IS NOT NULL)) AS vals FROM seen),
 ruled AS (SELECT *, list_filter(vals, lambda v: len(v) >= 3) AS checked, {has('words', B.DIELECTRIC)} AS dielectric FROM told),
 sloped AS (SELECT *, len(list_filter(checked, lambda v: list_bool_and(list_transform(range(1, len(v)), lambda i: v[i] >= v[i + 1] * 0.9::DOUBLE)) AND list_max(v) < 200 AND v[1] > v[-1] * 2)) AS falls FROM ruled)"""
-CLASSIFIED = f"""SELECT table_id, CASE WHEN {has('words', B.PENETRATION)} AND NOT dielectric THEN 'penetration depth' WHEN regexp_matches(words, '\(mm\)|\(cm\)|in mm|in cm') AND NOT dielectric THEN 'length units'
+CLASSIFIED = rf"""SELECT table_id, CASE WHEN {has('words', B.PENETRATION)} AND NOT dielectric THEN 'penetration depth' WHEN regexp_matches(words, '\(mm\)|\(cm\)|in mm|in cm') AND NOT dielectric THEN 'length units'
   WHEN NOT dielectric AND len(rows) >= 3 AND len(list_filter(headers[1], lambda h: regexp_matches(h, '(?i)[0-9]+\s*(MHz|GHz)'))) >= 3 AND len(checked) >= 3 AND falls / len(checked) > 0.7::DOUBLE THEN 'values fall with frequency'
   WHEN is_equation THEN 'equation table' WHEN lower(data) = table_id THEN 'screened as data' WHEN skip = table_id AND dielectric THEN 'screened out, but dielectric' WHEN skip = table_id THEN 'screened out'
   WHEN {has('words', B.SKIP)} AND NOT {has('words', B.NARROW)} THEN 'skip word' WHEN {has('words', B.EXPLICIT)} THEN 'dielectric word'
