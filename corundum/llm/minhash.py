@@ -135,9 +135,9 @@ def prefixes(sets: DataFrame, open_nodes: DataFrame, percent: int) -> DataFrame:
     Shingles stand in the order of their frequency among the open nodes. Two sets with the asked similarity have a
     shingle in common at a place `at` of either that leaves enough shingles behind it for their intersection, so nodes that
     share none of these are no link."""
-    tokens = sets.join(open_nodes, "node").select("node", "n", "met", "root", F.explode("sh").alias("h"))
+    tokens = sets.join(open_nodes.select("node"), "node").select("node", F.explode("sh").alias("h"))
     often = tokens.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
-    ranked = tokens.join(often, "h").groupBy("node", "n", "met", "root").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("t"))
+    ranked = tokens.join(often, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("t")).join(open_nodes, "node")
     own = F.col("n") - F.size("t")  # shingles that no other open node has stand first
     need = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
     first = F.when(own < need, F.slice("t", F.lit(1), (need - own).cast("int"))).otherwise(F.array().cast("array<struct<f:bigint,h:bigint>>"))

@@ -143,5 +143,5 @@ def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Both kinds, told apart by `kind`."""
-    p, r = repeated_paragraphs(docs), repeated_runs(docs)
+    p, r = cut(repeated_paragraphs(docs)), repeated_runs(docs)
     return p.withColumn("kind", F.lit("paragraph")).unionByName(r.withColumn("kind", F.lit("run")))
