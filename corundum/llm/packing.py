@@ -3,8 +3,8 @@
 A document's tokens and an end mark are cut into pieces of a sequence's length; only longer documents are cut. Pieces are dealt
 evenly into blocks of about BLOCK_BINS sequences, each packed in one call: best fit on falling lengths gives the first bins, then
 documents are moved from one underfull bin into another, or exchanged one for one or two for one, whenever that raises the sum of squared fills.
-So full bins get fuller and others run empty. What no block could fill goes on, whole bins at a time, into fewer blocks, and is
-searched again together with the open bins of other blocks. Rounds end with a single block, or when one saves less than a thousandth of its open bins.
+So full bins get fuller and others run empty. The emptiest OPEN bins of each block go on, whole, into a sixteenth as many blocks, where
+they are searched again together with those of other blocks, until one block is left.
 
 Blocks hold a bounded number of tokens whatever the table holds, as pieces are dealt by the hash of a row number, not of their content.
 
@@ -37,6 +37,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Sequences' worth of tokens in a block.
 BLOCK_BINS = 256
+#: Bins of a block that go on to the next round.
+OPEN = 16
 #: Sweeps over a block's open bins that may pass without emptying one.
 PATIENCE = 3
 #: Characters that are tokenised at a time, words that a worker keeps, and letters of the longest of them.
@@ -194,7 +196,6 @@ class Search:
     def __init__(self, bins: list[Counter], capacity: int = CAPACITY):
         self.bins, self.capacity = bins, capacity
         self.fill = [sum(n * c for n, c in b.items()) for b in bins]
-        self.least = -(-sum(self.fill) // capacity)
         self.open = {k for k, f in enumerate(self.fill) if 0 < f < capacity}
         self.used = sum(f > 0 for f in self.fill)
         self.having: dict[int, set[int]] = defaultdict(set)
@@ -288,14 +289,13 @@ class Search:
         return best
 
     def run(self, patience: int = PATIENCE) -> None:
-        idle = 0
-        while self.used > self.least and idle < patience:
+        """Fills the fullest bins first, so that what room there is gathers in few of them."""
+        idle, moved = 0, True
+        while moved and len(self.open) > 1 and idle < patience:
             before, moved = self.used, False
             for k in sorted(self.open, key=lambda k: (-self.fill[k], k)):
-                while k in self.open and self.used > self.least and self._step(k):
+                while k in self.open and self._step(k):
                     moved = True
-            if not moved:
-                break
             idle = 0 if self.used < before else idle + 1
 
 
@@ -321,19 +321,20 @@ def pack_block(lengths: np.ndarray, bins: np.ndarray | None = None, capacity: in
 def pack(rows: DataFrame, capacity: int = CAPACITY, block_bins: int = BLOCK_BINS) -> DataFrame:
     """Every piece with sequence_id and offset, its place in the sequence, gapless from 0."""
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("full", T.BooleanType())])
+    schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("closed", T.BooleanType())])
     # The row number is written with the rows, so that tasks that are run again deal them alike.
-    rest, nth, out, n_open = cut(rows.withColumn("deal", F.monotonically_increasing_id())), 0, None, None
+    rest, nth, out = cut(rows.withColumn("deal", F.monotonically_increasing_id())), 0, None
+    total = rest.agg(F.sum("length").alias("n")).first()["n"] or 0
+    blocks = max(1, -(-total // (capacity * block_bins)))
     while True:
-        total = rest.agg(F.sum("length").alias("n")).first()["n"] or 0
-        blocks = max(1, -(-total // (capacity * block_bins)))
-        packed = cut(rest.groupBy(_block(nth, blocks).alias("block")).applyInArrow(_packer(nth, capacity, columns), schema))
-        closed, rest = packed.where("full").drop("full"), packed.where("not full").drop("full")
-        before, n_open = n_open, rest.select("sequence_id").distinct().count()
-        last = blocks == 1 or not n_open or (before is not None and before - n_open < 1 + before // 1000)
+        packed = rest.groupBy(_block(nth, blocks).alias("block")).applyInArrow(_packer(nth, capacity, columns), schema)
+        if blocks == 1:
+            packed = packed.drop("closed")
+            return packed if out is None else out.union(packed)
+        packed = cut(packed)
+        closed, rest = packed.where("closed").drop("closed"), packed.where("not closed").drop("closed")
         out = closed if out is None else out.union(closed)
-        if last:
-            return out.union(rest)
+        blocks = -(-blocks * OPEN // block_bins) if block_bins > OPEN else 1
         nth, rest = nth + 1, rest.withColumn("deal", F.col("sequence_id"))
 
 
@@ -351,7 +352,8 @@ def _packer(nth: int, capacity: int, columns: list[str]):
         start = np.concatenate([[0], ends])[first]
         offset, fill = np.zeros(len(bins), np.int64), np.bincount(bins, lengths).astype(np.int64)
         offset[order] = ends - lengths[order] - start[bins[order]]
+        emptiest = np.isin(bins, np.argsort(fill, kind="stable")[:OPEN])
         number = (nth << 54) + (key[0].as_py() << 20) + bins
-        return pa.table([*(block[c].combine_chunks() for c in columns), pa.array(number), pa.array(offset), pa.array(fill[bins] == capacity)], [*columns, "sequence_id", "offset", "full"])
+        return pa.table([*(block[c].combine_chunks() for c in columns), pa.array(number), pa.array(offset), pa.array(~emptiest)], [*columns, "sequence_id", "offset", "closed"])
 
     return run
