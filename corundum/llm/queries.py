@@ -80,11 +80,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.vector_codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.packing import pack, pieces
 
     return pack(pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op7_substring_dedup, op8_html_text, op9_mixing, op10_minhash_near_dedup, op13_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op7_substring_dedup, op8_html_text, op9_mixing, op10_minhash_near_dedup, op12_vector_codes, op13_best_fit_packing)}
 ORACLES: dict[str, str] = {"op2_license_scan": licenses.ORACLE, "op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
