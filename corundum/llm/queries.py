@@ -80,6 +80,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corundum.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corundum.llm.vector_codes import compress
 
@@ -92,5 +98,5 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op7_substring_dedup, op8_html_text, op9_mixing, op10_minhash_near_dedup, op12_vector_codes, op13_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_decontaminate, op4_quality_rules, op5_warc, op6_sharding, op7_substring_dedup, op8_html_text, op9_mixing, op10_minhash_near_dedup, op11_embedding_whitening, op12_vector_codes, op13_best_fit_packing)}
 ORACLES: dict[str, str] = {"op2_license_scan": licenses.ORACLE, "op4_quality_rules": quality.ORACLE, "op9_mixing": mixing.ORACLE}
