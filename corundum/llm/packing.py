@@ -334,7 +334,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, block_bins: int = BLOCK_BINS
         packed = cut(packed)
         closed, rest = packed.where("closed").drop("closed"), packed.where("not closed").drop("closed")
         out = closed if out is None else out.union(closed)
-        blocks = -(-blocks * OPEN // block_bins) if block_bins > OPEN else 1
+        blocks = -(-blocks // max(2, block_bins // OPEN))
         nth, rest = nth + 1, rest.withColumn("deal", F.col("sequence_id"))
 
 
