@@ -198,6 +198,7 @@ class Search:
         self.fill = [sum(n * c for n, c in b.items()) for b in bins]
         self.open = {k for k, f in enumerate(self.fill) if 0 < f < capacity}
         self.used = sum(f > 0 for f in self.fill)
+        self.pairs: dict[int, int] = {}
         self.having: dict[int, set[int]] = defaultdict(set)
         self.mask = 0
         for k in self.open:
@@ -216,6 +217,7 @@ class Search:
     def _change(self, k: int, less: tuple[int, ...], more: tuple[int, ...]) -> None:
         """Take and put lengths, and keep the index of open bins."""
         was, own = k in self.open, self.bins[k]
+        self.pairs.pop(k, None)
         for n in less:
             own[n] -= 1
             if not own[n]:
@@ -266,25 +268,28 @@ class Search:
         self._change(k, out, into)
         return True
 
+    def _pairs(self, k: int) -> int:
+        """Sums of two lengths of a bin, as bits; kept until the bin changes."""
+        if k not in self.pairs:
+            own, found = self.bins[k], 0
+            lengths = sum(1 << n for n in own)
+            for n, c in own.items():
+                found |= (lengths if c > 1 else lengths ^ (1 << n)) << n
+            self.pairs[k] = found
+        return self.pairs[k]
+
     def _two_for_one(self, k: int, room: int):
         """Two lengths of one other bin for none or one of bin k."""
-        best = None
+        best, most, outs = None, 0, (0, *self.bins[k])
         for b in sorted(self.open - {k}, key=lambda b: (self.fill[b], b)):
-            other = self.bins[b]
-            own = sorted(other)
-            if sum(other.values()) < 2:
-                continue
-            pairs = 0
-            for n, c in other.items():
-                pairs |= sum(1 << (n + m) for m in own if m < n) | ((1 << (2 * n)) if c > 1 else 0)
-            for given in (0, *self.bins[k]):
-                below = pairs & ((1 << (given + room + 1)) - 1)
-                total = below.bit_length() - 1
-                gain = total - given
-                if below and gain > (best[0] if best else 0) and self.fill[k] + gain > self.fill[b]:
-                    x = next(n for n in own if (total - n) in other and (2 * n != total or other[n] > 1))
-                    best = (gain, (given,) if given else (), (x, total - x), b)
-            if best and best[0] == room:
+            other, pairs = self.bins[b], self._pairs(b)
+            for given in outs if pairs else ():
+                total = (pairs & ((2 << (given + room)) - 1)).bit_length() - 1
+                if total - given > max(most, self.fill[b] - self.fill[k]):
+                    most = total - given
+                    x = next(n for n in sorted(other) if (total - n) in other and (2 * n != total or other[n] > 1))
+                    best = (most, (given,) if given else (), (x, total - x), b)
+            if most == room:
                 break
         return best
 
