@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import scratch
 from corundum.functions.scalars import moisture_basis_norm
 from corundum.operators import assembly as A
-from corundum.plans.fixtures import ctes, frame, scratch
+from corundum.plans.fixtures import ctes, frame
 from corundum.schema import COLUMNS
 
 COLS = ", ".join(COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import cut
 from corundum.functions.scalars import material_match
 from corundum.operators import audit as Q
 from corundum.operators import evaluation as V
@@ -100,6 +101,18 @@ def _match_twos(gold: DataFrame, pred: DataFrame) -> DataFrame:
     return m.groupBy(key).agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("tp", "fp", "fn")], F.round(F.coalesce(F.sum("score"), F.lit(0.0)), 6).alias("total"))
 
 
+def _match_stars(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Matches of classes of which one stands against all others of its component, where the cheapest come first: how many, and their total score."""
+    g, p = cut(V.classified(gold, "gold_id")), cut(V.classified(pred, "pred_id"))
+    pairs = cut(V.class_candidates(g, p))
+    n_of = lambda c: pairs.groupBy(c).agg(F.count("*").alias(f"many_{c}"))
+    known = pairs.join(n_of("left"), "left").join(n_of("right"), "right")
+    centre = lambda c, other: known.groupBy(c).agg((F.max(f"many_{other}") == 1).alias(f"star_{c}"))
+    stars = known.join(centre("left", "right"), "left").join(centre("right", "left"), "right").where("star_left or star_right").select("left", "right", "cost")
+    m = V.match_records(gold, pred).where("kind = 'tp'").join(g.select("gold_id", "paper_key", F.col("class").alias("right")), "gold_id").join(p.select("pred_id", F.col("class").alias("left")), "pred_id")
+    return m.join(stars, ["left", "right"]).groupBy("paper_key").agg(F.count("*").alias("tp"), F.round(F.sum("cost"), 6).alias("total"))
+
+
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = frame(spark, sf_dir, "part")
     return p.select(material_match("p_name", "p_type").alias("name_type"), material_match("p_name", F.concat("p_name", F.lit(" samples, 5% dried"))).alias("same")).groupBy("name_type", "same").agg(F.count("*").alias("n"))
@@ -140,6 +153,19 @@ WHERE (g.frequency_mhz <= 0 OR abs(p.frequency_mhz - g.frequency_mhz) / g.freque
   AND (p.moisture_content_pct IS NULL OR g.moisture_content_pct IS NULL OR abs(p.moisture_content_pct - g.moisture_content_pct) <= 2)
   AND coalesce(abs({NUM.format('p')} - {NUM.format('g')}) <= 0.1::DOUBLE, TRUE)
   AND (p.electrical_conductivity_s_m IS NULL OR g.electrical_conductivity_s_m IS NULL OR abs(p.electrical_conductivity_s_m - g.electrical_conductivity_s_m) <= 0.01::DOUBLE)"""
+#: Classes of rows that matching can't tell apart, pairs of them, and stars among those.
+CLASS = "class AS (SELECT {row}, min({row}) OVER w AS class, count(*) OVER w AS n FROM (SELECT *, {tok} AS tok FROM {side}) {side} WINDOW w AS (PARTITION BY paper_key, frequency_mhz, temperature_c, moisture_content_pct, lower(coalesce(moisture_basis, '')), {salt}, electrical_conductivity_s_m, tok))"
+CLASSES = ", ".join(side[0] + CLASS.format(row=f"{side}_id", side=side, tok=tokens("material_name"), salt=SALT.format(side)) for side in ("gold", "pred"))
+STARS = f"""c AS ({CANDIDATES}), {CLASSES},
+e AS (SELECT DISTINCT paper_key, g.class AS r, p.class AS l, g.n AS n_r, p.n AS n_l, score FROM c JOIN gclass g USING (gold_id) JOIN pclass p USING (pred_id)),
+d AS (SELECT *, count(*) OVER (PARTITION BY r) AS many_r, count(*) OVER (PARTITION BY l) AS many_l FROM e),
+s AS (SELECT *, max(many_l) OVER (PARTITION BY r) = 1 AS star_r, max(many_r) OVER (PARTITION BY l) = 1 AS star_l FROM d),
+f AS (
+  SELECT *, CASE WHEN star_r
+    THEN least(n_l, greatest(0, n_r - coalesce(sum(n_l) OVER (PARTITION BY r ORDER BY score, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)))
+    ELSE least(n_r, greatest(0, n_l - coalesce(sum(n_r) OVER (PARTITION BY l ORDER BY score, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) END AS flow
+  FROM s WHERE star_r OR star_l)
+SELECT paper_key, sum(flow)::BIGINT AS tp, round(sum(flow * score), 6)::DOUBLE AS total FROM f GROUP BY 1"""
 WRONG = " OR ".join(f"coalesce(g.{c} IS NOT NULL AND (p.{c} IS NULL OR (g.{c} <> 0 AND abs(p.{c} - g.{c}) / abs(g.{c}) > 0.05::DOUBLE)), FALSE)" for c in ("dielectric_constant", "loss_factor"))
 
 
@@ -188,6 +214,7 @@ QUERIES = {name: _rule(name) for name in FLAGS} | {
     "match_candidates_aware": _two(lambda g, p: V.match_candidates(g, _unreported(p), **AWARE)),
     "match_records": _two(lambda g, p: V.match_records(g, p, V.match_candidates(g, p))),
     "match_records_twos": _two(_match_twos),
+    "match_records_stars": _two(_match_stars),
     "match_metrics": _two(lambda g, p: V.match_metrics(g, p, _same_row(g, p))),
     "per_paper_metrics": _two(lambda g, p: V.per_paper_metrics(g, p, _same_row(g, p))),
     "compare_models": _compare,
@@ -208,6 +235,7 @@ m AS (SELECT paper_key, 1 AS n, score AS total FROM c UNION ALL SELECT a.paper_k
 best AS (SELECT paper_key, arg_min(n, (-n, total)) AS n, arg_min(total, (-n, total)) AS total FROM m GROUP BY 1)
 SELECT paper_key, coalesce(n, 0)::BIGINT AS tp, preds - coalesce(n, 0)::BIGINT AS fp, golds - coalesce(n, 0)::BIGINT AS fn, round(coalesce(total, 0), 6)::DOUBLE AS total
 FROM (SELECT paper_key, count(*) AS golds FROM gold GROUP BY 1) JOIN (SELECT paper_key, count(*) AS preds FROM pred GROUP BY 1) USING (paper_key) LEFT JOIN best USING (paper_key)""",
+    "match_records_stars": f"{GP}, {STARS}",
     "match_metrics": f"{GP} SELECT tp, fp, fn, precision, recall, {F1} AS f1, ve AS value_errors, CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END AS value_accuracy FROM (SELECT {METRICS}, ve FROM {counted()})",
     "per_paper_metrics": f"{GP}, g AS (SELECT paper_key, count(*) AS gold FROM gold GROUP BY 1), p AS (SELECT paper_key, count(*) AS pred FROM pred GROUP BY 1), m AS (SELECT paper_key, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM (SELECT 'tp' AS kind, g.paper_key FROM gold g JOIN pred p ON {SAME} UNION ALL SELECT 'fp', paper_key FROM pred p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE {SAME}) UNION ALL SELECT 'fn', paper_key FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE {SAME})) GROUP BY 1) SELECT paper_key, gold, pred, {METRICS} FROM (SELECT paper_key, coalesce(gold, 0) AS gold, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn FROM g FULL JOIN p USING (paper_key) LEFT JOIN m USING (paper_key))",
     "compare_models": f"WITH {ctes('gold', 'pred', 'usage')} SELECT model, tp, fp, fn, {RND.format('precision')} AS precision, {RND.format('recall')} AS recall, {RND.format(F1)} AS f1, {RND.format('CASE WHEN tp = 0 THEN 0 ELSE (tp - ve)::DOUBLE / tp END')} AS value_accuracy, {RND.format('cost')} AS cost, {RND.format('cost / papers')} AS cost_per_paper, round_even(seconds / papers * 10, 0) / 10 AS seconds_per_paper, tokens FROM (SELECT {METRICS}, ve, model FROM (" + " UNION ALL ".join(f"SELECT *, 'm{k}' AS model FROM {counted(str(k))}" for k in range(3)) + ")) JOIN (SELECT 'm' || (input_tokens % 3) AS model, sum(output_tokens)::DOUBLE / 1e3 AS cost, sum(output_tokens)::DOUBLE AS seconds, sum(input_tokens)::BIGINT AS tokens, count(DISTINCT paper) AS papers FROM usage GROUP BY 1) USING (model)",

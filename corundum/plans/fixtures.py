@@ -4,9 +4,7 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +55,7 @@ SELECT CASE WHEN s_suppkey % 25 = 24 THEN '' ELSE substr(SHA256(CAST(s_suppkey A
 FROM supplier
 """
 GOLD = """
-SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS gold_id,
+SELECT l_orderkey * 1009 + ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) - 1 AS gold_id,
   l_suppkey || CASE WHEN l_orderkey % 3 = 0 THEN '. supplier_' ELSE '. reference_' END || l_suppkey AS paper_id,
   CASE WHEN l_orderkey % 3 = 0 THEN 'supplier ' ELSE 'reference ' END || l_suppkey AS paper_key,
   p_name || CASE WHEN l_partkey % 2 = 0 THEN ' samples' ELSE '' END AS material_name,
@@ -71,7 +69,7 @@ SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumbe
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 PRED = """
-SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS pred_id,
+SELECT l_orderkey * 1009 + ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) - 1 AS pred_id,
   l_suppkey || CASE WHEN l_orderkey % 3 <> 1 THEN '. supplier_' ELSE '. prediction_' END || l_suppkey AS paper_id,
   CASE WHEN l_orderkey % 3 <> 1 THEN 'supplier ' ELSE 'prediction ' END || l_suppkey AS paper_key,
   CASE WHEN l_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END AS material_name,
@@ -181,14 +179,6 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **used)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder for what a query writes and reads back: in the cluster's shared folder, or a local one where none is named."""
-    sc = spark.sparkContext
-    if (shared := sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")) is None:
-        return tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
-    return f"{shared}/{os.urandom(8).hex()}"
-
-
 def ctes(*names: str) -> str:
     """`name AS (...)` for a WITH clause of DuckDB."""
     return ",\n".join(f"{n} AS ({duck_sql(TABLES[n])})" for n in names)

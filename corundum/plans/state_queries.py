@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import scratch
 from corundum.operators import cleaning as C
 from corundum.operators import state as S
 from corundum.plans.assembly_queries import COLS, artifacts, dedup, merge
-from corundum.plans.fixtures import ctes, frame, scratch
+from corundum.plans.fixtures import ctes, frame
 from corundum.schema import COLUMNS, OUTPUT
 from corundum.sources import corpus, tables
 

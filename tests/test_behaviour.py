@@ -9,12 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from corundum.functions import scalars as S
+from corundum.functions.lineage import scratch
 from corundum.operators import assembly as A
 from corundum.operators import equations as E
 from corundum.operators import evaluation as V
 from corundum.operators import responses as R
 from corundum.operators import tables as B
 from corundum.operators import text as T
+from corundum.operators.flows import cheapest_flow, numbered
 from corundum.schema import COLUMNS, OUTPUT
 from corundum.sources import corpus, tables
 
@@ -65,30 +67,126 @@ def test_export_of_an_empty_table_has_its_schema(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "parquet")).columns == COLUMNS
 
 
-def test_assignment_is_optimal():
+def brute_flow(edges, supply, room):
+    """Most units, then least cost, over all one-to-one choices of single units."""
+    left = [i for i, n in enumerate(supply) for _ in range(n)]
+    right = [j for j, n in enumerate(room) for _ in range(n)]
+    cost, best = {(i, j): c for i, j, c in edges}, (0, 0.0)
+    for choice in itertools.product([None, *range(len(right))], repeat=len(left)):
+        used = [c for c in choice if c is not None]
+        if len(used) == len(set(used)) and all(c is None or (left[k], right[c]) in cost for k, c in enumerate(choice)):
+            best = max(best, (len(used), -sum(cost[left[k], right[c]] for k, c in enumerate(choice) if c is not None)))
+    return best
+
+
+def random_flow(rng, most):
+    n, m = rng.integers(1, 4, 2)
+    supply, room = ([int(x) for x in rng.integers(1, most, k)] for k in (n, m))
+    return [(i, j, float(rng.integers(0, 20))) for i in range(n) for j in range(m) if rng.random() < 0.6], supply, room
+
+
+def test_flows_are_optimal():
     rng = np.random.default_rng(3)
-    for _ in range(60):
-        n, m = rng.integers(1, 6, 2)
-        edges = pd.DataFrame([(p, g, float(rng.integers(0, 20))) for p in range(n) for g in range(m) if rng.random() < 0.5], columns=["pred_id", "gold_id", "score"])
-        if edges.empty:
+    for k in range(120):
+        edges, supply, room = random_flow(rng, 2 if k % 2 else 3)
+        if sum(supply) > 5 or sum(room) > 6:
             continue
-        score = {(r.pred_id, r.gold_id): r.score for r in edges.itertuples()}
-        best = (0, 0.0)
-        for choice in itertools.product([None, *range(m)], repeat=n):
-            used = [c for c in choice if c is not None]
-            if len(used) == len(set(used)) and all(c is None or (p, c) in score for p, c in enumerate(choice)):
-                best = max(best, (len(used), -sum(score[p, c] for p, c in enumerate(choice) if c is not None)))
-        got = V._assign(edges)
-        assert (len(got), -sum(score[p, g] for g, p in zip(got["gold_id"], got["pred_id"], strict=True))) == best
+        flow = cheapest_flow(edges, supply, room)
+        for own, most in ((0, supply), (1, room)):
+            assert all(sum(f for e, f in zip(edges, flow, strict=True) if e[own] == i) <= n for i, n in enumerate(most))
+        assert min(flow, default=0) >= 0
+        assert (sum(flow), -sum(f * e[2] for f, e in zip(flow, edges, strict=True))) == brute_flow(edges, supply, room)
+
+
+def test_larger_flows_have_no_cheaper_exchange():
+    """Against a plain Hungarian-free check: a flow is cheapest if its residual network has no negative cycle, and most if it has no path to free room."""
+    rng = np.random.default_rng(9)
+    for _ in range(5):
+        n, m = 25, 30
+        edges = [(i, j, float(rng.integers(0, 60))) for i in range(n) for j in range(m) if rng.random() < 0.3]
+        supply, room = rng.integers(1, 5, n).tolist(), rng.integers(1, 4, m).tolist()
+        flow = cheapest_flow(edges, supply, room)
+        sent = [sum(f for e, f in zip(edges, flow, strict=True) if e[0] == i) for i in range(n)]
+        got = [sum(f for e, f in zip(edges, flow, strict=True) if e[1] == j) for j in range(m)]
+        assert all(a <= b for a, b in zip(sent + got, supply + room, strict=True))
+        # Source n + m, sink n + m + 1; Bellman-Ford over residual arcs.
+        arcs = [a for (i, j, c), f in zip(edges, flow, strict=True) for a in ((i, n + j, c), *([(n + j, i, -c)] if f else []))]
+        arcs += [(n + m, i, 0) for i in range(n) if sent[i] < supply[i]] + [(i, n + m, 0) for i in range(n) if sent[i]]
+        arcs += [(n + j, n + m + 1, 0) for j in range(m) if got[j] < room[j]] + [(n + m + 1, n + j, 0) for j in range(m) if got[j]]
+        for start, limit in ((0.0, None), (float("inf"), n + m + 1)):
+            dist = [start] * (n + m + 2)
+            dist[n + m] = 0.0
+            for _ in range(n + m + 3):
+                changed = False
+                for v, w, c in arcs:
+                    if dist[v] + c < dist[w] - 1e-9:
+                        dist[w], changed = dist[v] + c, True
+            assert not changed and (limit is None or dist[limit] == float("inf"))
+
+
+MATCHED = "{} bigint, paper_key string, material_name string, frequency_mhz double, temperature_c double, moisture_content_pct double, moisture_basis string, salt_content string, electrical_conductivity_s_m double"
+
+
+def test_equal_rows_are_one_class(spark):
+    """20,000 equal rows on each side would be 400 million pairs; as classes they are one, and every row finds a partner."""
+    side = lambda name, n, temperature: spark.range(n).select(F.col("id").alias(name), F.lit("p1").alias("paper_key"), F.lit("apple").alias("material_name"), F.lit(915.0).alias("frequency_mhz"), F.lit(temperature).alias("temperature_c"), *[F.lit(None).cast(t).alias(c) for c, t in (("moisture_content_pct", "double"), ("moisture_basis", "string"), ("salt_content", "string"), ("electrical_conductivity_s_m", "double"))])
+    gold = side("gold_id", 20_000, 20.0).union(side("gold_id", 500, 22.0).withColumn("gold_id", F.col("gold_id") + 50_000))
+    pred = side("pred_id", 15_000, 20.0).union(side("pred_id", 6_000, 21.0).withColumn("pred_id", F.col("pred_id") + 50_000))
+    m = V.match_records(gold, pred).cache()
+    assert {r.kind: r["count"] for r in m.groupBy("kind").count().collect()} == {"tp": 20_500, "fp": 500}
+    assert m.select("gold_id").where("gold_id is not null").distinct().count() == 20_500 and m.select("pred_id").distinct().count() == 21_000
+    # The cheapest: all 15,000 at the same temperature are matched there.
+    assert m.where("kind = 'tp' and pred_id < 50000 and gold_id < 50000").count() == 15_000
+
+
+def test_matches_of_rows_and_of_classes_cost_the_same(spark):
+    rng = np.random.default_rng(11)
+    pick = lambda *x: x[rng.integers(len(x))]
+    make = lambda k: [(i, f"p{i % 3}", pick("apples", "apple juice", "pear", None, "sweet apple juice"), pick(27.0, 27.12, 915.0, 2450.0, 0.0), float(pick(20, 21, 22.5)), pick(None, 10.0, 11.5), "wet", pick(None, "1%"), None) for i in range(k)]
+    gold, pred = (spark.createDataFrame(make(n), MATCHED.format(c)) for n, c in ((90, "gold_id"), (80, "pred_id")))
+    pairs = V.match_candidates(gold, pred).cache()
+    one, other = V.match_records(gold, pred), V.match_records(gold, pred, pairs)
+    cost = lambda m: m.where("kind = 'tp'").join(pairs, ["gold_id", "pred_id"]).agg(F.count("*"), F.round(F.sum("score"), 6)).first()
+    assert cost(one) == cost(other) and cost(one)[0] == one.where("kind = 'tp'").count() > 30
+    assert pairs.count() == pairs.distinct().count()
+
+
+def test_joined_rows_are_the_candidates(spark):
+    """Labels that share only a frequent word never meet: what the join gives is the pairs themselves."""
+    labels = spark.range(400).select(F.lit("p").alias("paper_key"), F.concat(F.lit("dried sample corn kind"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("label"))
+    assert V.label_pairs(labels, labels).count() == 400
+    few = spark.createDataFrame([("p", x) for x in ("", "a", "a b", "b c", "a b c", "d")], "paper_key string, label string")
+    got = {(r.p_label, r.g_label) for r in V.label_pairs(few, few).collect()}
+    words = ["", "a", "a b", "b c", "a b c", "d"]
+    assert got == {(x, y) for x in words for y in words if not x or not y or set(x.split()) <= set(y.split()) or set(y.split()) <= set(x.split())}
+    assert V.label_pairs(few, few).count() == len(got)
+
+
+def test_numbering_covers_a_hot_key(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("key"), "id")
+    got = numbered(rows, "key", "id").groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("nth").alias("d"), F.max("nth").alias("m")).collect()
+    assert all(r.n == r.d == r.m + 1 for r in got) and len(got) == 8
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch(Session)
 
 
 def test_candidates_agree_with_all_pairs(spark):
     rng = np.random.default_rng(5)
     pick = lambda *x: x[rng.integers(len(x))]
     make = lambda k: [(i, "p1", pick("apples", "apple juice", "pear", None), pick(27.0, 27.12, 915.0, 2450.0, 0.0, None), float(pick(20, 21, 22.5, 30)), pick(None, 10.0, 11.5, 60.0), "wet", pick(None, "1%", "2%"), pick(None, 0.5)) for i in range(k)]
-    cols = "{} bigint, paper_key string, material_name string, frequency_mhz double, temperature_c double, moisture_content_pct double, moisture_basis string, salt_content string, electrical_conductivity_s_m double"
     gold, pred = make(40), make(40)
-    got = {(r.gold_id, r.pred_id) for r in V.match_candidates(spark.createDataFrame(gold, cols.format("gold_id")), spark.createDataFrame(pred, cols.format("pred_id"))).collect()}
+    got = {(r.gold_id, r.pred_id) for r in V.match_candidates(spark.createDataFrame(gold, MATCHED.format("gold_id")), spark.createDataFrame(pred, MATCHED.format("pred_id"))).collect()}
 
     def fits(g, p):
         if None in (g[3], p[3]) or (g[3] > 0 and abs(p[3] - g[3]) / g[3] > 0.05) or abs(g[4] - p[4]) > 2:
