@@ -74,8 +74,11 @@ def quality(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFr
     held = lines.join(small(cut(often.select("host", "line", "documents"))), ["host", "line"]).distinct()
     counts = held.groupBy("host", "line", "documents").agg(F.count("*").alias("n"))
     common = cut(counts.where((F.col("n") > least) & (F.col("n") > share * F.col("documents"))).select("host", "line"))
-    rows = d.select("row", "host", F.explode(F.transform(F.array_distinct("lines"), lambda x: F.struct(x["line"].alias("line"), (x["n"] * F.size(F.filter("lines", lambda y: y["line"] == x["line"]))).alias("n")))).alias("x"))
-    gone = rows.select("row", "host", "x.line", "x.n").join(small(common), ["host", "line"], "left_semi").distinct().groupBy("row").agg(F.sum("n").alias("removed"))
+    rows = d.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.n")
+    gone = rows.join(small(common), ["host", "line"], "left_semi").groupBy("row").agg(F.sum("n").alias("n"))
+    # Equal rows share a row key: what is gone of all of them is as much for each.
+    copies = d.groupBy("row").agg(F.count("*").alias("copies"))
+    gone = gone.join(copies, "row").select("row", (F.col("n") / F.col("copies")).cast("long").alias("removed"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     removed = F.coalesce("removed", F.lit(0)).cast("long")
     return d.join(gone, "row", "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", removed.alias("removed_words"), failed.alias("base_failed"), (~failed & (2 * removed <= F.col("n_words"))).alias("kept"))

@@ -593,3 +593,20 @@ def test_paragraph_ids_of_any_range(spark):
 
 def test_slots_are_long(spark):
     assert dict(sharding.shard(edge(spark)).dtypes)["slot"] == "bigint"
+
+
+def test_quality_of_a_text_with_many_lines(spark):
+    """One document of 200,000 distinct lines, two of them frequent on its host; equal rows are counted once each."""
+    import time
+
+    # Digits are alike to the rules, so numbers are spelled in letters.
+    letters = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    shared = "menu home about contact us"
+    many = "\n".join([shared, *(f"line of a very long list {letters(k)}" for k in range(200_000)), shared])
+    rows = [(k, f"{shared}\n" + " ".join(f"w{letters(k)}q{letters(j)}" for j in range(60)), "h") for k in range(40)] + [(100, many, "h"), (100, many, "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    quality.quality(docs.where("doc_id < 3")).collect()
+    began = time.time()
+    got = quality.quality(docs).collect()
+    assert time.time() - began < 60  # some seconds; a quadratic run takes hours
+    assert {r.removed_words for r in got if r.doc_id == 100} == {10} and {r.removed_words for r in got if r.doc_id < 40} == {5} and len(got) == 42
