@@ -1,17 +1,16 @@
 """Reported regression models evaluated into records.
 
 A model is one row with its terms as an array (coef, powers), so polynomials are evaluated by built-in expressions
-without moving a point; only free expressions go through a vectorised helper."""
+without moving a point. A written formula is compiled once, by a helper over the distinct ones, to the steps of a stack machine that is a fold over them."""
 
 from __future__ import annotations
 
 import ast
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import cut
 from corundum.functions.scalars import barrier, blank, col, filled, ism_normalize, normalize_paper_path, plausible, rounded
 
 #: Names of the five variables and unit suffixes they may carry (fixed values).
@@ -140,7 +139,7 @@ def paper_grids(papers: DataFrame) -> DataFrame:
     return papers.select(
         "paper_uid", F.when(both(t), F.struct(lo.alias("lo"), hi.alias("hi"))).alias("range_T"), levels.alias("levels_T"), F.when(both(m), m).alias("range_M"), some("moisture_levels_pct").alias("levels_M"),
         F.transform(some("measurement_frequencies_mhz"), ism_normalize).alias("levels_F"), "moisture_basis",
-    ).dropDuplicates(["paper_uid"])
+    ).groupBy("paper_uid").agg(F.min(F.struct("range_T", "levels_T", "range_M", "levels_M", "levels_F", "moisture_basis")).alias("g")).select("paper_uid", "g.*")
 
 
 def _axis(sym: str) -> Column:
@@ -175,38 +174,88 @@ def expand_grid(models: DataFrame, papers: DataFrame) -> DataFrame:
     return d
 
 
-def _numpy(node: ast.AST, at: dict[str, np.ndarray]):
-    """Value of a whitelisted arithmetic tree over arrays; anything else raises."""
-    if isinstance(node, ast.Constant) and type(node.value) in (int, float):
-        return float(node.value)
-    if isinstance(node, ast.Name) and node.id in at:
-        return at[node.id]
-    if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
-        x = _numpy(node.operand, at)
-        return -x if isinstance(node.op, ast.USub) else x
-    two = {ast.Add: np.add, ast.Sub: np.subtract, ast.Mult: np.multiply, ast.Div: np.divide, ast.Pow: np.power}
-    if isinstance(node, ast.BinOp) and type(node.op) in two:
-        return two[type(node.op)](_numpy(node.left, at), _numpy(node.right, at))
-    calls = {"exp": np.exp, "log": np.log, "log10": np.log10, "sqrt": np.sqrt, "abs": np.abs, "pow": np.power}
-    if isinstance(node, ast.Call) and isinstance(node.func, ast.Name) and node.func.id in calls and not node.keywords:
-        return calls[node.func.id](*[_numpy(a, at) for a in node.args])
-    raise ValueError("not an allowed expression")
-
-
-def evaluate_expressions(expressions: pd.Series, points: pd.DataFrame) -> pd.Series:
-    """Values of expressions at points, each distinct expression once for all its points; NaN where one isn't allowed or has no real value."""
-    out = pd.Series(np.nan, index=expressions.index)
-    for text, rows in expressions.groupby(expressions).groups.items():
-        at = {c: points.loc[rows, c].to_numpy(float) for c in points.columns}
-        try:
-            with np.errstate(all="ignore"):
-                got = np.broadcast_to(np.asarray(_numpy(ast.parse(text, mode="eval").body, at), float), len(rows))
-            out.loc[rows] = np.where(np.isfinite(got), got, np.nan)
-        except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError):
-            continue
+#: What a compiled formula may hold: a number, the variables, operations on the top of the stack, and on the two values on top of it.
+VARIABLES, ON_ONE, ON_TWO = ("T", "M", "RHO", "F", "S"), ("neg", "exp", "log", "log10", "sqrt", "abs"), ("+", "-", "*", "/", "**")
+STEPS_OF = {name: k for k, name in enumerate(("number", *VARIABLES, *ON_ONE, *ON_TWO))}
+
+
+def compile_formula(text: str | None) -> list[tuple[int, float]] | None:
+    """A written formula as steps (op, x) of a stack machine, in postfix order; None where it holds anything but arithmetic on the variables."""
+    two = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/", ast.Pow: "**"}
+    out: list[tuple[int, float]] = []
+
+    def emit(name: str, x: float = 0.0) -> None:
+        out.append((STEPS_OF[name], x))
+
+    def walk(node: ast.AST) -> None:
+        if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+            emit("number", float(node.value))
+        elif isinstance(node, ast.Name) and node.id in VARIABLES:
+            emit(node.id)
+        elif isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
+            walk(node.operand)
+            if isinstance(node.op, ast.USub):
+                emit("neg")
+        elif isinstance(node, ast.BinOp) and type(node.op) in two:
+            walk(node.left)
+            walk(node.right)
+            emit(two[type(node.op)])
+        elif isinstance(node, ast.Call) and isinstance(node.func, ast.Name) and not node.keywords:
+            for a in node.args:
+                walk(a)
+            name, n = node.func.id, len(node.args)
+            if n == 1 and name in ON_ONE[1:]:
+                emit(name)
+            elif (n, name) == (2, "pow"):
+                emit("**")
+            elif (n, name) == (2, "log"):  # of a base: the logarithms' ratio
+                base = out[-1:] if out[-1][0] == 0 else None
+                if base is None:
+                    raise ValueError("the base must be a number")
+                out.pop()
+                emit("log")
+                out.extend(base)
+                emit("log")
+                emit("/")
+            else:
+                raise ValueError(f"{name} of {n}")
+        else:
+            raise ValueError("not arithmetic")
+
+    try:
+        walk(ast.parse(text.strip(), mode="eval").body)
+    except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError, OverflowError, AttributeError):
+        return None
     return out
 
 
+def compiled(models: DataFrame) -> DataFrame:
+    """The models with the `code` of their expression; each distinct formula is compiled once."""
+    steps = F.pandas_udf(lambda texts: texts.map(lambda t: None if (code := compile_formula(t)) is None else [{"op": op, "x": x} for op, x in code]), "array<struct<op:int,x:double>>")
+    formulas = models.where("expression is not null").select("expression").distinct()
+    return models.join(formulas.withColumn("code", steps("expression")), "expression", "left").select(*models.columns, "code")
+
+
+def run_formula(code: Column, at: dict[str, Column]) -> Column:
+    """Value of a compiled formula: a fold over its steps with a stack of numbers. NULL where any step has no finite real value."""
+    stack = F.array().cast(NO_DOUBLES)
+
+    def step(s: Column, t: Column) -> Column:
+        op, top, below = t["op"], F.try_element_at(s, F.lit(-1)), F.try_element_at(s, F.lit(-2))
+        first_one, first_two = STEPS_OF[ON_ONE[0]], STEPS_OF[ON_TWO[0]]
+        values = {"+": below + top, "-": below - top, "*": below * top, "/": F.try_divide(below, top), "**": F.pow(below, top)}
+        values |= {v: at[v] for v in VARIABLES}
+        values |= {"neg": -top, "exp": F.exp(top), "log": F.log(top), "log10": F.log10(top), "sqrt": F.sqrt(top), "abs": F.abs(top)}
+        value = F.when(op == 0, t["x"])
+        for name in ("*", "M", "T", "+", *(v for v in values if v not in "*MT+")):
+            value = value.when(op == STEPS_OF[name], values[name])
+        left = F.when(op < first_one, s).when(op < first_two, F.slice(s, F.lit(1), F.size(s) - 1)).otherwise(F.slice(s, F.lit(1), F.size(s) - 2))
+        # An infinite or missing value is none from here on, as it would be an error where formulas are run one by one.
+        return F.concat(left, F.array(F.when(F.abs(value) < float("inf"), value)))
+
+    return F.aggregate(code, stack, step, lambda s: F.try_element_at(s, F.lit(-1)))
+
+
 def polynomial(terms: Column, at: dict[str, Column]) -> Column:
     """Sum of coef times the product of variable powers."""
     binding = F.create_map(*[x for k, v in at.items() for x in (F.lit(k), v)])
@@ -216,12 +265,13 @@ def polynomial(terms: Column, at: dict[str, Column]) -> Column:
 
 def _groups(models: DataFrame, papers: DataFrame) -> DataFrame:
     """Models of one material and frequency side by side: dc, lf, lt, and the driver whose grid all share."""
-    freqs = papers.select("paper_uid", F.transform(F.when(F.size("measurement_frequencies_mhz") > 0, F.col("measurement_frequencies_mhz")), ism_normalize).alias("_f")).dropDuplicates(["paper_uid"])
+    # Of rows that repeat a paper, the least value, here and in the grids.
+    freqs = papers.select("paper_uid", F.transform(F.when(F.size("measurement_frequencies_mhz") > 0, F.col("measurement_frequencies_mhz")), ism_normalize).alias("_f")).groupBy("paper_uid").agg(F.min("_f").alias("_f"))
     whole = models.groupBy("paper_uid").agg((F.count("frequency_mhz") == 0).alias("_free"), F.max(F.array_contains("names", "F")).alias("_usesF"))
     m = models.join(whole, "paper_uid").join(freqs, "paper_uid", "left")
     spread = F.when(F.col("_free") & ~F.col("_usesF") & F.col("_f").isNotNull(), F.col("_f")).otherwise(F.array("frequency_mhz"))
     m = m.withColumn("frequency_mhz", F.explode(spread))
-    one = F.struct("eq_no", "property", "source_table", "terms", "expression", "names", "domain", "r_squared")
+    one = F.struct(*[c for c in ("eq_no", "property", "source_table", "terms", "expression", "code", "names", "domain", "r_squared") if c in models.columns])
     g = m.groupBy("paper_uid", "material_name", "frequency_mhz", "_f").agg(F.collect_list(one).alias("ms"))
     g = g.withColumn("ms", F.array_sort("ms", lambda a, b: F.when(a["eq_no"] < b["eq_no"], -1).when(a["eq_no"] > b["eq_no"], 1).otherwise(0)))
     doubled = F.size("ms") > F.size(F.array_distinct(F.transform("ms", lambda x: x["property"])))
@@ -233,48 +283,43 @@ def _groups(models: DataFrame, papers: DataFrame) -> DataFrame:
     return g.withColumn("driver", F.coalesce("dc", "lf", "lt"))
 
 
+def _with_values(points: DataFrame, scales: dict[str, Column | float]) -> DataFrame:
+    """The points with `<name>_dc`, `<name>_lf` and `<name>_lt`, the values of their models with moisture times the scale of that name."""
+    names = [f"{n}_{c}" for n in scales for c in ("dc", "lf", "lt")]
+    cases = [F.struct(F.col(f"{c}.terms").alias("terms"), F.col(f"{c}.code").alias("code"), (F.col("M") * x).alias("M")) for x in scales.values() for c in ("dc", "lf", "lt")]
+    at = lambda x: {v: x["M"] if v == "M" else F.col(v) for v in ALIASES}
+    value = lambda x: F.when(x["code"].isNotNull(), run_formula(x["code"], at(x))).when(x["terms"].isNotNull(), polynomial(x["terms"], at(x)))
+    points = barrier(points.withColumn("_at", F.transform(F.array(*cases), lambda x: F.nanvl(value(x), F.lit(None).cast("double")))))
+    return points.withColumns({n: F.get("_at", F.lit(k)) for k, n in enumerate(names)}).drop("_at")
+
+
+def _moisture_parts(groups: DataFrame, papers: DataFrame) -> DataFrame:
+    """(gid, part) of the groups in which moisture is a fraction: nothing bounds it, no value is plausible with it as it is, and two are as a fraction.
+
+    Only groups without bounds are evaluated, and only counts by group are shuffled."""
+    open_ = F.array_contains("names", "M") & F.try_element_at("domain", F.lit("M")).isNull()
+    pts = _with_values(barrier(expand_grid(groups.where(open_), papers)), {"pct": 1.0, "part": 0.01})
+    fine = lambda k: sum((plausible(F.lit(p), f"{k}_{c}", "frequency_mhz").cast("int") for c, p in zip(("dc", "lf", "lt"), PROPERTIES, strict=True)), F.lit(0))
+    n = pts.groupBy("gid").agg(F.sum(fine("pct")).alias("as_pct"), F.sum(fine("part")).alias("as_part"), F.max("M").alias("above"))
+    return n.where("above > 1 and as_pct = 0 and as_part >= 2").select("gid", F.lit(True).alias("part"))
+
+
 def evaluate_points(models: DataFrame, papers: DataFrame) -> DataFrame:
     """Every grid point of every group with its values before rounding, and what happened to it (state: domain, dropped, kept)."""
-    g = _groups(models, papers).withColumns({"names": F.col("driver.names"), "domain": F.col("driver.domain"), "gid": F.xxhash64("paper_uid", "material_name", "frequency_mhz", "src")})
-    pts = expand_grid(barrier(g), papers)
-
-    kinds, scales = ("dc", "lf", "lt"), {"1": 1.0, "2": 0.01}
-    names = [f"{c}_{k}" for c in kinds for k in scales]
-
-    @F.pandas_udf(", ".join(f"{n} double" for n in names))
-    def free(dc: pd.Series, lf: pd.Series, lt: pd.Series, t: pd.Series, m: pd.Series, rho: pd.Series, f: pd.Series, s: pd.Series) -> pd.DataFrame:
-        """Values of the written expressions, for M as it is and as a fraction; models of terms have none and cost nothing here."""
-        out = {}
-        for c, expression in zip(kinds, (dc, lf, lt), strict=True):
-            for k, scale in scales.items():
-                out[f"{c}_{k}"] = evaluate_expressions(expression, pd.DataFrame({"T": t, "M": m * scale, "RHO": rho, "F": f, "S": s}))
-        return pd.DataFrame(out, columns=names)
-
-    written = free(*[F.col(f"{c}.expression") for c in kinds], *[F.coalesce(v, F.lit(float("nan"))) for v in ALIASES])
-    pts = barrier(pts.withColumn("_free", written))
-    values = {}
-    for c in kinds:
-        for k, scale in scales.items():
-            at = {v: F.col(v) * scale if v == "M" else F.col(v) for v in ALIASES}
-            own = F.nullif(F.col(f"_free.{c}_{k}"), F.lit(float("nan")))
-            got = F.when(F.col(f"{c}.expression").isNotNull(), own).otherwise(polynomial(F.col(f"{c}.terms"), at))
-            values[f"{c}_{k}"] = F.when(F.col(c).isNotNull() & ~F.isnan(got), got)
-    pts = barrier(pts.withColumns(values).drop("_free"))
-    fine = lambda k: sum((plausible(F.lit(p), f"{c}_{k}", "frequency_mhz").cast("int") for c, p in zip(("dc", "lf", "lt"), PROPERTIES, strict=True)), F.lit(0))
-    w = Window.partitionBy("gid")  # a grid has a few hundred points
-    open_ = F.array_contains("names", "M") & F.try_element_at("domain", F.lit("M")).isNull()
-    pts = pts.withColumns({"as_pct": F.sum(fine(1)).over(w), "as_part": F.sum(fine(2)).over(w), "above": F.max("M").over(w)})
-    part = F.coalesce(open_ & (F.col("above") > 1) & (F.col("as_pct") == 0) & (F.col("as_part") >= 2), F.lit(False))
-    pts = pts.withColumn("part", part)
-    scaled = F.when(F.col("part"), 2).otherwise(1)
-    use = {c: F.when(scaled == 2, F.col(f"{c}_2")).otherwise(F.col(f"{c}_1")) for c in ("dc", "lf", "lt")}
+    g = _groups(compiled(models), papers).withColumns({"names": F.col("driver.names"), "domain": F.col("driver.domain"), "gid": F.xxhash64("paper_uid", "material_name", "frequency_mhz", "src")})
+    # A group is a short row but a few hundred points to evaluate, so groups are dealt to all tasks and not by their size.
+    n = int(g.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = cut(g).repartition(n, "gid")
+    parts = _moisture_parts(g, papers)
+    g = g.join(parts, "gid", "left").repartition(n, "gid").withColumn("part", F.coalesce("part", F.lit(False)))
+    pts = barrier(_with_values(barrier(expand_grid(g, papers)), {"v": F.when(F.col("part"), 0.01).otherwise(1.0)}))
     out = F.lit(False)
     for sym in ALIASES:
         d, x = F.try_element_at("domain", F.lit(sym)), F.col(sym) * (F.when(F.col("part"), 0.01).otherwise(1.0) if sym == "M" else 1.0)
         out = out | F.coalesce((x < d["lo"] - 1e-9) | (x > d["hi"] + 1e-9), F.lit(False))
     ghz = (F.try_element_at("domain", F.lit("F"))["hi"] < 100) & (F.array_max("_f") >= 1000)
     mhz = F.coalesce("frequency_mhz", F.col("F") * F.when(F.coalesce(ghz, F.lit(False)), 1000.0).otherwise(1.0))
-    pts = pts.withColumns({"v_" + c: x for c, x in use.items()} | {"outside": out, "mhz": mhz})
+    pts = pts.withColumns({"outside": out, "mhz": mhz})
     pts = barrier(pts)
     ok = {c: plausible(F.lit(p), f"v_{c}", "mhz") for c, p in zip(("dc", "lf", "lt"), PROPERTIES, strict=True)}
     bad = (F.col("v_dc").isNotNull() & ~ok["dc"]).cast("int") + (F.col("v_lf").isNotNull() & ~ok["lf"]).cast("int")
@@ -292,7 +337,7 @@ def _as_text(model: Column) -> Column:
 
 def evaluate_models(models: DataFrame, papers: DataFrame, extraction_model: str | None = None) -> DataFrame:
     """Records of all plausible grid points, with doi and paper_id of their paper and the model that read the equations."""
-    p = evaluate_points(models, papers).where("state = 'kept'")
+    p = evaluate_points(cut(models), papers).where("state = 'kept'")
     name = normalize_paper_path("pdf_path") if "pdf_path" in papers.columns else F.lit("")
     doi = F.coalesce("doi", F.lit("")) if "doi" in papers.columns else F.lit("")
     facts = papers.select("paper_uid", F.struct(doi.alias("doi"), name.alias("paper_id")).alias("_p")).groupBy("paper_uid").agg(F.min("_p").alias("_p"))
@@ -334,6 +379,7 @@ def groups_without_grid(models: DataFrame, papers: DataFrame) -> DataFrame:
 def equation_report(equations: DataFrame, models: DataFrame, papers: DataFrame) -> DataFrame:
     """Per paper: equations, models built and not parsed, points evaluated, outside the domain, implausible values, points kept,
     and how many groups of models had no grid, with the reasons."""
+    models = cut(models)
     e = equations.groupBy("paper_uid").agg(F.count("*").alias("equations"))
     m = models.groupBy("paper_uid").agg(F.count("*").alias("models_built"))
     p = evaluate_points(models, papers).groupBy("paper_uid").agg(

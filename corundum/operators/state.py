@@ -44,8 +44,10 @@ def cost_estimate(papers: DataFrame, unit_costs: dict[str, float], discount: flo
 def route_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """One artifact per paper and kind from expected requests and what came back.
 
-    A missing, empty or incomplete response is a reason of incompleteness; reasons stand in unit order, `; ` between."""
-    r = responses.select("custom_id", "text", "response_complete", "n_records").dropDuplicates(["custom_id"])
+    A missing, empty or incomplete response is a reason of incompleteness; reasons stand in unit order, `; ` between. Of responses that
+    repeat an id, a complete one counts before others, then the one with most records, then the least text."""
+    order = F.struct((~F.coalesce("response_complete", F.lit(False))).alias("open"), (-F.coalesce("n_records", F.lit(0))).alias("fewer"), "text", "response_complete", "n_records")
+    r = responses.groupBy("custom_id").agg(F.min(order).alias("r")).select("custom_id", "r.text", "r.response_complete", "r.n_records")
     j = requests.join(r, "custom_id", "left")
     reason = (
         F.when(F.col("response_complete").isNull(), F.concat(F.lit("unit "), F.col("unit_no"), F.lit(": no response")))

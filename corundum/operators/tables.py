@@ -81,7 +81,7 @@ def _numbers(cell: Column) -> Column:
 
 def classify_tables(tables: DataFrame, papers: DataFrame) -> DataFrame:
     """(table_id, decision, reason): whether a table holds dielectric data, by the first rule that speaks."""
-    t = _texts(tables).join(papers.select("paper_uid", F.col("data_tables").alias("_data"), F.col("skip_tables").alias("_skip")).dropDuplicates(["paper_uid"]), "paper_uid", "left")
+    t = _texts(tables).join(papers.groupBy("paper_uid").agg(F.min(F.struct("data_tables", "skip_tables")).alias("_p")).select("paper_uid", F.col("_p.data_tables").alias("_data"), F.col("_p.skip_tables").alias("_skip")), "paper_uid", "left")
     text = F.concat_ws(" ", "_cap", "_head", "_five")
     t = t.withColumn("_all", text)
     all_ = F.col("_all")

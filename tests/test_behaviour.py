@@ -4,7 +4,6 @@ import itertools
 import json
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from corundum.operators import assembly as A
 from corundum.operators import equations as E
 from corundum.operators import evaluation as V
 from corundum.operators import responses as R
+from corundum.operators import state as R_STATE
 from corundum.operators import tables as B
 from corundum.operators import text as T
 from corundum.operators.flows import cheapest_flow, numbered
@@ -242,9 +242,77 @@ def test_responses_in_fences_and_bare_arrays(spark):
     assert not got["d"].response_complete
 
 
-def test_expressions():
-    got = E.evaluate_expressions(pd.Series(["3 + T**2", "sqrt(M)", "__import__('os')", "T / 0"]), pd.DataFrame({"T": [2.0] * 4, "M": [9.0] * 4, "RHO": [np.nan] * 4, "F": [np.nan] * 4, "S": [np.nan] * 4}))
-    assert got[0] == 7 and got[1] == 3 and np.isnan(got[2]) and np.isnan(got[3])
+FORMULAS = ["3 + T**2", "sqrt(M)", "__import__('os')", "T / 0", "1 / (1 / (T - 2))", "-T**2 + +M*(T - 1)/3", "exp(1000) * 0", "log(M) - log10(100) + abs(-T)", "pow(T, 0.5) * log(M, 3)", "log(0)", "(-8)**0.5", "T +", "T.real", "Q + 1", "True + 1", "2", "", None, "sqrt(T, M)", "S + 1"]
+
+
+def by_hand(text, at):
+    """A formula run one operation at a time, as plain Python would."""
+    import ast
+    import math
+    import operator as o
+
+    two = {ast.Add: o.add, ast.Sub: o.sub, ast.Mult: o.mul, ast.Div: o.truediv, ast.Pow: o.pow}
+    calls = {"exp": math.exp, "log": math.log, "log10": math.log10, "sqrt": math.sqrt, "abs": abs, "pow": pow}
+
+    def run(n):
+        if isinstance(n, ast.Constant) and type(n.value) in (int, float):
+            return float(n.value)
+        if isinstance(n, ast.Name):
+            return float(at[n.id])
+        if isinstance(n, ast.UnaryOp):
+            return {ast.USub: o.neg, ast.UAdd: o.pos}[type(n.op)](run(n.operand))
+        if isinstance(n, ast.BinOp):
+            return float(two[type(n.op)](run(n.left), run(n.right)))
+        if isinstance(n, ast.Call):
+            return float(calls[n.func.id](*map(run, n.args)))
+        raise ValueError
+
+    try:
+        got = run(ast.parse(text, mode="eval").body)
+        return got if math.isfinite(got) else None
+    except (ValueError, SyntaxError, TypeError, KeyError, AttributeError, ArithmeticError):
+        return None
+
+
+def test_formulas_run_natively(spark):
+    points = [{"T": 2.0, "M": 9.0}, {"T": 30.0, "M": 0.25}, {"T": -1.0, "M": 0.0}]
+    rows = [(k, f, p["T"], p["M"]) for f in FORMULAS for k, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "k int, expression string, T double, M double")
+    at = {v: F.col(v) if v in "TM" else F.lit(None).cast("double") for v in E.VARIABLES}
+    done = E.compiled(df).withColumn("value", E.run_formula(F.col("code"), at))
+    got = {(r.k, r.expression): r.value for r in done.collect()}
+    assert len(got) == len(rows)
+    for f in FORMULAS:
+        for k, p in enumerate(points):
+            want = by_hand(f, p)
+            assert (want is None and got[k, f] is None) or got[k, f] == pytest.approx(want, rel=1e-12), f
+
+
+def test_formulas_of_random_trees(spark):
+    rng = np.random.default_rng(2)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return str(rng.choice(["T", "M", "2", "0.5", "10"]))
+        if rng.random() < 0.25:
+            return f"{rng.choice(['sqrt', 'exp', 'log', 'abs'])}({tree(depth - 1)})"
+        return f"({tree(depth - 1)} {rng.choice(['+', '-', '*', '/', '**'])} {tree(depth - 1)})"
+
+    texts = sorted({tree(4) for _ in range(150)})
+    df = spark.createDataFrame([(t, 3.0, 0.7) for t in texts], "expression string, T double, M double")
+    at = {v: F.col(v) if v in "TM" else F.lit(None).cast("double") for v in E.VARIABLES}
+    for r in E.compiled(df).withColumn("value", E.run_formula(F.col("code"), at)).collect():
+        want = by_hand(r.expression, {"T": 3.0, "M": 0.7})
+        assert (want is None and r.value is None) or r.value == pytest.approx(want, rel=1e-9), r.expression
+
+
+def test_first_response_of_a_repeated_id(spark):
+    """Whatever order the rows come in, the complete one with most records is taken."""
+    requests = spark.createDataFrame([("c1", "p", 1, "text")], "custom_id string, paper_uid string, unit_no bigint, kind string")
+    answers = [("c1", "b", False, 9), ("c1", "a", True, 2), ("c1", "z", True, 5), ("c1", None, None, 1)]
+    for order in (answers, answers[::-1], answers[2:] + answers[:2]):
+        r = spark.createDataFrame(list(order), "custom_id string, text string, response_complete boolean, n_records bigint").repartition(3)
+        assert [(x.complete, x.n_records) for x in R_STATE.route_responses(requests, r).collect()] == [(True, 5)]
 
 
 def equation(**facts):
