@@ -101,21 +101,21 @@ SELECT 'a' || l_suppkey || '_' || (l_linenumber % 2) AS artifact,
 FROM lineitem
 """
 MANIFEST = """
-SELECT substr(SHA256('c' || c_custkey), 1, 12) AS paper_uid, 'corpus/' || c_name || '.pdf' AS pdf_path, lower(c_name) AS slug,
+SELECT substr(SHA256(CASE WHEN c_custkey % 4 = 3 THEN 'm' ELSE 'c' END || c_custkey), 1, 12) AS paper_uid, 'corpus/' || c_name || '.pdf' AS pdf_path, lower(c_name) AS slug,
   CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '10.2000/C' || c_custkey END AS doi, c_mktsegment AS title,
   CAST(1990 + c_nationkey AS INT) AS year
-FROM customer WHERE c_custkey % 4 <> 3
+FROM customer
 """
 UPDATES = """
-SELECT substr(SHA256('c' || c_custkey), 1, 12) AS paper_uid, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'new/' || c_name || '.pdf' END AS pdf_path,
+SELECT substr(SHA256(CASE WHEN c_custkey % 4 >= 2 THEN 'c' ELSE 'u' END || c_custkey), 1, 12) AS paper_uid, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'new/' || c_name || '.pdf' END AS pdf_path,
   CAST(NULL AS STRING) AS slug, CASE WHEN c_custkey % 2 = 0 THEN '10.3000/N' || c_custkey END AS doi,
   CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE 'Title ' || c_custkey END AS title, CASE WHEN c_custkey % 2 = 1 THEN 2024 END AS year
-FROM customer WHERE c_custkey % 4 >= 2
+FROM customer
 """
 PARSED = """
-SELECT substr(SHA256('c' || o_custkey), 1, 12) AS paper_uid, MIN('10.4000/P' || o_custkey) AS doi, MAX(o_orderpriority) AS title,
+SELECT substr(SHA256(CASE WHEN o_custkey % 3 <> 0 THEN 'c' ELSE 'p' END || o_custkey), 1, 12) AS paper_uid, MIN('10.4000/P' || o_custkey) AS doi, MAX(o_orderpriority) AS title,
   CAST(COUNT(*) AS BIGINT) AS tables_found
-FROM orders WHERE o_custkey % 3 <> 0 GROUP BY o_custkey
+FROM orders GROUP BY o_custkey
 """
 EVENTS = """
 SELECT event_id, 'p' || (user_id % 500) AS paper, ts,
@@ -137,9 +137,9 @@ SELECT 'c' || conv_id || '_' || turn AS custom_id, 'p' || conv_id AS paper_uid,
 FROM conversations WHERE role = 'user'
 """
 RESPONSES = """
-SELECT 'c' || conv_id || '_' || (turn - 1) AS custom_id, CASE WHEN conv_id % 9 = 8 THEN '' ELSE coalesce(text, '') END AS text,
+SELECT CASE WHEN conv_id % 11 = 10 THEN 'x' ELSE 'c' END || conv_id || '_' || (turn - 1) AS custom_id, CASE WHEN conv_id % 9 = 8 THEN '' ELSE coalesce(text, '') END AS text,
   conv_id % 7 <> 6 AS response_complete, CAST(conv_id % 5 AS BIGINT) AS n_records
-FROM conversations WHERE role = 'assistant' AND conv_id % 11 <> 10
+FROM conversations WHERE role = 'assistant'
 """
 SECTIONS = """
 SELECT doc_id, 'p' || doc_id AS paper_uid, CAST(line_no AS BIGINT) AS idx,

@@ -26,26 +26,27 @@ def _costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _screenings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = frame(spark, sf_dir, "orders")
-    uid = F.substring(F.sha2(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), 256), 1, 12)
-    return o.where("o_orderkey % 3 <> 2").select(
-        F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 5 != 0, uid).otherwise("").alias("paper_uid"), F.concat(F.lit("10.2000/C"), F.col("o_custkey").cast("string")).alias("doi"),
+    known = F.col("o_orderkey") % 3 != 2  # the others name papers that no manifest has
+    uid = F.substring(F.sha2(F.concat(F.when(known, "c").otherwise("s"), F.col("o_custkey").cast("string")), 256), 1, 12)
+    return o.select(
+        F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 5 != 0, uid).otherwise("").alias("paper_uid"), F.concat(F.when(known, "10.2000/C").otherwise("10.2000/S"), F.col("o_custkey").cast("string")).alias("doi"),
         F.when(F.col("o_orderpriority").startswith("5"), "skip").otherwise(F.lower("o_orderpriority")).alias("extraction_priority"), F.col("o_orderstatus").alias("complexity"), (F.col("o_orderkey") % 7).cast("bigint").alias("estimated_records"),
     )
 
 
-SCREEN = """s AS (SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 5 <> 0 THEN substr(sha256('c' || o_custkey), 1, 12) ELSE '' END AS paper_uid, '10.2000/C' || o_custkey AS doi,
-  CASE WHEN o_orderpriority LIKE '5%' THEN 'skip' ELSE lower(o_orderpriority) END AS extraction_priority, o_orderstatus AS complexity, (o_orderkey % 7)::BIGINT AS estimated_records FROM orders WHERE o_orderkey % 3 <> 2),
+SCREEN = """s AS (SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 5 <> 0 THEN substr(sha256(CASE WHEN o_orderkey % 3 <> 2 THEN 'c' ELSE 's' END || o_custkey), 1, 12) ELSE '' END AS paper_uid, CASE WHEN o_orderkey % 3 <> 2 THEN '10.2000/C' ELSE '10.2000/S' END || o_custkey AS doi,
+  CASE WHEN o_orderpriority LIKE '5%' THEN 'skip' ELSE lower(o_orderpriority) END AS extraction_priority, o_orderstatus AS complexity, (o_orderkey % 7)::BIGINT AS estimated_records FROM orders),
 u AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY paper_uid ORDER BY seq DESC) AS nth FROM s WHERE paper_uid <> '') WHERE nth = 1),
 d AS (SELECT doi, min(extraction_priority) AS extraction_priority, min(complexity) AS complexity, min(estimated_records) AS estimated_records FROM s WHERE paper_uid = '' GROUP BY 1 HAVING count(*) = 1),
 x AS (SELECT m.*, u.seq IS NOT NULL OR d.doi IS NOT NULL AS screened,
   CASE WHEN u.seq IS NOT NULL THEN u.extraction_priority ELSE coalesce(d.extraction_priority, 'medium') END AS extraction_priority, CASE WHEN u.seq IS NOT NULL THEN u.complexity ELSE coalesce(d.complexity, 'moderate') END AS complexity,
   CASE WHEN u.seq IS NOT NULL THEN u.estimated_records ELSE coalesce(d.estimated_records, 0) END AS estimated_records FROM manifest m LEFT JOIN u ON u.paper_uid = m.paper_uid LEFT JOIN d ON d.doi = m.doi)"""
-ARTIFACTS = "a AS (SELECT DISTINCT substr(sha256('c' || o_custkey), 1, 12) AS paper_uid, CASE WHEN o_orderkey % 2 = 0 THEN 'table' ELSE 'text' END AS kind, o_orderkey % 4 < 3 AS complete FROM orders WHERE o_orderkey % 10 < 6)"
+ARTIFACTS = "a AS (SELECT DISTINCT substr(sha256(CASE WHEN o_orderkey % 10 < 6 THEN 'c' ELSE 'a' END || o_custkey), 1, 12) AS paper_uid, CASE WHEN o_orderkey % 2 = 0 THEN 'table' ELSE 'text' END AS kind, o_orderkey % 4 < 3 AS complete FROM orders)"
 
 
 def _route(spark: SparkSession, sf_dir: str) -> DataFrame:
     papers = frame(spark, sf_dir, "manifest").withColumn("data_tables", F.when(F.col("year") % 2 == 0, F.array(F.lit("table_1"))).otherwise(F.array().cast("array<string>")))
-    a = frame(spark, sf_dir, "orders").where("o_orderkey % 10 < 6").select(F.substring(F.sha2(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), 256), 1, 12).alias("paper_uid"), F.when(F.col("o_orderkey") % 2 == 0, "table").otherwise("text").alias("kind"), (F.col("o_orderkey") % 4 < 3).alias("complete"))
+    a = frame(spark, sf_dir, "orders").select(F.substring(F.sha2(F.concat(F.when(F.col("o_orderkey") % 10 < 6, "c").otherwise("a"), F.col("o_custkey").cast("string")), 256), 1, 12).alias("paper_uid"), F.when(F.col("o_orderkey") % 2 == 0, "table").otherwise("text").alias("kind"), (F.col("o_orderkey") % 4 < 3).alias("complete"))
     return corpus.route_extraction(papers, _screenings(spark, sf_dir), a)
 
 
@@ -120,7 +121,7 @@ def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table for every second year's papers, with frequencies in its headers."""
     headers = F.array(F.array(F.lit("ε' 27.12 MHz"), F.lit("x")), F.array(F.lit("915MHz"), F.lit("n")))
-    return frame(spark, sf_dir, "papers").where("year % 2 = 0").select("paper_uid", headers.alias("headers"))
+    return frame(spark, sf_dir, "papers").select(F.when(F.col("year") % 2 == 0, F.col("paper_uid")).otherwise(F.concat(F.lit("x"), F.col("paper_uid"))).alias("paper_uid"), headers.alias("headers"))
 
 
 TOLD = """SELECT r.*, p.f FROM records r LEFT JOIN (SELECT paper_uid, any_value(CASE WHEN year % 3 <> 0 AND len(measurement_frequencies_mhz) > 0 THEN measurement_frequencies_mhz WHEN year % 2 = 0 AND paper_uid <> '' THEN [27.12::DOUBLE, 915::DOUBLE]
@@ -188,7 +189,7 @@ SELECT file_name, paper_uid, kind, score FROM (SELECT *, ROW_NUMBER() OVER (PART
     "checkpoint_summary": f"WITH {ctes('checkpoint_events')}, f AS ({FOLD}) SELECT status, count(*) AS cnt FROM f GROUP BY 1",
     "cost_estimate": "SELECT stage, round(n * unit * 0.5, 6)::DOUBLE AS cost FROM (SELECT count(*) AS n FROM orders), (VALUES ('screen', 0.005), ('text', 0.1), ('table', 0.15)) v(stage, unit)",
     "route_responses": f"""WITH {ctes('requests', 'responses')}, j AS (SELECT q.*, r.n_records, CASE WHEN r.custom_id IS NULL THEN 'unit ' || unit_no || ': no response' WHEN trim(text) = '' THEN 'unit ' || unit_no || ': empty response' WHEN NOT response_complete THEN 'unit ' || unit_no || ': incomplete response' END AS reason
-  FROM requests q LEFT JOIN (SELECT * FROM responses QUALIFY ROW_NUMBER() OVER (PARTITION BY custom_id) = 1) r USING (custom_id))
+  FROM requests q LEFT JOIN (SELECT * FROM responses QUALIFY ROW_NUMBER() OVER (PARTITION BY custom_id ORDER BY NOT coalesce(response_complete, FALSE), -coalesce(n_records, 0), text NULLS FIRST) = 1) r USING (custom_id))
 SELECT paper_uid, kind, count(*) AS units, coalesce(sum(CASE WHEN reason IS NULL OR reason LIKE '%incomplete response' THEN n_records END), 0)::BIGINT AS n_records, count(reason) = 0 AS complete, coalesce(string_agg(reason, '; ' ORDER BY unit_no), '') AS incomplete_reason FROM j GROUP BY 1, 2""",
     "better_read": f"{REC}, {READS} SELECT {', '.join('r.' + c for c in COLUMNS)}, r.table_id, r.read FROM r JOIN w ON r.paper_uid = w.paper_uid AND r.table_id = w.table_id AND r.read = w.read",
 }

@@ -134,10 +134,10 @@ def _coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _methods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections of every second paper: an introduction and two that say how it was done."""
+    """Sections of every supplier, of which every second one is a paper: an introduction and two that say how it was done."""
     k = F.col("s_suppkey")
     rows = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(h).alias("heading"), F.concat(F.lit(t), "s_name").alias("text")) for i, h, t in ((2, "Experimental", "Second "), (0, "Introduction", "Once "), (1, "Materials and Methods", "Probe of "))])
-    return frame(spark, sf_dir, "supplier").where(k % 2 == 0).select(F.concat(F.lit("p"), k.cast("string")).alias("paper_uid"), F.inline(rows))
+    return frame(spark, sf_dir, "supplier").select(F.concat(F.when(k % 2 == 0, "p").otherwise("q"), k.cast("string")).alias("paper_uid"), F.inline(rows))
 
 
 def _table_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
