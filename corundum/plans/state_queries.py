@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corundum.functions.lineage import scratch
+from corundum.functions.scalars import artifact_name, is_uid, slugify, split_artifact_name
 from corundum.operators import cleaning as C
 from corundum.operators import state as S
 from corundum.plans.assembly_queries import COLS, artifacts, dedup, merge
@@ -110,6 +111,19 @@ def _with(job, *names, **more):
     return lambda spark, sf_dir: job(*[frame(spark, sf_dir, n) for n in names], **more)
 
 
+def _artifact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of artifacts, and what is read from them; every fifth year's are of no artifact, and every seventh's uids in capitals."""
+    m = frame(spark, sf_dir, "manifest")
+    name = F.when(F.col("year") % 5 != 0, artifact_name("paper_uid", "pdf_path")).otherwise(slugify(F.concat("title", F.lit(" – __"), "pdf_path", F.lit("!")), 20))
+    d = m.select("paper_uid", name.alias("name"), F.when(F.col("year") % 7 == 0, F.upper("paper_uid")).otherwise(F.col("paper_uid")).alias("shown"))
+    parts = split_artifact_name("name")
+    return d.select("paper_uid", "name", parts["uid"].alias("uid"), parts["slug"].alias("slug"), is_uid("shown").alias("known"))
+
+
+def _slug_sql(c: str, most: int) -> str:
+    return f"coalesce(nullif(trim(substr(regexp_replace(regexp_replace(regexp_replace({c}, '[^a-zA-Z0-9_-]+', '_', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g'), 1, {most})), ''), 'paper')"
+
+
 def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The papers with a text that names frequencies; a third of those that list frequencies don't any more."""
     none = F.array().cast("array<double>")
@@ -139,6 +153,7 @@ HASH = "sha256(concat_ws('|', " + ", ".join(f"coalesce({'printf(' + chr(39) + '%
 SUMS = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {1 + 15 * k}, 15) AS BIGINT)) AS VARCHAR)" for k in range(4))
 QUERIES = {
     "corpus_dedup": lambda spark, sf_dir: corpus.corpus_dedup(frame(spark, sf_dir, "documents").select(F.concat(F.lit("Corpus/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".PDF")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))),
+    "artifact_names": _artifact_names,
     "manifest_upsert": lambda spark, sf_dir: corpus.manifest_upsert(frame(spark, sf_dir, "manifest"), frame(spark, sf_dir, "updates"), frame(spark, sf_dir, "manifest").where("year % 9 <> 0").select("paper_uid").union(frame(spark, sf_dir, "updates").select("paper_uid"))),
     "load_manifest_papers": _with(corpus.load_manifest_papers, "manifest", "parsed"),
     "select_artifacts": _select,
@@ -164,6 +179,9 @@ QUERIES = {
 REC, RP = f"WITH {ctes('records')}", f"WITH {ctes('records', 'papers')}"
 ORACLES = {
     "corpus_dedup": "SELECT substr(sha256(coalesce(text, '')), 1, 12) AS paper_uid, arg_min('Corpus/' || source || '/' || doc_id || '.PDF', (lower('Corpus/' || source || '/' || doc_id || '.PDF'), 'Corpus/' || source || '/' || doc_id || '.PDF')) AS path FROM documents GROUP BY 1",
+    "artifact_names": f"""WITH {ctes('manifest')}, n AS (SELECT paper_uid, CASE WHEN year % 5 <> 0 THEN paper_uid || '__' || {_slug_sql('pdf_path', 60)} ELSE {_slug_sql("title || ' – __' || pdf_path || '!'", 20)} END AS name,
+  CASE WHEN year % 7 = 0 THEN upper(paper_uid) ELSE paper_uid END AS shown FROM manifest)
+SELECT paper_uid, name, CASE WHEN regexp_full_match(name, '[0-9a-f]{{12}}__.+') THEN left(name, 12) END AS uid, CASE WHEN regexp_full_match(name, '[0-9a-f]{{12}}__.+') THEN substr(name, 15) END AS slug, regexp_full_match(shown, '[0-9a-f]{{12}}') AS known FROM n""",
     "manifest_upsert": f"WITH {ctes('manifest', 'updates')} SELECT * FROM (SELECT coalesce(m.paper_uid, u.paper_uid) AS paper_uid, "
     + ", ".join(f"coalesce(nullif(CASE WHEN trim(u.{c}) <> '' THEN u.{c} END, ''), m.{c}) AS {c}" for c in ("pdf_path", "slug", "doi", "title"))
     + ", coalesce(u.year, m.year) AS year FROM manifest m FULL JOIN updates u ON m.paper_uid = u.paper_uid) WHERE paper_uid IN (SELECT paper_uid FROM manifest WHERE year % 9 <> 0 UNION SELECT paper_uid FROM updates)",
