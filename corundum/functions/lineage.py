@@ -29,6 +29,8 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared folder; what follows reads them from there, and only the columns it needs."""
     spark = df.sparkSession
     folder = scratch(spark)
+    if any("void" in kind for _, kind in df.dtypes):  # which Parquet doesn't know
+        return df.checkpoint(eager=True)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

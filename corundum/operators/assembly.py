@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import cut
 from corundum.functions.scalars import blank, filled, moisture_basis_norm, normalize_paper_path, paper_identity, rounded
 from corundum.schema import COLUMNS, OUTPUT
 
@@ -345,11 +346,12 @@ def postprocess_hooks(records: DataFrame, hooks: Iterable[Callable[[DataFrame],
 
 def assemble_records(records: DataFrame, papers: DataFrame | None = None, doi_map=None, rules=(), hooks=(), aliases=None, bounds: dict = BOUNDS) -> DataFrame:
     """The assembled table from flat records: overrides, hooks, names, metadata, merge, tangent, bounds, duplicates."""
-    r = postprocess_hooks(apply_overrides(records, doi_map, rules), hooks)
+    # Written before names are counted and before halves are grouped, as both read the rows twice.
+    r = cut(postprocess_hooks(apply_overrides(records, doi_map, rules), hooks))
     r = canonical_materials(r, aliases)
     if papers is not None:
         r = resolve_metadata(r, papers)
-    return dedup_records(validate_bounds(loss_tangent(merge_split(r)), bounds))
+    return dedup_records(validate_bounds(loss_tangent(merge_split(cut(r))), bounds))
 
 
 def assemble(artifacts: DataFrame, papers: DataFrame, **options) -> DataFrame:
