@@ -42,6 +42,12 @@ def counted(df: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     return out, (seen.get["n"], seen.get["x"])
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A narrow table, written and counted, with the hint to broadcast it if it has no more rows than `most` (of some 100 bytes)."""
+    out, (n, _) = counted(df)
+    return F.broadcast(out) if n <= most else out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of an undirected edge list (a, b); root is the smallest node that can be reached.
 

@@ -247,14 +247,9 @@ def bound_violations(records: DataFrame, bounds: dict = BOUNDS) -> DataFrame:
     return records.select(paper_identity().alias("paper_key"), "material_name", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("v")).select("paper_key", "material_name", "v.field", "v.value")
 
 
-def dedup_records(records: DataFrame) -> DataFrame:
-    """Keep the best source of equal measurements, then drop incomplete rows beside complete ones and unknown-moisture rows beside known ones.
-
-    A row without frequency or temperature is never dropped by the last two steps: NULL equals nothing there."""
-    provenance, source = _lower("data_provenance"), _lower("extraction_source")
-    priority = F.create_map(*[F.lit(x) for kv in PROVENANCE.items() for x in kv])[provenance]
-    second = F.create_map(*[F.lit(x) for kv in SOURCE.items() for x in kv])[source]
-    key = {
+def condition_key() -> dict[str, Column]:
+    """What two rows of one measurement condition have in common."""
+    return {
         "k_paper": paper_identity(),
         "k_material": _lower("material_name"),
         "k_frequency": rounded("frequency_mhz"),
@@ -264,6 +259,16 @@ def dedup_records(records: DataFrame) -> DataFrame:
         "k_salt": _lower("salt_content"),
         "k_conductivity": rounded(F.coalesce("electrical_conductivity_s_m", F.lit(-1.0)), 4),
     }
+
+
+def dedup_records(records: DataFrame) -> DataFrame:
+    """Keep the best source of equal measurements, then drop incomplete rows beside complete ones and unknown-moisture rows beside known ones.
+
+    A row without frequency or temperature is never dropped by the last two steps: NULL equals nothing there."""
+    provenance, source = _lower("data_provenance"), _lower("extraction_source")
+    priority = F.create_map(*[F.lit(x) for kv in PROVENANCE.items() for x in kv])[provenance]
+    second = F.create_map(*[F.lit(x) for kv in SOURCE.items() for x in kv])[source]
+    key = condition_key()
     exact = {"k_constant": rounded("dielectric_constant", 1), "k_loss": rounded("loss_factor", 1)}
     order = [F.coalesce(priority, second, F.lit(4)), *[F.col(c).asc_nulls_last() for c in COLUMNS if c in records.columns]]
     first = F.row_number().over(Window.partitionBy(*key, *exact).orderBy(*order)) == 1

@@ -71,8 +71,21 @@ def _rule(name: str):
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _records(spark, sf_dir)
-    return Q.audit_review_requests(Q.audit_report(r), r).select("paper_key", "n_flags", F.size(F.split("prompt", "\n")).cast("long").alias("lines"))
+    r = cut(_records(spark, sf_dir))
+    parts, lines = F.split("prompt", "\nROWS\n"), lambda c: F.size(F.split(c, "\n")).cast("long")
+    pages = Q.audit_review_requests(Q.audit_report(r), r).select("paper_key", "n_flags", lines(parts[0]).alias("listed"), lines(parts[1]).alias("rows"))
+    # Every page has a head and repeats the paper's rows.
+    return pages.groupBy("paper_key").agg(F.sum("n_flags").alias("n_flags"), (F.sum(F.col("listed") - 1) + F.max("rows") + 2).alias("lines"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of at most 20 flags: how many each has, its first and last number, and whether its numbers follow one another."""
+    r = cut(_records(spark, sf_dir))
+    pages = Q.audit_review_requests(Q.audit_report(r), r, page=20)
+    number = F.transform(F.regexp_extract_all("prompt", F.lit(r"(?m)^Flag (\d+): "), 1), lambda x: x.cast("long"))
+    pages = pages.withColumn("numbers", number)
+    first, last = F.col("numbers")[0], F.element_at("numbers", -1)
+    return pages.select("paper_key", "page", "n_flags", first.alias("first"), last.alias("last"), (F.col("numbers") == F.sequence(first, last)).alias("in_order"))
 
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +219,7 @@ QUERIES = {name: _rule(name) for name in FLAGS} | {
     "audit_report": lambda spark, sf_dir: Q.audit_report(_records(spark, sf_dir)).select(*CARRIED, "severity", "rule_id"),
     "audit_summary": lambda spark, sf_dir: Q.audit_summary(Q.audit_report(_records(spark, sf_dir)).withColumn("verdict", F.expr(VERDICT))),
     "audit_review_requests": _requests,
+    "audit_review_pages": _pages,
     "audit_apply_verdicts": _verdicts,
     "filter_to_reference_papers": _two(lambda g, p: V.filter_to_reference_papers(g, p).groupBy("paper_key").agg(F.count("*").alias("n"))),
     "filter_to_reference_frequencies": _two(lambda g, p: V.filter_to_reference_frequencies(g, p).groupBy("paper_key", "frequency_mhz").agg(F.count("*").alias("n"))),
@@ -224,6 +238,8 @@ ORACLES = {name: f"{IN} " + " UNION ALL ".join(v) for name, v in FLAGS.items()}
     "audit_report": f"{IN} {ALL}",
     "audit_summary": f"{IN} SELECT severity, rule_id, count(*) AS flags, count(DISTINCT title) AS titles, count(*) FILTER (v = 'LIKELY_ERROR') AS likely_error, count(*) FILTER (v = 'POSSIBLY_OK') AS possibly_ok, count(*) FILTER (v = 'FALSE_ALARM') AS false_alarm FROM (SELECT *, {VERDICT} AS v FROM ({ALL})) GROUP BY 1, 2",
     "audit_review_requests": f"{IN} SELECT paper_key, f.n AS n_flags, 2 + f.n + least(30, r.n) AS lines FROM (SELECT paper_key, count(*) AS n FROM ({ALL}) WHERE severity <> 'INFO' GROUP BY 1) f JOIN (SELECT paper_key, count(*) AS n FROM k GROUP BY 1) r USING (paper_key)",
+    "audit_review_pages": f"""{IN}, f AS (SELECT paper_key, count(*) AS n FROM ({ALL}) WHERE severity <> 'INFO' GROUP BY 1), p AS (SELECT paper_key, n, unnest(range(0, (n + 19) // 20)) AS page FROM f)
+SELECT paper_key, page, least(20, n - 20 * page) AS n_flags, 20 * page + 1 AS first, least(n, 20 * page + 20) AS last, TRUE AS in_order FROM p""",
     "audit_apply_verdicts": f"{IN} SELECT paper_key, q::INT AS n, CASE q WHEN 1 THEN 'LIKELY_ERROR' WHEN 2 THEN 'FALSE_ALARM' WHEN 11 THEN 'POSSIBLY_OK' END AS verdict, CASE q WHEN 1 THEN 'wrong column' WHEN 2 THEN 'fine' WHEN 11 THEN 'ok' END AS reason, count(*) AS flags FROM (SELECT paper_key, ROW_NUMBER() OVER (PARTITION BY paper_key) AS q FROM ({' UNION ALL '.join(FLAGS['audit_swap'])})) GROUP BY paper_key, q",
     "filter_to_reference_papers": f"{GP} SELECT paper_key, count(*) AS n FROM pred WHERE paper_key IN (SELECT paper_key FROM gold) GROUP BY 1",
     "filter_to_reference_frequencies": f"{GP}, a AS (SELECT DISTINCT paper_key, frequency_mhz AS f FROM gold) SELECT paper_key, frequency_mhz, count(*) AS n FROM pred p WHERE frequency_mhz IS NULL OR NOT EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key) OR EXISTS (SELECT 1 FROM a WHERE a.paper_key = p.paper_key AND abs(p.frequency_mhz - f) / f <= 0.05::DOUBLE) GROUP BY 1, 2",

@@ -13,6 +13,7 @@ from corundum.plans.assembly_queries import COLS, artifacts, dedup, merge
 from corundum.plans.fixtures import ctes, frame
 from corundum.schema import COLUMNS, OUTPUT
 from corundum.sources import corpus, tables
+from corundum.streaming import runs
 
 PRICES = [("small", 0.25, 1.25), ("large", 3.0, 15.0)]
 
@@ -94,6 +95,23 @@ def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*text).groupBy(*COLUMNS).agg(F.count("*").alias("n"))
 
 
+def _append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of every second year, to which the other years are added bucket by bucket."""
+    r, folder = frame(spark, sf_dir, "records"), scratch(spark)
+    for rows in (r.where("year % 2 = 0"), r.where("year % 2 <> 0")):
+        tables.append_to_table(rows, folder, 8)
+    return tables.read_table(spark, folder)
+
+
+def _fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in six files, shuffled, that a stream takes two at a time."""
+    folder, e = scratch(spark), frame(spark, sf_dir, "checkpoint_events")
+    e.repartition(6, F.xxhash64("event_id", F.lit("file"))).write.parquet(f"{folder}/in")
+    events = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    runs.fold_stream(events, f"{folder}/out", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
+    return runs.current_state(spark, f"{folder}/out")
+
+
 def _reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     r = frame(spark, sf_dir, "records").select("*", F.coalesce(F.nullif("source_table", F.lit("")), F.lit("Table 0")).alias("table_id"), F.when(F.col("data_provenance") == "vision_table", "image").when(F.col("extraction_model") == "model-0", "image").otherwise("text").alias("read"))
     t = r.groupBy("paper_uid", "paper_id", "table_id").agg((F.count("*") / 2).cast("bigint").alias("n_rows")).groupBy("paper_uid", "table_id").agg(F.sum("n_rows").alias("n_rows"))
@@ -163,6 +181,7 @@ QUERIES = {
     "load_predictions": _predictions,
     "export_dataset": _export,
     "append_assemble": lambda spark, sf_dir: tables.append_assemble(frame(spark, sf_dir, "records").where("year % 2 = 0"), frame(spark, sf_dir, "records").where("year % 2 <> 0")),
+    "append_table": _append_table,
     "dataset_fingerprint": _with(tables.dataset_fingerprint, "records"),
     "filter_cited": _with(C.filter_cited, "records", "papers"),
     "filter_text_records": lambda spark, sf_dir: C.filter_text_records(frame(spark, sf_dir, "records"), _told(spark, sf_dir), _headed(spark, sf_dir)),
@@ -171,6 +190,7 @@ QUERIES = {
     "cost_ledger": _costs,
     "cost_rollup": lambda spark, sf_dir: S.cost_rollup(_costs(spark, sf_dir)),
     "checkpoint_fold": _with(S.checkpoint_fold, "checkpoint_events"),
+    "checkpoint_stream": _fold_stream,
     "checkpoint_summary": lambda spark, sf_dir: S.checkpoint_summary(S.checkpoint_fold(frame(spark, sf_dir, "checkpoint_events"))),
     "cost_estimate": _with(S.cost_estimate, "orders", unit_costs={"screen": 0.005, "text": 0.1, "table": 0.15}, discount=0.5),
     "route_responses": _with(S.route_responses, "requests", "responses"),
@@ -196,6 +216,7 @@ SELECT file_name, paper_uid, kind, score FROM (SELECT *, ROW_NUMBER() OVER (PART
     "load_predictions": f"WITH {ctes('pred')} SELECT pred_id, paper_key, CASE WHEN salt_content = '0.5 S/m' THEN NULL ELSE salt_content END AS salt_content, CASE WHEN salt_content = '0.5 S/m' THEN 0.5 ELSE electrical_conductivity_s_m END AS electrical_conductivity_s_m FROM pred",
     "export_dataset": f"{REC} SELECT {', '.join(('' + chr(39) * 2 if c == 'journal' else f'coalesce({c}, ' + chr(39) * 2 + ')') + f' AS {c}' if t == 'string' else c for c, t in OUTPUT)}, 2 * count(*) AS n FROM records GROUP BY ALL",
     "append_assemble": f"{REC} {dedup('records')}",
+    "append_table": f"{REC} {dedup('records')}",
     "dataset_fingerprint": f"{REC} SELECT paper_uid, count(*) AS n, count(DISTINCT extraction_model) AS models, sha256(concat_ws(',', {SUMS})) AS sha256 FROM (SELECT *, {HASH} AS h FROM records) GROUP BY 1",
     "filter_cited": f"{RP}, j AS ({JOINED}) SELECT CASE WHEN NOT contains(lower(source_table), 'regression') AND {FOREIGN} THEN m[1] ELSE material_name END AS material_name, {', '.join(COLUMNS[1:])} FROM j WHERE (dielectric_constant IS NOT NULL OR loss_factor IS NOT NULL) AND source_table <> '' AND (contains(lower(source_table), 'regression') OR ({FREQ_OK.format(k='list_concat(f, [915e0, 2450e0])')} AND (NOT {FOREIGN} OR len(m) <= 2)))",
     "filter_text_records": f"{RP}, j AS ({TOLD}) SELECT {COLS} FROM j WHERE dielectric_constant IS NOT NULL AND loss_factor IS NOT NULL AND {FREQ_OK.format(k='f')}",
@@ -204,6 +225,7 @@ SELECT file_name, paper_uid, kind, score FROM (SELECT *, ROW_NUMBER() OVER (PART
     "cost_ledger": f"WITH {ctes('usage')} SELECT *, {COST} AS cost_usd FROM usage",
     "cost_rollup": f"WITH {ctes('usage')} SELECT paper, stage, sum(input_tokens)::BIGINT AS input_tokens, sum(output_tokens)::BIGINT AS output_tokens, round(sum({COST}), 6) AS cost_usd FROM usage GROUP BY GROUPING SETS ((paper), (stage), ())",
     "checkpoint_fold": f"WITH {ctes('checkpoint_events')} {FOLD}",
+    "checkpoint_stream": f"WITH {ctes('checkpoint_events')} {FOLD}",
     "checkpoint_summary": f"WITH {ctes('checkpoint_events')}, f AS ({FOLD}) SELECT status, count(*) AS cnt FROM f GROUP BY 1",
     "cost_estimate": "SELECT stage, round(n * unit * 0.5, 6)::DOUBLE AS cost FROM (SELECT count(*) AS n FROM orders), (VALUES ('screen', 0.005), ('text', 0.1), ('table', 0.15)) v(stage, unit)",
     "route_responses": f"""WITH {ctes('requests', 'responses')}, j AS (SELECT q.*, r.n_records, CASE WHEN r.custom_id IS NULL THEN 'unit ' || unit_no || ': no response' WHEN trim(text) = '' THEN 'unit ' || unit_no || ': empty response' WHEN NOT response_complete THEN 'unit ' || unit_no || ': incomplete response' END AS reason

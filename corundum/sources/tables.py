@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corundum.functions.lineage import cut
 from corundum.functions.scalars import extract_mean, normalize_paper_label
-from corundum.operators.assembly import assemble, coverage_ledger, coverage_summary, dedup_records, stable_order
-from corundum.schema import OUTPUT
+from corundum.operators.assembly import assemble, condition_key, coverage_ledger, coverage_summary, dedup_records, stable_order
+from corundum.schema import COLUMNS, OUTPUT, OUTPUT_SCHEMA
 
 REQUIRED = ("paper_id", "frequency_mhz", "temperature_c", "dielectric_constant", "loss_factor")
 #: Other names of reference columns (fixed values).
@@ -82,10 +83,43 @@ def assembly_job(artifacts: DataFrame, papers: DataFrame, path: str, strict: boo
     return {"table": table, "fingerprint": dataset_fingerprint(table), "ledger": ledger, "summary": coverage_summary(ledger, strict)}
 
 
+def _output(df: DataFrame) -> DataFrame:
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in OUTPUT])
+
+
 def append_assemble(existing: DataFrame, new: DataFrame) -> DataFrame:
     """The existing table with new rows, deduplicated anew; usable as the body of foreachBatch."""
-    cols = lambda d: d.select(*[(F.col(c) if c in d.columns else F.lit(None)).cast(t).alias(c) for c, t in OUTPUT])
-    return dedup_records(cols(existing).unionByName(cols(new)))
+    return dedup_records(_output(existing).unionByName(_output(new)))
+
+
+#: Buckets of a maintained table unless said otherwise. It is the table's for good; take so many that a bucket is some gigabytes.
+BUCKETS = 64
+
+
+def append_to_table(new: DataFrame, path: str, buckets: int = BUCKETS) -> list[int]:
+    """Add rows to the deduplicated Parquet table under `path`, made if absent; returns the buckets that were rewritten.
+
+    The table is partitioned by a hash of the measurement condition without its moisture, the coarsest key by which rows displace one another. So
+    rows of other buckets can't change: only the buckets that the new rows touch are read, deduplicated with them and overwritten. A row that was dropped
+    before stays dropped, as what displaced it, or something better, is still there; the table equals that of all rows at once, and the same rows
+    may come again. One writer at a time; a batch whose write fails is repeated whole. An empty `new` changes nothing."""
+    spark = new.sparkSession
+    key = condition_key()
+    bucket = F.pmod(F.xxhash64(*[v for k, v in key.items() if k != "k_moisture"]), F.lit(buckets)).cast("int")
+    rows = cut(_output(new).withColumn("bucket", bucket))
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+    if touched:
+        rows.limit(0).write.mode("append").partitionBy("bucket").parquet(path)  # the folder, where there is none
+        before = spark.read.schema(f"{OUTPUT_SCHEMA}, bucket int").parquet(path).where(F.col("bucket").isin(touched))
+        # Written elsewhere first, as Spark can't overwrite what it reads.
+        merged = cut(dedup_records(before.unionByName(rows)))
+        merged.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
+    return touched
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a maintained table."""
+    return spark.read.schema(f"{OUTPUT_SCHEMA}, bucket int").parquet(path).select(*COLUMNS)
 
 
 def dataset_fingerprint(df: DataFrame, by: str = "paper_uid") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corundum.functions import scalars as S
 from corundum.functions.lineage import scratch
 from corundum.operators import assembly as A
+from corundum.operators import audit as Q
 from corundum.operators import equations as E
 from corundum.operators import evaluation as V
 from corundum.operators import responses as R
@@ -19,6 +20,7 @@ from corundum.operators import text as T
 from corundum.operators.flows import cheapest_flow, numbered
 from corundum.schema import COLUMNS, OUTPUT
 from corundum.sources import corpus, tables
+from corundum.streaming import runs
 
 SCHEMA = ", ".join(f"{c} {t}" for c, t in OUTPUT)
 
@@ -440,3 +442,68 @@ def test_append_in_a_stream(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).writeStream.foreachBatch(body).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     stream.awaitTermination(60)
     assert sorted(map(str, seen[-1].collect())) == sorted(map(str, A.dedup_records(frame(spark, *rows)).collect()))
+
+
+def table_rows(df):
+    return sorted(df.select(*COLUMNS).collect(), key=repr)
+
+
+def test_append_rewrites_touched_buckets_only(spark, tmp_path):
+    """The files of other buckets stay, repeated batches and empty ones change nothing, and the table is that of all rows at once."""
+    path = str(tmp_path / "table")
+    old = [record(material_name=f"m{k}", dielectric_constant=50.0 + k % 3, loss_factor=5.0 if k % 4 else None, moisture_content_pct=None if k % 2 else 80.0) for k in range(60)]
+    new = [record(material_name="m7", dielectric_constant=51.0, loss_factor=6.0, moisture_content_pct=70.0), record(material_name="m8", loss_factor=9.0, frequency_mhz=None)]
+    assert tables.append_to_table(frame(spark), path, 16) == [] and len(tables.append_to_table(frame(spark, *old), path, 16)) > 8
+    files = lambda: {f for f in (tmp_path / "table").rglob("*.parquet")}
+    before, touched = files(), tables.append_to_table(frame(spark, *new), path, 16)
+    assert len(touched) <= 2
+    assert {f for f in before - files()} == {f for f in before if int(f.parent.name.split("=")[1]) in touched}
+    want = table_rows(A.dedup_records(frame(spark, *old, *new)))
+    assert table_rows(tables.read_table(spark, path)) == want
+    assert tables.append_to_table(frame(spark, *new), path, 16) == touched and tables.append_to_table(frame(spark), path, 16) == []
+    assert table_rows(tables.read_table(spark, path)) == want
+
+
+def test_append_stream(spark, tmp_path):
+    rows = [record(material_name=f"m{k % 5}", dielectric_constant=50.0, loss_factor=None if k % 3 else 5.0, data_provenance="measured_table" if k % 2 else "text") for k in range(30)]
+    frame(spark, *rows).repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    runs.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "c"), 4).trigger(availableNow=True).start().awaitTermination()
+    assert table_rows(tables.read_table(spark, str(tmp_path / "out"))) == table_rows(A.dedup_records(frame(spark, *rows)))
+
+
+def test_fold_stream_takes_late_events_and_goes_on(spark, tmp_path):
+    """Events that arrive late, tie in time or come after a restart end in the batch result."""
+    schema = "paper string, event_id long, ts long, status string, pdf_path string, screen_time long, error_message string, cost_cents long"
+    rows = [(f"p{k % 3}", k, k // 4, f"s{k}", f"f{k}" if k % 5 == 0 else " ", k if k % 7 == 0 else None, None, k) for k in range(40)]
+    for part, keep in enumerate((lambda k: k >= 20, lambda k: k % 2, lambda k: not k % 2)):
+        batch = [r for r in rows if (r[1] >= 20) == (part == 0) and (part == 0 or keep(r[1]))]
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        runs.fold_stream(events, str(tmp_path / "out"), str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    want = R_STATE.checkpoint_fold(spark.createDataFrame(rows, schema))
+    assert sorted(runs.current_state(spark, str(tmp_path / "out")).select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_requests_are_bounded_and_lose_no_flag(spark):
+    """A paper with many flags, equal ones too, has pages whose numbers go on; row limits hold for each paper."""
+    rows = [record(dielectric_constant=0.5, loss_factor=1.0, temperature_c=float(k % 50)) for k in range(500)] + [record(paper_uid="b" * 12, dielectric_constant=0.2, loss_factor=-1.0)]
+    r = frame(spark, *rows)
+    flags = Q.audit_negative(r)
+    got = Q.audit_review_requests(flags, r, limit=7, page=60).collect()
+    assert sorted((x.paper_key[0], x.page, x.n_flags) for x in got) == [("a", k, min(60, 500 - 60 * k)) for k in range(9)] + [("b", 0, 2)]
+    assert all(len(x.prompt.split("\nROWS\n")[1].split("\n")) == (7 if x.paper_key[0] == "a" else 1) for x in got)
+    numbered = Q.number_flags(flags).collect()
+    assert sorted(x.n for x in numbered if x.paper_key[0] == "a") == list(range(1, 501)) and len(numbered[0]) == len(flags.columns) + 1
+    assert Q.audit_review_requests(flags.limit(0), r).count() == 0
+
+
+def test_condition_rules_take_null_keys_and_ties(spark):
+    """Groups whose keys are NULL are groups as well; the first row of equal ones is named, and the lowest frequency of the largest value."""
+    none = {"temperature_c": None, "moisture_content_pct": None}
+    rows = [record(**none, frequency_mhz=f, dielectric_constant=d, loss_factor=1.0, source_table=t) for f, d, t in ((27.0, 10.0, "T2"), (27.0, 10.0, "T1"), (2450.0, 60.0, "T3"), (915.0, 60.0, "T4"), (915.0, 30.0, "T5"))]
+    got = {x.rule_id: x for x in Q.audit_report(frame(spark, *rows)).collect() if x.severity == "CRITICAL"}
+    assert set(got) == {"FREQ_INVERSION", "DUPLICATE_DIVERGE"}
+    assert got["FREQ_INVERSION"].source_table == "T1" and "at 915 MHz" in got["FREQ_INVERSION"].description
+    assert got["DUPLICATE_DIVERGE"].source_table == "T5" and got["DUPLICATE_DIVERGE"].current_value == "30.0–60.0"
+    assert Q.audit_report(frame(spark)).count() == 0
