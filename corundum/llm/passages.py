@@ -1,7 +1,8 @@
 """Passages that repeat across documents, by MinHash banding of paragraphs and by anchors of the word sequence.
 
-Paragraphs cover every word of a text of LEAST words or more: a line of so many words is one, and runs of shorter lines are joined
-into blocks of so many, which end where a line's own checksum says so, wherever the run began. Their signatures are banded (16 bands of 5
+A line of LEAST words or more is a paragraph, and runs of shorter lines are joined into blocks of so many, which end where a line's own
+checksum says so, wherever the run began; what is left of such a run before a long line or at the end of the text has fewer words and is in
+no paragraph, only in the word sequence below. Their signatures are banded (16 bands of 5
 rows: a pair of similarity 0.8 collides with probability 0.998), colliding ones are compared by exact Jaccard similarity of five-word
 shingles, and links form components of which all but the first paragraph are removed.
 
@@ -20,14 +21,17 @@ result."""
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corundum.llm._spark import cut
-from corundum.llm._words import hashed_rows, mix, text_bytes
+from corundum.llm._spark import cut, shared_folder
+from corundum.llm._words import hashed_rows, mix, runs, text_bytes
 from corundum.llm.minhash import near_duplicates
 
 LEAST, RUN, GAP = 40, 35, 8
@@ -54,17 +58,36 @@ def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return first, key[first].view(np.int64), before.view(np.int64), after.view(np.int64)
 
 
-def _anchor_udf(run: int):
-    @F.arrow_udf("array<struct<first:int,key:bigint,before:bigint,after:bigint>>")
-    def split(column: pa.Array) -> pa.Array:
+def _parts(docs: DataFrame, fields: str, make: Callable[[pa.Array], tuple[list[int], list[pa.Array]]]) -> DataFrame:
+    """doc_id and `fields` of the rows that `make` gives for texts, written once.
+
+    make gets about a megabyte of whole texts at a time and returns how many rows each has and their columns, so a task holds one batch of
+    texts and little more. The rows are written as Parquet, of which later steps read the columns they need."""
+    spark = docs.sparkSession
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))])
+            for lo, hi in runs(at):
+                counts, columns = make(texts.slice(lo, hi - lo))
+                owner = pa.array(np.repeat(np.arange(lo, hi), counts))
+                yield pa.RecordBatch.from_arrays([ids.take(owner), *columns], names=schema.names)
+
+    folder = shared_folder(spark)
+    docs.select("doc_id", "text").mapInArrow(run, schema).write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def _anchor_rows(run: int) -> Callable[[pa.Array], tuple[list[int], list[pa.Array]]]:
+    def make(texts: pa.Array) -> tuple[list[int], list[pa.Array]]:
         none = (np.zeros(0, np.int64),) * 4
-        found = [anchors(h) if len(h) >= max(run, WIDE + SPREAD - 1) else none for h in hashed_rows(column)]
-        ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32)
+        found = [anchors(h) if len(h) >= max(run, WIDE + SPREAD - 1) else none for h in hashed_rows(texts)]
         first, *rest = (np.concatenate([x[i] for x in found]) if found else none[0] for i in range(4))
-        rows = pa.StructArray.from_arrays([pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)], ["first", "key", "before", "after"])
-        return pa.ListArray.from_arrays(pa.array(ends), rows)
+        return [len(x[0]) for x in found], [pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)]
 
-    return split
+    return make
 
 
 def _along(a: str, b: str) -> Column:
@@ -97,22 +120,19 @@ def paragraphs(text: bytes, least: int) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def _paragraph_udf(least: int):
-    @F.arrow_udf("array<struct<position:bigint,n_words:bigint,para:string>>")
-    def split(column: pa.Array) -> pa.Array:
-        b, at = text_bytes(column)
+def _paragraph_rows(least: int) -> Callable[[pa.Array], tuple[list[int], list[pa.Array]]]:
+    def make(texts: pa.Array) -> tuple[list[int], list[pa.Array]]:
+        b, at = text_bytes(texts)
         found = [paragraphs(b[at[k] : at[k + 1]].tobytes(), least) for k in range(len(at) - 1)]
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         rows = [r for x in found for r in x]
-        parts = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].decode() for r in rows], pa.string())]
-        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(parts, ["position", "n_words", "para"]))
+        return [len(x) for x in found], [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].decode() for r in rows], pa.string())]
 
-    return split
+    return make
 
 
 def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, position (first word), n_words, component_id (document of the kept paragraph), removed."""
-    paras = docs.select("doc_id", F.explode(_paragraph_udf(least)("text")).alias("p")).select(F.struct("doc_id", "p.position", "p.n_words").alias("pid"), "p.para")
+    paras = _parts(docs, "position bigint, n_words bigint, para string", _paragraph_rows(least)).select(F.struct("doc_id", "position", "n_words").alias("pid"), "para")
     found = cut(near_duplicates(paras, width=5, percent=80, bands=BANDS, rows=ROWS, key="pid", text="para").select("pid", "component_id").distinct())
     gone = found.where("pid <> component_id")
     heads = found.join(gone.select(F.col("component_id").alias("pid")).distinct(), "pid", "left_semi")
@@ -122,7 +142,7 @@ def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
     """doc_id, position (first word), n_words, component_id (first document that has most of it), removed."""
-    s = cut(docs.select("doc_id", _anchor_udf(run)("text").alias("s"))).select("doc_id", F.explode("s").alias("s")).select("doc_id", "s.first", "s.key", "s.before", "s.after")
+    s = _parts(docs, "first int, key bigint, before bigint, after bigint", _anchor_rows(run))
     twice = s.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     hit = cut(s.join(twice, "key").distinct())
     # The words beside an anchor in its first and last document; a document is compared with those of the two that it is not.
