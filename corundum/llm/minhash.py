@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corundum.llm._spark import components, counted, cut, small
-from corundum.llm._words import hashed_rows, shingles
+from corundum.llm._words import hashed_blocks, shingle_sets
 
 BANDS, ROWS = 72, 8
 #: Places of the first permutation; shingles beyond so many in one text share places, which only adds candidates.
@@ -41,12 +41,22 @@ def _circle(coordinates: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([order, order[: coordinates - 1]]), coordinates)
 
 
-def signature(sets: np.ndarray, coordinates: int) -> np.ndarray:
-    """Circulant MinHash of one set of 64-bit shingle hashes."""
-    circle, place = _circle(coordinates), (sets >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
-    low = np.full(coordinates, np.iinfo(np.uint32).max, np.uint32)
-    for k in range(0, len(place), 128):
-        np.minimum(low, circle[place[k : k + 128]].min(0), out=low)
+def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
+    """Circulant MinHash of sets of 64-bit shingle hashes, a row for each, none of which is empty."""
+    circle, place = _circle(coordinates), (np.concatenate(sets) >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
+    low = np.full((len(sets), coordinates), np.iinfo(np.uint32).max, np.uint32)
+    ends, step = np.cumsum([len(x) for x in sets]), max(128, (1 << 17) // coordinates)
+    row = at = 0
+    while at < len(place):
+        upto = min(at + step, len(place))
+        slices = circle[place[at:upto]]
+        lo = at
+        while lo < upto:
+            hi = min(int(ends[row]), upto)
+            np.minimum(low[row], slices[lo - at : hi - at].min(0), out=low[row])
+            row += hi == ends[row]
+            lo = hi
+        at = upto
     return low
 
 
@@ -64,14 +74,14 @@ def sketcher(width: int, bands: int, rows: int):
     @F.arrow_udf("struct<digest:binary,n_shingles:bigint,bands:array<bigint>>")
     def sketch(text: pa.Array) -> pa.Array:
         digests, counts, low, has = [], [], [], []
-        for h in hashed_rows(text):
-            sets = shingles(h, width)
-            digests.append(hashlib.md5(h.tobytes()).digest())
-            counts.append(len(sets))
-            if len(sets):
-                low.append(signature(sets, bands * rows))
-            has.append(bool(len(sets)))
-        keys = band_keys(np.array(low), bands, rows).ravel() if low else np.zeros(0, np.int64)
+        for h, cuts in hashed_blocks(text):
+            sets = shingle_sets(h, cuts, width)
+            digests += [hashlib.md5(h[lo:hi].tobytes()).digest() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+            counts += [len(x) for x in sets]
+            has += [bool(len(x)) for x in sets]
+            if some := [x for x in sets if len(x)]:
+                low.append(band_keys(signatures(some, bands * rows), bands, rows).ravel())
+        keys = np.concatenate(low) if low else np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(np.array(has, np.int64) * bands)]).astype(np.int32)
         return pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], ["digest", "n_shingles", "bands"])
 
@@ -81,7 +91,7 @@ def sketcher(width: int, bands: int, rows: int):
 def shingle_rows(width: int):
     @F.arrow_udf("array<bigint>")
     def split(text: pa.Array) -> pa.Array:
-        sets = [shingles(h, width).view(np.int64) for h in hashed_rows(text)]
+        sets = [x.view(np.int64) for h, cuts in hashed_blocks(text) for x in shingle_sets(h, cuts, width)]
         ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
 

@@ -21,7 +21,7 @@ result."""
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corundum.llm._spark import cut, shared_folder
-from corundum.llm._words import hashed_rows, mix, runs, text_bytes
+from corundum.llm._spark import cut, remove_folder, shared_folder
+from corundum.llm._words import hashed_blocks, mix, runs, text_bytes, windows
 from corundum.llm.minhash import near_duplicates
 
 LEAST, RUN, GAP = 40, 35, 8
@@ -41,29 +41,41 @@ BESIDE = 8
 BANDS, ROWS = 16, 5
 
 
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word, key and the words before and after (nearest in the lowest byte, 0 where the text ends) of each anchor of a text's word hashes."""
-    n = len(h) - WIDE + 1
-    key = np.zeros(n, np.uint64)
-    for k in range(WIDE):
-        key = mix(key ^ h[k : k + n]) + np.uint64(k)
-    least = np.lib.stride_tricks.sliding_window_view(key, SPREAD).argmin(1)
-    first = np.unique(np.arange(len(least)) + least)
-    sign = np.zeros(len(h) + 2 * BESIDE, np.uint64)
-    sign[BESIDE:-BESIDE] = np.maximum(mix(h) >> np.uint64(56), np.uint64(1))
+def anchors(h: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word, key and the words before and after (nearest in the lowest byte, 0 where the text ends) of each anchor.
+
+    h has the word hashes of successive texts, which start at `cuts`; a text of fewer than `least` words has no anchors."""
+    length = np.diff(cuts)
+    long = length >= max(least, WIDE + SPREAD - 1)
+    if not long.any():
+        return (np.zeros(0, np.int64),) * 5
+    text = np.repeat(np.arange(len(length)), length)
+    key = windows(h, WIDE, 0)
+    # Of equal keys the first is the least, so the lowest bits are the place.
+    place = np.uint64((1 << 20) - 1)
+    rank = (key & ~place) | (np.arange(len(key), dtype=np.uint64) & place)
+    n = len(rank) - SPREAD + 1
+    least_of = np.minimum.reduce([rank[k : k + n] for k in range(SPREAD)])
+    least_of[(text[:n] != text[WIDE + SPREAD - 2 :]) | ~long[text[:n]]] = 0
+    least_of = np.pad(least_of, SPREAD - 1)
+    chosen = np.maximum.reduce([least_of[k : k + len(rank)] for k in range(SPREAD)])
+    first = np.flatnonzero((chosen == rank) & (chosen > 0))
+    owner = text[first]
+    sign = np.zeros(len(h) + BESIDE * (len(length) + 1), np.uint64)
+    sign[np.arange(len(h)) + BESIDE * (text + 1)] = np.maximum(mix(h) >> np.uint64(56), np.uint64(1))
+    at = first + BESIDE * (owner + 1)
     before, after = np.zeros(len(first), np.uint64), np.zeros(len(first), np.uint64)
     for k in range(BESIDE):
-        before |= sign[first + BESIDE - 1 - k] << np.uint64(8 * k)
-        after |= sign[first + BESIDE + WIDE + k] << np.uint64(8 * k)
-    return first, key[first].view(np.int64), before.view(np.int64), after.view(np.int64)
+        before |= sign[at - 1 - k] << np.uint64(8 * k)
+        after |= sign[at + WIDE + k] << np.uint64(8 * k)
+    return owner, first - cuts[owner], key[first].view(np.int64), before.view(np.int64), after.view(np.int64)
 
 
-def _parts(docs: DataFrame, fields: str, make: Callable[[pa.Array], tuple[list[int], list[pa.Array]]]) -> DataFrame:
-    """doc_id and `fields` of the rows that `make` gives for texts, written once.
+def _parts(docs: DataFrame, fields: str, make: Callable[[pa.Array], tuple[Sequence[int], list[pa.Array]]]) -> DataFrame:
+    """doc_id and `fields` of the rows that `make` gives for texts.
 
     make gets about a megabyte of whole texts at a time and returns how many rows each has and their columns, so a task holds one batch of
-    texts and little more. The rows are written as Parquet, of which later steps read the columns they need."""
-    spark = docs.sparkSession
+    texts and little more."""
     schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,17 +87,18 @@ def _parts(docs: DataFrame, fields: str, make: Callable[[pa.Array], tuple[list[i
                 owner = pa.array(np.repeat(np.arange(lo, hi), counts))
                 yield pa.RecordBatch.from_arrays([ids.take(owner), *columns], names=schema.names)
 
-    folder = shared_folder(spark)
-    docs.select("doc_id", "text").mapInArrow(run, schema).write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(schema).parquet(folder)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _anchor_rows(run: int) -> Callable[[pa.Array], tuple[list[int], list[pa.Array]]]:
-    def make(texts: pa.Array) -> tuple[list[int], list[pa.Array]]:
-        none = (np.zeros(0, np.int64),) * 4
-        found = [anchors(h) if len(h) >= max(run, WIDE + SPREAD - 1) else none for h in hashed_rows(texts)]
-        first, *rest = (np.concatenate([x[i] for x in found]) if found else none[0] for i in range(4))
-        return [len(x[0]) for x in found], [pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)]
+def _anchor_rows(run: int) -> Callable[[pa.Array], tuple[np.ndarray, list[pa.Array]]]:
+    def make(texts: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+        counts, found = [], []
+        for h, cuts in hashed_blocks(texts):
+            owner, *rest = anchors(h, cuts, run)
+            counts.append(np.bincount(owner, minlength=len(cuts) - 1))
+            found.append(rest)
+        first, *rest = (np.concatenate([x[i] for x in found]) for i in range(4))
+        return np.concatenate(counts), [pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)]
 
     return make
 
@@ -131,9 +144,15 @@ def _paragraph_rows(least: int) -> Callable[[pa.Array], tuple[list[int], list[pa
 
 
 def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, position (first word), n_words, component_id (document of the kept paragraph), removed."""
-    paras = _parts(docs, "position bigint, n_words bigint, para string", _paragraph_rows(least)).select(F.struct("doc_id", "position", "n_words").alias("pid"), "para")
+    """doc_id, position (first word), n_words, component_id (document of the kept paragraph), removed.
+
+    The paragraphs are written once, as Parquet, and deleted when their components are known."""
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    paras = _parts(docs, "position bigint, n_words bigint, para string", _paragraph_rows(least))
+    paras.write.option("compression", "zstd").parquet(folder)
+    paras = spark.read.schema(paras.schema).parquet(folder).select(F.struct("doc_id", "position", "n_words").alias("pid"), "para")
     found = cut(near_duplicates(paras, width=5, percent=80, bands=BANDS, rows=ROWS, key="pid", text="para").select("pid", "component_id").distinct())
+    remove_folder(spark, folder)
     gone = found.where("pid <> component_id")
     heads = found.join(gone.select(F.col("component_id").alias("pid")).distinct(), "pid", "left_semi")
     every = gone.withColumn("removed", F.lit(True)).unionByName(heads.withColumn("removed", F.lit(False)))
@@ -141,17 +160,20 @@ def repeated_paragraphs(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
-    """doc_id, position (first word), n_words, component_id (first document that has most of it), removed."""
-    s = _parts(docs, "first int, key bigint, before bigint, after bigint", _anchor_rows(run))
-    twice = s.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    hit = cut(s.join(twice, "key").distinct())
+    """doc_id, position (first word), n_words, component_id (first document that has most of it), removed.
+
+    All anchors are dealt out by key once. What a key's documents have in common is found where they lie, in the one order of the keys, so
+    only anchors of two documents go on, and of these no more than where they stand."""
+    s = _parts(docs.where("doc_id is not null"), "first int, key bigint, before bigint, after bigint", _anchor_rows(run))
+    same = Window.partitionBy("key")
+    hit = s.withColumns({"lo": F.min("doc_id").over(same), "hi": F.max("doc_id").over(same)}).where("lo < hi")
     # The words beside an anchor in its first and last document; a document is compared with those of the two that it is not.
-    ends = hit.where("doc_id = lo or doc_id = hi").groupBy("key").agg(*[F.min(F.when(F.col("doc_id") == F.col(d), F.struct("before", "after"))).alias(f"at_{d}") for d in ("lo", "hi")])
-    hit = hit.join(ends, "key")
+    hit = hit.withColumns({f"at_{d}": F.min(F.when(F.col("doc_id") == F.col(d), F.struct("before", "after"))).over(same) for d in ("lo", "hi")})
     for side in ("before", "after"):
         most = [F.when(F.col("doc_id") != F.col(d), _along(side, f"at_{d}.{side}")).otherwise(0) for d in ("lo", "hi")]
         hit = hit.withColumn(f"more_{side}", F.greatest(*most))
-    hit = hit.select("doc_id", "lo", (F.col("first") - F.col("more_before")).alias("start"), (F.col("first") + WIDE + F.col("more_after")).alias("end"))
+    hit = hit.select("doc_id", "lo", "first", (F.col("first") - F.col("more_before")).alias("start"), (F.col("first") + WIDE + F.col("more_after")).alias("end"))
+    hit = hit.repartition("doc_id").distinct()  # repeated rows of a document
     w = Window.partitionBy("doc_id").orderBy("start", "end", "lo")
     seen = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     hit = hit.withColumn("new", F.coalesce((F.col("start") - seen > gap).cast("int"), F.lit(1))).withColumn("nth", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))

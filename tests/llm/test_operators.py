@@ -1,6 +1,7 @@
 """The corpus operators against brute force, exact round trips, held-out rows and edge cases."""
 
 import base64
+import glob
 import hashlib
 import re
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from corundum.llm import decontaminate as D
 from corundum.llm import html_text, licenses, minhash, mixing, passages, quality, queries, sharding, toxicity, warc
 from corundum.llm._spark import shared_folder
+from corundum.llm._words import mix, shingle_sets, shingles, windows
 from tests.oracle import same
 
 SF = "/root/testdata/sf0.001"
@@ -549,6 +551,48 @@ def test_repeated_passages_whatever_lines_and_marks(spark):
     assert all(abs(r.n_words - want[i][0]) <= 1 and r.removed == (r.component_id < r.doc_id) for i, r in got.items())
 
 
+def test_runs_keep_little_on_disk(spark):
+    """Anchors are computed and dealt out by key once and spans by document once, and paragraphs are deleted when they are compared."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = passages.repeated_runs(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2 and plan.count("MapInArrow ") == 1
+    folder = shared_folder(spark).rsplit("/", 1)[0].removeprefix("file:")
+    left = set(glob.glob(f"{folder}/*/*.parquet"))
+    assert passages.repeated_paragraphs(docs).count() and set(glob.glob(f"{folder}/*/*.parquet")) == left
+
+
+def test_runs_of_rows_without_an_id(spark):
+    text = " ".join(f"w{k}" for k in range(70))
+    got = passages.repeated_runs(edge(spark, [(1, text), (None, text), (2, "other words " + text), (2, "other words " + text)])).collect()
+    assert {(r.doc_id, r.position, r.n_words, r.component_id, r.removed) for r in got} == {(1, 0, 70, 1, False), (2, 2, 70, 1, True)} and len(got) == 2
+
+
+def test_anchors_and_signatures_of_blocks_of_texts():
+    """Texts hashed together have the anchors, shingles and signatures of each text alone, counted plainly."""
+    rng = np.random.default_rng(6)
+    sizes = [0, 3, 15, 16, 34, 35, 36, 60, 0, 200, 5000, 16, 90]
+    rows = [rng.integers(1, 1 << 63, n, dtype=np.uint64) for n in sizes] + [np.tile(rng.integers(1, 1 << 63, p, dtype=np.uint64), 30) for p in (1, 2, 3, 7)]
+    h, cuts = np.concatenate(rows), np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    got = list(zip(*(x.tolist() for x in passages.anchors(h, cuts, 35)), strict=True))
+    want = []
+    for i, x in enumerate(rows):
+        if len(x) >= 35:
+            key = windows(x, 8, 0)
+            at = sorted({j + min(range(9), key=lambda k: (key[j + k] >> np.uint64(20), k)) for j in range(len(key) - 8)})  # noqa: B023
+            sign = [max(int(y) >> 56, 1) for y in mix(x)]
+            for k in at:
+                sides = [sum(y << 8 * n for n, y in enumerate(side)) for side in (sign[max(0, k - 8) : k][::-1], sign[k + 8 : k + 16])]
+                want.append((i, k, int(key[k].view(np.int64)), *(y - (1 << 64) if y >> 63 else y for y in sides)))
+    assert got == want
+    sets = shingle_sets(h, cuts, 5)
+    assert all((a == shingles(x, 5)).all() and len(a) == len(set(a.tolist())) for a, x in zip(sets, rows, strict=True))
+    some = [x for x in sets if len(x)]
+    circle = minhash._circle(80)
+    plain = np.array([circle[(x >> np.uint64(44)).astype(np.int64)].min(0) for x in some])
+    assert (minhash.signatures(some, 80) == plain).all()
+
+
 def test_runs_by_brute_force(spark):
     """Every document that shares 51 words in a row with another is found, and none that shares no 16 with any."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
