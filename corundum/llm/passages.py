@@ -41,14 +41,17 @@ BESIDE = 8
 BANDS, ROWS = 16, 5
 
 
-def anchors(h: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first word, key and the words before and after (nearest in the lowest byte, 0 where the text ends) of each anchor.
+def anchors(h: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Text, first word, words to the last one's first, how many more there are, key, and the words before and after (nearest in the lowest
+    byte, 0 where the text ends) of each anchor, or of successive ones that have the same key and words beside them.
 
-    h has the word hashes of successive texts, which start at `cuts`; a text of fewer than `least` words has no anchors."""
+    h has the word hashes of successive texts, which start at `cuts`; a text of fewer than `least` words has no anchors. Successive anchors
+    start at most SPREAD words apart, so what they and the words beside them cover has no gaps; a few words repeated over and over are
+    some rows at each end of the place and one between."""
     length = np.diff(cuts)
     long = length >= max(least, WIDE + SPREAD - 1)
     if not long.any():
-        return (np.zeros(0, np.int64),) * 5
+        return (np.zeros(0, np.int64),) * 7
     text = np.repeat(np.arange(len(length)), length)
     key = windows(h, WIDE, 0)
     # Of equal keys the first is the least, so the lowest bits are the place.
@@ -60,7 +63,7 @@ def anchors(h: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np
     least_of = np.pad(least_of, SPREAD - 1)
     chosen = np.maximum.reduce([least_of[k : k + len(rank)] for k in range(SPREAD)])
     first = np.flatnonzero((chosen == rank) & (chosen > 0))
-    owner = text[first]
+    owner, of = text[first], key[first]
     sign = np.zeros(len(h) + BESIDE * (len(length) + 1), np.uint64)
     sign[np.arange(len(h)) + BESIDE * (text + 1)] = np.maximum(mix(h) >> np.uint64(56), np.uint64(1))
     at = first + BESIDE * (owner + 1)
@@ -68,7 +71,11 @@ def anchors(h: np.ndarray, cuts: np.ndarray, least: int) -> tuple[np.ndarray, np
     for k in range(BESIDE):
         before |= sign[at - 1 - k] << np.uint64(8 * k)
         after |= sign[at + WIDE + k] << np.uint64(8 * k)
-    return owner, first - cuts[owner], key[first].view(np.int64), before.view(np.int64), after.view(np.int64)
+    alike = np.logical_and.reduce([x[1:] == x[:-1] for x in (owner, of, before, after)])
+    head = np.flatnonzero(np.append(True, ~alike))
+    tail = np.append(head[1:], len(first)) - 1
+    owner, more = owner[head], first[tail] - first[head]
+    return owner, first[head] - cuts[owner], more, tail - head, *(x[head].view(np.int64) for x in (of, before, after))
 
 
 def _parts(docs: DataFrame, fields: str, make: Callable[[pa.Array], tuple[Sequence[int], list[pa.Array]]]) -> DataFrame:
@@ -97,8 +104,8 @@ def _anchor_rows(run: int) -> Callable[[pa.Array], tuple[np.ndarray, list[pa.Arr
             owner, *rest = anchors(h, cuts, run)
             counts.append(np.bincount(owner, minlength=len(cuts) - 1))
             found.append(rest)
-        first, *rest = (np.concatenate([x[i] for x in found]) for i in range(4))
-        return np.concatenate(counts), [pa.array(first, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)]
+        columns = [np.concatenate([x[i] for x in found]) for i in range(6)]
+        return np.concatenate(counts), [pa.array(x, pa.int32() if i < 3 else pa.int64()) for i, x in enumerate(columns)]
 
     return make
 
@@ -164,7 +171,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
 
     All anchors are dealt out by key once. What a key's documents have in common is found where they lie, in the one order of the keys, so
     only anchors of two documents go on, and of these no more than where they stand."""
-    s = _parts(docs.where("doc_id is not null"), "first int, key bigint, before bigint, after bigint", _anchor_rows(run))
+    s = _parts(docs.where("doc_id is not null"), "first int, more int, again int, key bigint, before bigint, after bigint", _anchor_rows(run))
     same = Window.partitionBy("key")
     hit = s.withColumns({"lo": F.min("doc_id").over(same), "hi": F.max("doc_id").over(same)}).where("lo < hi")
     # The words beside an anchor in its first and last document; a document is compared with those of the two that it is not.
@@ -172,12 +179,13 @@ def repeated_runs(docs: DataFrame, run: int = RUN, gap: int = GAP) -> DataFrame:
     for side in ("before", "after"):
         most = [F.when(F.col("doc_id") != F.col(d), _along(side, f"at_{d}.{side}")).otherwise(0) for d in ("lo", "hi")]
         hit = hit.withColumn(f"more_{side}", F.greatest(*most))
-    hit = hit.select("doc_id", "lo", "first", (F.col("first") - F.col("more_before")).alias("start"), (F.col("first") + WIDE + F.col("more_after")).alias("end"))
+    end = F.col("first") + F.col("more") + WIDE + F.col("more_after")
+    hit = hit.select("doc_id", "lo", "first", "again", (F.col("first") - F.col("more_before")).alias("start"), end.alias("end"))
     hit = hit.repartition("doc_id").distinct()  # repeated rows of a document
     w = Window.partitionBy("doc_id").orderBy("start", "end", "lo")
     seen = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     hit = hit.withColumn("new", F.coalesce((F.col("start") - seen > gap).cast("int"), F.lit(1))).withColumn("nth", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = hit.groupBy("doc_id", "nth", "lo").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
+    parts = hit.groupBy("doc_id", "nth", "lo").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.col("again") + 1).alias("n"))
     spans = parts.groupBy("doc_id", "nth").agg(F.min("start").alias("position"), F.max("end").alias("end"), F.max(F.struct("n", (-F.col("lo")).alias("lo"))).alias("most"))
     spans = spans.withColumn("component_id", -F.col("most.lo"))
     return spans.where(F.col("end") - F.col("position") >= run).select("doc_id", F.col("position").cast("long").alias("position"), (F.col("end") - F.col("position")).cast("long").alias("n_words"), "component_id", (F.col("component_id") < F.col("doc_id")).alias("removed"))
