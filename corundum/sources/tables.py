@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.lineage import cut
+from corundum.functions.lineage import PART_ROWS, cut, passing, tidy
 from corundum.functions.scalars import extract_mean, normalize_paper_label
 from corundum.operators.assembly import assemble, condition_key, coverage_ledger, coverage_summary, dedup_records, stable_order
 from corundum.schema import COLUMNS, OUTPUT, OUTPUT_SCHEMA
@@ -62,22 +62,24 @@ def export_frame(records: DataFrame) -> DataFrame:
     return stable_order(records.select(*[(F.col(c) if c in records.columns else F.lit(None)).cast(t).alias(c) for c, t in OUTPUT]))
 
 
-def export_dataset(records: DataFrame, path: str, table: str | None = None) -> None:
-    """Write the table as CSV and Parquet under `path`, and as a catalog table; an empty one still has its schema."""
+def export_dataset(records: DataFrame, path: str, table: str | None = None, csv_codec: str = "none") -> None:
+    """Write the table as CSV and Parquet under `path`, and as a catalog table; an empty one still has its schema. csv_codec may be gzip."""
     out = export_frame(records)
-    out.write.mode("overwrite").parquet(f"{path}/parquet")
+    with tidy(records.sparkSession):  # the sort's shuffle goes before the CSV is written
+        out.write.mode("overwrite").parquet(f"{path}/parquet")
     back = records.sparkSession.read.parquet(f"{path}/parquet")
     # Cells as they are: no trimming, quotes doubled.
-    back.write.mode("overwrite").csv(f"{path}/csv", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    back.write.mode("overwrite").csv(f"{path}/csv", header=True, escape='"', compression=csv_codec, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if table:
         back.write.mode("overwrite").saveAsTable(table)
 
 
-def assembly_job(artifacts: DataFrame, papers: DataFrame, path: str, strict: bool = False, **options) -> dict[str, DataFrame]:
+def assembly_job(artifacts: DataFrame, papers: DataFrame, path: str, strict: bool = False, csv_codec: str = "none", **options) -> dict[str, DataFrame]:
     """Artifacts to the exported table under `path`, and from what was written: table, fingerprint, ledger and summary.
 
     strict raises where a selected paper yields nothing or is incomplete. options are those of assemble."""
-    export_dataset(assemble(artifacts, papers, **options), path)
+    with passing(artifacts.sparkSession):
+        export_dataset(assemble(artifacts, papers, **options), path, csv_codec=csv_codec)
     table = artifacts.sparkSession.read.parquet(f"{path}/parquet")
     ledger = coverage_ledger(table, artifacts, papers)
     return {"table": table, "fingerprint": dataset_fingerprint(table), "ledger": ledger, "summary": coverage_summary(ledger, strict)}
