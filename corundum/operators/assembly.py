@@ -280,16 +280,18 @@ def dedup_records(records: DataFrame) -> DataFrame:
     key = condition_key()
     exact = {"k_constant": rounded("dielectric_constant", 1), "k_loss": rounded("loss_factor", 1)}
     order = [F.coalesce(priority, second, F.lit(4)), *[F.col(c).asc_nulls_last() for c in COLUMNS if c in records.columns]]
-    first = F.row_number().over(Window.partitionBy(*key, *exact).orderBy(*order)) == 1
-    d = records.withColumns(key | exact).withColumn("_first", first).where("_first")
+    # All three windows lie within a hash of the coarsest key, so the rows are shuffled once, and their keys made behind the shuffle.
+    rest = [k for k in key if k != "k_moisture"]
+    d = records.withColumn("_hash", F.xxhash64(*[key[k] for k in rest])).repartition("_hash").withColumns(key | exact)
+    by = lambda *keys: Window.partitionBy("_hash", *keys)
+    d = d.withColumn("_first", F.row_number().over(by(*key, *exact).orderBy(*order)) == 1).where("_first")
     complete = F.col("dielectric_constant").isNotNull() & F.col("loss_factor").isNotNull()
     # Whether a complete row shares a row's key: a maximum over the key. No key holds a NULL that should match, since the rows with one are let through.
     loose = F.col("k_frequency").isNull() | F.col("k_temperature").isNull()
     d = d.withColumns({"_complete": complete, "_loose": loose})
-    d = d.withColumn("_beside", F.max("_complete").over(Window.partitionBy(*key))).where("_complete or _loose or not _beside")
+    d = d.withColumn("_beside", F.max("_complete").over(by(*key))).where("_complete or _loose or not _beside")
     known = F.col("_complete") & (F.col("k_moisture") != -1.0)
-    rest = [k for k in key if k != "k_moisture"]
-    d = d.withColumn("_known", F.max(known).over(Window.partitionBy(*rest))).where("k_moisture <> -1.0 or _loose or not _known")
+    d = d.withColumn("_known", F.max(known).over(by(*rest))).where("k_moisture <> -1.0 or _loose or not _known")
     return d.select(*records.columns)
 
 

@@ -60,3 +60,15 @@ def test_assembly_by_parts(spark, monkeypatch):
     whole = rows(A.assemble_records(records, papers, aliases=aliases))
     monkeypatch.setattr(lineage, "PART_ROWS", 2500)
     assert rows(A.assemble_records(records, papers, aliases=aliases)) == whole
+
+
+def test_duplicates_are_found_with_one_shuffle(spark):
+    records = lineage.cut(frame(spark, SF, "records").where("dielectric_constant > 0"))
+    plan = A.dedup_records(records)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_negative_zero_is_zero_in_duplicates(spark):
+    r = frame(spark, SF, "records").where("temperature_c is not null and frequency_mhz is not null").limit(1)
+    two = r.withColumn("temperature_c", F.lit(-0.3)).unionByName(r.withColumn("temperature_c", F.lit(0.3)))
+    assert A.dedup_records(two).count() == 1
