@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions import lineage
 from corundum.operators import assembly as A
+from corundum.operators import evaluation as V
 from corundum.plans.fixtures import frame
 from corundum.sources import tables
 
@@ -72,3 +73,15 @@ def test_negative_zero_is_zero_in_duplicates(spark):
     r = frame(spark, SF, "records").where("temperature_c is not null and frequency_mhz is not null").limit(1)
     two = r.withColumn("temperature_c", F.lit(-0.3)).unionByName(r.withColumn("temperature_c", F.lit(0.3)))
     assert A.dedup_records(two).count() == 1
+
+
+def test_matching_by_parts(spark, parts):
+    gold, pred = (lineage.cut(frame(spark, SF, t)) for t in ("gold", "pred"))
+    got = rows(V.match_candidates(gold, pred))
+    before = folders(spark)
+    m = V.match_records(gold, pred)
+    assert len(folders(spark) - before) == 1  # the pairs
+    lineage.PART_ROWS = 1 << 40
+    assert got == rows(V.match_candidates(gold, pred))
+    cost = lambda m: m.where("kind = 'tp'").join(V.match_candidates(gold, pred), ["gold_id", "pred_id"]).agg(F.count("*"), F.round(F.sum("score"), 6)).first()
+    assert cost(m) == cost(V.match_records(gold, pred))
