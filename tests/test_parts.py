@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions import lineage
 from corundum.operators import assembly as A
+from corundum.operators import audit as Q
 from corundum.operators import evaluation as V
 from corundum.plans.fixtures import frame
 from corundum.sources import tables
@@ -85,3 +86,12 @@ def test_matching_by_parts(spark, parts):
     assert got == rows(V.match_candidates(gold, pred))
     cost = lambda m: m.where("kind = 'tp'").join(V.match_candidates(gold, pred), ["gold_id", "pred_id"]).agg(F.count("*"), F.round(F.sum("score"), 6)).first()
     assert cost(m) == cost(V.match_records(gold, pred))
+
+
+def test_review_by_parts(spark, monkeypatch):
+    records = lineage.cut(A.loss_tangent(frame(spark, SF, "records")))
+    whole = rows(Q.audit_review(records, page=20))
+    monkeypatch.setattr(lineage, "PART_ROWS", 3000)
+    before = folders(spark)
+    assert rows(Q.audit_review(records, page=20)) == whole
+    assert len(folders(spark) - before) == 2  # the records and the requests
