@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.lineage import scratch
+from corundum.functions.lineage import by_parts, scratch
 from corundum.functions.scalars import artifact_name, is_uid, slugify, split_artifact_name
 from corundum.operators import cleaning as C
 from corundum.operators import state as S
@@ -88,11 +88,11 @@ def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exported table as its Parquet and CSV files have it, each row with the number of files it is in."""
     folder = scratch(spark)
-    tables.export_dataset(frame(spark, sf_dir, "records").drop("journal"), folder)
+    tables.export_dataset(frame(spark, sf_dir, "records").drop("journal"), folder, csv_codec="gzip")
     types = ", ".join(f"{c} {t}" for c, t in OUTPUT)
     back = spark.read.parquet(f"{folder}/parquet").unionByName(spark.read.schema(types).csv(f"{folder}/csv", header=True, escape='"'))
     text = [F.coalesce(c, F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in OUTPUT]
-    return back.select(*text).groupBy(*COLUMNS).agg(F.count("*").alias("n"))
+    return by_parts(lambda d: d.groupBy(*COLUMNS).agg(F.count("*").alias("n")), (back.select(*text), F.xxhash64(*COLUMNS)))
 
 
 def _append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
