@@ -108,17 +108,35 @@ def append_to_table(new: DataFrame, path: str, buckets: int = BUCKETS) -> list[i
     spark = new.sparkSession
     key = condition_key()
     bucket = F.pmod(F.xxhash64(*[v for k, v in key.items() if k != "k_moisture"]), F.lit(buckets)).cast("int")
-    rows = cut(_output(new).withColumn("bucket", bucket))
-    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
-    if touched:
-        rows.limit(0).write.mode("append").partitionBy("bucket").parquet(path)  # the folder, where there is none
-        before = spark.read.schema(f"{OUTPUT_SCHEMA}, bucket int").parquet(path).where(F.col("bucket").isin(touched))
-        # Written elsewhere first, as Spark can't overwrite what it reads.
-        merged = cut(dedup_records(before.unionByName(rows)))
-        merged.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
+    sizes = lambda d: {r["bucket"]: r["count"] for r in d.groupBy("bucket").count().collect()}
+    with passing(spark):
+        rows = cut(_output(new).withColumn("bucket", bucket))
+        added = sizes(rows)
+        touched = sorted(added)
+        if touched:
+            rows.limit(0).write.mode("append").partitionBy("bucket").parquet(path)  # the folder, where there is none
+            table = lambda some: spark.read.schema(f"{OUTPUT_SCHEMA}, bucket int").parquet(path).where(F.col("bucket").isin(some))
+            there = sizes(table(touched))
+            for some in _batches(touched, {b: n + there.get(b, 0) for b, n in added.items()}):
+                with passing(spark):
+                    # Written elsewhere first, as Spark can't overwrite what it reads.
+                    merged = cut(dedup_records(table(some).unionByName(rows.where(F.col("bucket").isin(some)))))
+                    with tidy(spark):
+                        merged.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
     return touched
 
 
+def _batches(buckets: list[int], rows: dict[int, int]) -> list[list[int]]:
+    """The buckets in batches of PART_ROWS rows at most, or of one bucket: one batch is on disk twice at a time."""
+    out, n = [], PART_ROWS
+    for b in buckets:
+        if n + rows[b] > PART_ROWS:
+            out, n = [*out, []], 0
+        out[-1].append(b)
+        n += rows[b]
+    return out
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a maintained table."""
     return spark.read.schema(f"{OUTPUT_SCHEMA}, bucket int").parquet(path).select(*COLUMNS)

@@ -76,6 +76,16 @@ def test_negative_zero_is_zero_in_duplicates(spark):
     assert A.dedup_records(two).count() == 1
 
 
+def test_a_table_is_appended_to_in_batches_of_buckets(spark, parts):
+    records, folder = frame(spark, SF, "records"), lineage.scratch(spark)
+    before = folders(spark)
+    tables.append_to_table(records.where("year % 2 = 0"), folder, 8)
+    tables.append_to_table(records.where("year % 2 <> 0"), folder, 8)
+    assert rows(tables.read_table(spark, folder)) == rows(A.dedup_records(records))
+    assert folders(spark) - before == {folder.rpartition("/")[2]}
+    assert tables._batches([1, 2, 3, 4], {1: 2000, 2: 400, 3: 9000, 4: 1}) == [[1, 2], [3], [4]]
+
+
 def test_matching_by_parts(spark, parts):
     gold, pred = (lineage.cut(frame(spark, SF, t)) for t in ("gold", "pred"))
     got = rows(V.match_candidates(gold, pred))
