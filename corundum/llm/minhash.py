@@ -60,6 +60,11 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     return low
 
 
+def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
+    """The signature of one set."""
+    return signatures([shingles], coordinates)[0]
+
+
 def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key for each band of each signature (a row of `low`)."""
     x = low.reshape(len(low), bands, rows).astype(np.uint64)
